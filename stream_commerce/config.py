@@ -18,6 +18,8 @@ JOB_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.streaming.metricsEnabled": "true",
+    # Maps of one log are merged by replacing keys; a log that repeats a key keeps the last value.
+    "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     # Join and window state is kept on local disk and in the checkpoint instead of the JVM heap.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

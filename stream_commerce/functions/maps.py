@@ -8,27 +8,41 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 VARIANT_MAP = "map<string,variant>"
 
 
-def empty_map() -> Column:
-    return F.create_map().cast(VARIANT_MAP)
+DEDUP_POLICY = "spark.sql.mapKeyDedupPolicy"
+LAST_WIN = "LAST_WIN"
 
 
-def merge_maps(*maps: Column) -> Column:
-    """Union of the maps; a key in a later map replaces the same key of an earlier one."""
+def _merge_two(low: Column, high: Column) -> Column:
+    replaced = F.transform_values(
+        low, lambda key, v: F.when(F.map_contains_key(high, key), high[key]).otherwise(v)
+    )
+    added = F.map_filter(high, lambda key, _: ~F.map_contains_key(low, key))
+    return F.map_concat(replaced, added)
 
-    def merge_two(low: Column, high: Column) -> Column:
-        kept = F.map_filter(low, lambda key, _: ~F.map_contains_key(high, key))
-        return F.map_concat(kept, high)
 
-    return reduce(merge_two, maps)
+def merge_maps(spark: SparkSession, *maps: Column) -> Column:
+    """Union of the maps; a key in a later map replaces the value of the same key of an earlier one.
 
+    Sessions with the job settings let `map_concat` replace keys itself. In any other session the
+    same map comes from lambdas, which run outside generated code and take about twice as long.
+    """
+    if spark.conf.get(DEDUP_POLICY) == LAST_WIN:
+        return F.map_concat(*maps)
+    return reduce(_merge_two, maps)
 
-def map_to_json(entries: Column) -> Column:
-    """JSON text of a variant map; keys whose value is null are left out."""
+
+def with_json(df: DataFrame, entries: str, name: str) -> DataFrame:
+    """Add the JSON text of a variant map; keys whose value is null are left out.
+
+    The text is made first and only made again without nulls where it may contain one.
+    """
     present = F.map_filter(entries, lambda _, v: v.isNotNull() & ~F.is_variant_null(v))
-    return F.to_json(present)
+    text = df.withColumn(name, F.to_json(entries))
+    may_hold_null = F.contains(F.col(name), F.lit(":null"))
+    return text.withColumn(name, F.when(may_hold_null, F.to_json(present)).otherwise(F.col(name)))

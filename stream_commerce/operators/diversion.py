@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stream_commerce.functions.maps import VARIANT_MAP, map_to_json, merge_maps
+from stream_commerce.functions.maps import VARIANT_MAP, merge_maps, with_json
 from stream_commerce.functions.records import parse_json
 from stream_commerce.schemas import ACTION_TOPIC, START_TOPIC
 
@@ -37,43 +37,37 @@ def parse_logs(raw: DataFrame, value: str = "value") -> DataFrame:
     return parse_json(raw, ENVELOPE, value).withColumn("route", route_of())
 
 
-def _record(topic: str, entries: Column) -> Column:
-    return F.struct(F.lit(topic).alias("topic"), map_to_json(entries).alias("value"))
-
-
 def divert(raw: DataFrame, value: str = "value", only: str | None = None) -> DataFrame:
     """Rows (topic, value): one per start log and one per entry of `actions`.
 
     A start record is common, then the outer `ts`, then the start fields; an action record is
     common, then page, then the action. Later parts replace earlier keys, and each action is merged
-    on its own. `only` keeps one route and skips building the other's records.
+    on its own. `only` keeps one route.
     """
-    ts = F.map_from_entries(F.array(F.struct(
-        F.lit("ts").alias("key"),
-        F.col("ts").try_cast("bigint").cast("variant").alias("value"),
-    )))
-    start = F.array(_record(START_TOPIC, merge_maps(F.col("common"), ts, F.col("start"))))
-    actions = F.transform(
-        "actions",
-        lambda action: _record(
-            ACTION_TOPIC, merge_maps(F.col("common"), F.col("page"), action)
-        ),
-    )
-    routes = {START: start, ACTION: actions}
+    ts = F.create_map(F.lit("ts"), F.col("ts").try_cast("bigint").cast("variant"))
+    # Topic, what the records of a log share besides common, and what each of them adds.
+    parts = {
+        START: (START_TOPIC, ts, F.array("start")),
+        ACTION: (ACTION_TOPIC, F.col("page"), F.col("actions")),
+    }
     if only is not None:
-        routes = {only: routes[only]}
-    records = None
-    for route, built in routes.items():
+        parts = {only: parts[only]}
+    topic = second = own = F
+    for route, (name, shared, overlays) in parts.items():
         hit = F.col("route") == route
-        records = F.when(hit, built) if records is None else records.when(hit, built)
-    # The outer generator keeps Catalyst from copying the record-building expression into a
-    # size check below it; logs that yield nothing are removed right after.
-    return (
+        topic, second, own = topic.when(hit, name), second.when(hit, shared), own.when(hit, overlays)
+    # The outer generator keeps Catalyst from copying its input into a size check below it; logs
+    # that yield nothing are removed right after.
+    merged = merge_maps(raw.sparkSession, F.col("common"), F.col("second"), F.col("own"))
+    records = (
         parse_logs(raw, value)
-        .select(F.explode_outer(records).alias("record"))
-        .filter(F.col("record").isNotNull())
-        .select("record.topic", "record.value")
+        .select(
+            topic.alias("topic"), "common", second.alias("second"), F.explode_outer(own).alias("own")
+        )
+        .filter(F.col("own").isNotNull())
+        .select("topic", merged.alias("entries"))
     )
+    return with_json(records, "entries", "value").select("topic", "value")
 
 
 def route_counts(raw: DataFrame, value: str = "value") -> DataFrame:

@@ -94,15 +94,15 @@ def log_actions(spark: SparkSession, folder: str) -> DataFrame:
 _TOPIC_ROWS = f"""
   with e as (
     select *, unnest(case when event_type = 'signup' then [0] else [1, 2] end) n,
-           '{{"mid":"mid_' || (user_id % 40) || '","uid":"' || user_id || '",' common
+           '{{"mid":"mid_' || (user_id % 40) || '","uid":"' || user_id || '","os":"' common
     from events where event_type <> 'error')
   select case n when 0 then 'REALTIME_STARTUP_LOG' else 'REALTIME_ACTION_LOG' end topic,
          case n
-           when 0 then common || '"os":"x","ts":' || {_MS} || ',"loading_time":' || {_K} || '}}'
-           when 1 then common || '"os":"x","page_id":"p' || (user_id % 7) || '","action_id":"'
+           when 0 then common || 'x","ts":' || {_MS} || ',"loading_time":' || {_K} || '}}'
+           when 1 then common || 'x","page_id":"p' || (user_id % 7) || '","action_id":"'
              || event_type || '","item":"' || {_K} || '"}}'
-           else common || '"page_id":"p' || (user_id % 7)
-             || '","action_id":"second","os":"y"}}' end "value"
+           else common || 'y","page_id":"p' || (user_id % 7)
+             || '","action_id":"second"}}' end "value"
   from e"""
 
 
@@ -183,11 +183,7 @@ def stream_first_starts(spark: SparkSession, folder: str) -> DataFrame:
 @query(_GMV_HOURS)
 def gmv_by_date_hour(spark: SparkSession, folder: str) -> DataFrame:
     bought = standins.purchases(standins.events_of(spark, folder))
-    orders = bought.select(
-        times.date_of("ts").alias("create_date"), times.hour_of("ts").alias("create_hour"),
-        F.col("value").alias("total_amount"),
-    )
-    return _gmv_output(gmv.partial_totals(orders))
+    return _gmv_output(gmv.hourly_totals(bought, "ts", "value"))
 
 
 @query(_GMV_HOURS)
@@ -211,12 +207,8 @@ def gmv_unreadable(spark: SparkSession, folder: str) -> DataFrame:
 def gmv_upsert(spark: SparkSession, folder: str) -> DataFrame:
     """Sums per arrival batch (six hours each), then the additive fold of the batches."""
     bought = standins.purchases(standins.events_of(spark, folder))
-    orders = bought.select(
-        F.floor(times.epoch_ms("ts") / (6 * 3600 * 1000)).alias("batch_id"),
-        times.date_of("ts").alias("create_date"), times.hour_of("ts").alias("create_hour"),
-        F.col("value").alias("total_amount"),
-    )
-    return _gmv_output(gmv.fold_totals(gmv.partial_totals(orders, "batch_id")))
+    batches = bought.withColumn("batch_id", F.floor(times.epoch_ms("ts") / (6 * 3600 * 1000)))
+    return _gmv_output(gmv.fold_totals(gmv.hourly_totals(batches, "ts", "value", "batch_id")))
 
 
 @query(_GMV_HOURS)
