@@ -115,17 +115,26 @@ GMV_FOLD = add_up(gmv.KEYS, "gmv")
 
 def run_gmv(
     orders: DataFrame, table: BatchTable, checkpoint: str, trigger: dict | None = None,
+    once_within: str | None = None,
     on_unreadable: Callable[[DataFrame, int], None] | None = None,
 ) -> StreamingQuery:
-    """Per-batch sums per date and hour; the total is the sum over batches."""
+    """Per-batch sums per date and hour; the total is the sum over batches.
+
+    Two feeders may send the same order. With `once_within`, an order id that arrives again within
+    that time is not counted again; the ids of that span are kept as state.
+    """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        parsed = gmv.parse_orders(batch.select("value"))
-        table.write(gmv.partial_totals(gmv.readable(parsed)), batch_id)
+        table.write(gmv.partial_totals(gmv.readable(batch)), batch_id)
         if on_unreadable is not None:
-            on_unreadable(gmv.unreadable(parsed), batch_id)
+            on_unreadable(gmv.unreadable(batch), batch_id)
 
-    return _each_batch(orders, handle, "gmv", checkpoint, trigger)
+    if once_within is None:
+        parsed = gmv.parse_orders(orders.select("value"))
+    else:
+        parsed = gmv.parse_orders(orders.select("value", "arrived"))
+        parsed = parsed.withWatermark("arrived", once_within).dropDuplicatesWithinWatermark(["id"])
+    return _each_batch(parsed, handle, "gmv", checkpoint, trigger)
 
 
 def gmv_view(spark: SparkSession, table: BatchTable) -> DataFrame:
@@ -229,7 +238,8 @@ SALE_FOLD = keep_last(["order_detail_id"])
 
 
 def stream_pairs(
-    orders: DataFrame, details: DataFrame, allowance: str = pairing.ALLOWANCE, salts: int = 8
+    orders: DataFrame, details: DataFrame, allowance: str = pairing.ALLOWANCE,
+    salts: int | None = None,
 ) -> DataFrame:
     """Header and line messages (value, arrived) paired within `allowance`.
 
@@ -261,7 +271,7 @@ def run_sales(
     as_of: Column | None = None,
     trigger: dict | None = None,
     allowance: str = pairing.ALLOWANCE,
-    salts: int = 8,
+    salts: int | None = None,
     on_count: CountListener | None = None,
 ) -> StreamingQuery:
     """Pair headers and lines, add buyer and province, keep one row per order line.

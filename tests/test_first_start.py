@@ -1,0 +1,88 @@
+from __future__ import annotations
+
+import json
+
+from stream_commerce.operators import first_start
+from stream_commerce.sources.topics import folder_stream
+from stream_commerce.streaming import jobs
+
+DAY = 86_400_000
+MORNING = 1_704_067_200_000  # 2024-01-01 08:00 in Shanghai
+
+
+def start_message(mid, ts, **extra):
+    return json.dumps({"mid": mid, "ts": ts, **extra})
+
+
+def values(spark, *messages):
+    return spark.createDataFrame([(m,) for m in messages], "value string")
+
+
+def test_smallest_ts_is_compared_as_a_number(spark):
+    df = values(
+        spark,
+        start_message("a", 999_999_999_999, uid="early"), start_message("a", "1000000000000", uid="late"),
+    )
+    rows = first_start.first_starts(first_start.parse_starts(df)).collect()
+    assert [(r.mid, r.uid, r.ts) for r in rows] == [("a", "early", 999_999_999_999)]
+
+
+def test_ties_do_not_depend_on_order(spark):
+    messages = [start_message("a", MORNING, uid=u) for u in ("3", "1", "2")]
+    picks = set()
+    for shift in range(3):
+        df = values(spark, *(messages[shift:] + messages[:shift])).repartition(3)
+        picks.add(first_start.first_starts(first_start.parse_starts(df)).first().uid)
+    assert len(picks) == 1
+
+
+def test_ids_dates_and_unreadable_rows(spark):
+    df = values(
+        spark, start_message("a", MORNING), start_message(None, MORNING), start_message("b", "soon"), "{"
+    )
+    rows = {(r.id, r.start_date) for r in first_start.parse_starts(df).collect()}
+    assert rows == {("2024-01-01T08:00:00_a", "2024-01-01"), ("2024-01-01T08:00:00_null", "2024-01-01")}
+    assert first_start.unreadable_starts(df).count() == 2
+
+
+def test_drop_seen_matches_missing_devices(spark):
+    starts = spark.createDataFrame([("d", None), ("d", "a"), ("d", "b")], "start_date string, mid string")
+    history = spark.createDataFrame([("d", None), ("d", "a"), ("e", "b")], "start_date string, mid string")
+    assert [tuple(r) for r in first_start.drop_seen(starts, history).collect()] == [("d", "b")]
+
+
+def run(spark, path, table, checkpoint, counts=None):
+    stream = folder_stream(spark, path, "start", max_files_per_batch=1)
+    listener = None if counts is None else lambda b, n: counts.append((b, n))
+    jobs.run_first_starts(stream, table, checkpoint, jobs.UNTIL_DRAINED, listener).awaitTermination()
+
+
+def test_stream_keeps_the_first_batch_that_saw_a_device(spark, feed, tmp_path):
+    path = feed(start_message("a", MORNING + 50), start_message("a", MORNING + 10), start_message("b", MORNING))
+    feed(start_message("a", MORNING + 5), start_message("c", MORNING), start_message("b", MORNING + DAY))
+    table, counts = jobs.start_table(str(tmp_path / "t")), []
+    run(spark, path, table, str(tmp_path / "c"), counts)
+    feed(start_message("c", MORNING + 1), start_message("d", MORNING))
+    run(spark, path, table, str(tmp_path / "c"), counts)
+    rows = sorted((r.start_date, r.mid, r.ts) for r in jobs.first_start_view(spark, table).collect())
+    assert rows == [
+        ("2024-01-01", "a", MORNING + 10), ("2024-01-01", "b", MORNING), ("2024-01-01", "c", MORNING),
+        ("2024-01-01", "d", MORNING), ("2024-01-02", "b", MORNING + DAY),
+    ]
+    assert counts == [(0, 2), (1, 2), (2, 1)]
+
+
+def test_replayed_batch_writes_the_same_rows(spark, feed, tmp_path):
+    """The second batch is written, the run dies before its commit, and the batch is run again."""
+    path = feed(start_message("a", MORNING), start_message("b", MORNING))
+    feed(start_message("a", MORNING + 1), start_message("c", MORNING))
+    table, checkpoint = jobs.start_table(str(tmp_path / "t")), tmp_path / "c"
+    run(spark, path, table, str(checkpoint))
+    before = sorted(map(tuple, table.read(spark).collect()))
+    (checkpoint / "commits" / "1").unlink()
+    for crc in (checkpoint / "commits").glob(".1.crc"):
+        crc.unlink()
+    counts = []
+    run(spark, path, table, str(checkpoint), counts)
+    assert counts == [(1, 1)]
+    assert sorted(map(tuple, table.read(spark).collect())) == before
