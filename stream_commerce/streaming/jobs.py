@@ -133,7 +133,7 @@ def run_gmv(
         parsed = gmv.parse_orders(orders.select("value"))
     else:
         parsed = gmv.parse_orders(orders.select("value", "arrived"))
-        parsed = parsed.withWatermark("arrived", once_within).dropDuplicatesWithinWatermark(["id"])
+        parsed = parsed.withWatermark("arrived", once_within).dropDuplicatesWithinWatermark(["id", CORRUPT])
     return _each_batch(parsed, handle, "gmv", checkpoint, trigger)
 
 
@@ -248,13 +248,10 @@ def stream_pairs(
     headers = sales.order_part(
         gmv.readable(gmv.parse_orders(orders.select("value", "arrived"))), "arrived"
     ).withColumnRenamed("arrived", "order_ts")
-    headers = headers.withWatermark("order_ts", allowance).dropDuplicatesWithinWatermark(
-        ["order_id"]
-    )
     lines = sales.detail_part(parse_details(details), "arrived").withColumnRenamed(
         "arrived", "detail_ts"
     )
-    return pairing.pair_orders(headers, lines, allowance, salts)
+    return pairing.pair_orders(headers, lines, allowance, salts, headers_once=True)
 
 
 def parse_details(details: DataFrame) -> DataFrame:
