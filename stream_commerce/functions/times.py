@@ -21,14 +21,26 @@ def _epoch() -> Column:
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
 
+def floor_div(value: Column, width: int) -> Column:
+    """Exact integer quotient rounded down; a double quotient could round up at a boundary."""
+    value = value.cast("bigint")
+    return F.call_function("div", value - F.pmod(value, F.lit(width)), F.lit(width))
+
+
+def _epoch_seconds(ts: Column | str) -> Column:
+    # The difference of two zone-less timestamps is taken without a zone; `timestamp_diff` would
+    # cast both to the session zone first.
+    return (_col(ts) - _epoch()).cast("interval second").cast("decimal(20,6)")
+
+
 def epoch_ms(ts: Column | str) -> Column:
-    """Milliseconds since the epoch of a zone-less (UTC) timestamp."""
-    return F.timestamp_diff("MILLISECOND", _epoch(), _col(ts))
+    """Milliseconds since the epoch of a zone-less (UTC) timestamp, rounded down."""
+    return F.floor(_epoch_seconds(ts) * 1000).cast("bigint")
 
 
 def epoch_us(ts: Column | str) -> Column:
     """Microseconds since the epoch of a zone-less (UTC) timestamp."""
-    return F.timestamp_diff("MICROSECOND", _epoch(), _col(ts))
+    return (_epoch_seconds(ts) * 1_000_000).cast("bigint")
 
 
 def local_time(ms: Column | str, zone: str = SHANGHAI) -> Column:

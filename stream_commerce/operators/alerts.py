@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stream_commerce.functions.records import CORRUPT, joined_key, parse_json
-from stream_commerce.functions.times import SHANGHAI, date_of, local_time, minute_of
+from stream_commerce.functions.times import SHANGHAI, date_of, floor_div, local_time, minute_of
 from stream_commerce.operators.joins import null_safe_join
 from stream_commerce.operators.latest import last_per_key
 from stream_commerce.schemas import ACTION_LOG
@@ -53,7 +53,7 @@ def parse_actions(values: DataFrame, value: str = "value") -> DataFrame:
 
 
 def _pane(rule: AlertRule) -> Column:
-    return F.floor(F.col("ts") / F.lit(rule.slide_ms)).cast("bigint")
+    return floor_div(F.col("ts"), rule.slide_ms)
 
 
 def suspects(actions: DataFrame, rule: AlertRule = DEFAULT_RULE) -> DataFrame:
@@ -96,7 +96,7 @@ def alert_events(
     """One row per alert and action of its suspects: the payload before it is nested."""
     users = suspects(actions, rule)
     named = null_safe_join(users, windows.select(*_ALERT, "users"), _ALERT)
-    last_pane = (F.col("window_end") / F.lit(rule.slide_ms)).cast("bigint") - 1
+    last_pane = floor_div(F.col("window_end"), rule.slide_ms) - 1
     cells = named.select(
         "*", F.explode(F.sequence(last_pane - (rule.panes - 1), last_pane)).alias("pane")
     )

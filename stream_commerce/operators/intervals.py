@@ -4,12 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def _cell(at: Column, width: int) -> Column:
-    return F.floor(at / F.lit(width)).cast("bigint")
+from stream_commerce.functions.times import floor_div
 
 
 def interval_pairs(
@@ -27,9 +25,9 @@ def interval_pairs(
     the pairs compared stay within three widths instead of all rows of the key. The result has all
     columns of both sides; names other than the keys must differ.
     """
-    own = _cell(F.col(left_time), width)
+    own = floor_div(F.col(left_time), width)
     spread = left.withColumn("_cell", F.explode(F.array(own - 1, own, own + 1)))
-    placed = right.withColumn("_cell", _cell(F.col(right_time), width))
+    placed = right.withColumn("_cell", floor_div(F.col(right_time), width))
     near = F.abs(F.col(left_time) - F.col(right_time)) <= F.lit(width)
     return spread.join(placed, [*keys, "_cell"]).filter(near).drop("_cell")
 
@@ -45,21 +43,25 @@ def without_partner(
     """Rows of `rows` that `interval_pairs` would leave unpaired.
 
     Whether some partner exists needs only the first and last time per (keys, cell) of `others`,
-    which is aggregated map-side: a key with very many partners never has to be in one place.
+    which is aggregated map-side: a key with very many partners never has to be in one place. The
+    few cells are sent to their neighbours, the rows stay single, and Spark can split a cell that
+    holds very many rows because a shuffle feeds each side of the join directly.
     """
     cells = others.groupBy(
-        *keys, _cell(F.col(others_time), width).alias("_cell")
+        *keys, floor_div(F.col(others_time), width).alias("_at")
     ).agg(F.min(others_time).alias("_first"), F.max(others_time).alias("_last"))
-    own = _cell(F.col(rows_time), width)
-    looked_up = rows.select(
-        *keys, rows_time, F.explode(F.array(own - 1, own, own + 1)).alias("_cell")
-    ).distinct()
-    # The whole own cell is in reach, the earlier one from its end and the later from its start.
-    in_reach = (F.col("_last") >= F.col(rows_time) - width) & (
-        F.col("_first") <= F.col(rows_time) + width
+    at = F.col("_at")
+    near = cells.select(
+        *[F.col(k).alias(f"_{k}") for k in keys], "_first", "_last",
+        F.explode(F.array(at - 1, at, at + 1)).alias("_near"),
     )
-    paired = (
-        looked_up.join(cells, [*keys, "_cell"]).filter(in_reach)
-        .select(*keys, rows_time).distinct()
+    placed = rows.withColumn("_cell", floor_div(F.col(rows_time), width))
+    # The whole own cell is in reach, the earlier one from its end and the later from its start.
+    condition = (
+        (F.col("_cell") == F.col("_near"))
+        & (F.col("_last") >= F.col(rows_time) - F.lit(width))
+        & (F.col("_first") <= F.col(rows_time) + F.lit(width))
     )
-    return rows.join(paired, [*keys, rows_time], "left_anti")
+    for key in keys:
+        condition = condition & (F.col(key) == F.col(f"_{key}"))
+    return placed.join(near, condition, "left_anti").drop("_cell")

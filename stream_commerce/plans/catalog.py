@@ -207,7 +207,7 @@ def gmv_unreadable(spark: SparkSession, folder: str) -> DataFrame:
 def gmv_upsert(spark: SparkSession, folder: str) -> DataFrame:
     """Sums per arrival batch (six hours each), then the additive fold of the batches."""
     bought = standins.purchases(standins.events_of(spark, folder))
-    batches = bought.withColumn("batch_id", F.floor(times.epoch_ms("ts") / (6 * 3600 * 1000)))
+    batches = bought.withColumn("batch_id", times.floor_div(times.epoch_ms("ts"), 6 * 3600 * 1000))
     return _gmv_output(gmv.fold_totals(gmv.hourly_totals(batches, "ts", "value", "batch_id")))
 
 

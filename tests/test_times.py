@@ -30,6 +30,29 @@ def test_local_parts_do_not_depend_on_the_session_zone(spark, session_zone):
         )
 
 
+@pytest.mark.parametrize("session_zone", ["UTC", "America/New_York"])
+def test_epoch_does_not_depend_on_the_session_zone(spark, session_zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", session_zone)
+    try:
+        texts = ["2024-03-10 02:30:00.000001", "2024-07-01 00:00:00", "1969-12-31 23:59:59.9995"]
+        df = spark.createDataFrame([(t,) for t in texts], "t string").select(
+            F.col("t").cast("timestamp_ntz").alias("t")
+        )
+        found = [tuple(r) for r in df.select(times.epoch_us("t"), times.epoch_ms("t")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert found == [
+        (1710037800000001, 1710037800000), (1719792000000000, 1719792000000), (-500, -1),
+    ]
+
+
+def test_floor_div(spark):
+    df = spark.createDataFrame([(-1,), (0,), (299,), (300,), (2**60 + 1,)], "v bigint")
+    assert [r[0] for r in df.select(times.floor_div(F.col("v"), 300)).collect()] == [
+        -1, 0, 0, 1, (2**60 + 1) // 300]
+
+
 @pytest.mark.parametrize("text, ok", [
     ("2022-04-27 03:18:39", True), ("2022-04-27T03:18:39", False), ("2022-04-27", False),
     ("2022-13-01 00:00:00", False), ("2022-04-27 25:00:00", False), ("", False), (None, False),
