@@ -30,3 +30,19 @@ def join_counts(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
     left = left.select("word", F.col("cnt").alias("left_cnt"))
     right = right.select("word", F.col("cnt").alias("right_cnt"))
     return left.join(right, "word", how)
+
+
+def side_by_side(tagged: DataFrame, how: str, text: str = "value") -> DataFrame:
+    """`join_counts` of two sets of lines that arrive in one frame, told apart by `side`.
+
+    `side` is `left` or `right`. Both counts come from one aggregation, so the lines are read and
+    shuffled once; a missing count is null, as in a join.
+    """
+    words = tagged.select("side", F.explode(words_of(F.col(text))).alias("word"))
+    counted = words.groupBy("word").agg(*[
+        F.nullif(F.count_if(F.col("side") == side), F.lit(0)).alias(f"{side}_cnt")
+        for side in ("left", "right")
+    ])
+    needed = {"inner": ("left_cnt", "right_cnt"), "left": ("left_cnt",), "right": ("right_cnt",),
+              "full": ()}[how]
+    return counted.dropna(subset=list(needed)) if needed else counted

@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stream_commerce.operators.latest import last_per_key
+
 BATCH_ID = "batch_id"
 Fold = Callable[[DataFrame], DataFrame]
 
@@ -59,6 +61,9 @@ class BatchTable:
         self._save(df.select(*self._columns()), f"{self.batches}/{BATCH_ID}={batch_id}")
 
     def _save(self, df: DataFrame, path: str) -> None:
+        if self.partition_by:
+            # Few files per folder: AQE joins small partitions and splits a hot one by size.
+            df = df.hint("rebalance", *self.partition_by)
         writer = df.write.mode("overwrite")
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
@@ -111,6 +116,29 @@ class BatchTable:
         return upto
 
 
+    def vacuum(self, spark: SparkSession) -> None:
+        """Delete the batches and older snapshots that the newest snapshot replaces.
+
+        For a quiet time: a query planned before the last compaction still reads those files.
+        """
+        snapshots = _done_ids(spark, self.snapshots, "upto")
+        if not snapshots:
+            return
+        covered = [b for b in _done_ids(spark, self.batches, BATCH_ID) if b <= snapshots[-1]]
+        old = [f"{self.batches}/{BATCH_ID}={b}" for b in covered]
+        old += [f"{self.snapshots}/upto={s}" for s in snapshots[:-1]]
+        fs_path = spark._jvm.org.apache.hadoop.fs.Path
+        conf = spark._jsparkSession.sessionState().newHadoopConf()
+        for folder in old:
+            path = fs_path(folder)
+            path.getFileSystem(conf).delete(path, True)
+
+
+def keep_all(rows: DataFrame) -> DataFrame:
+    """Fold that changes nothing: compaction then only merges small files."""
+    return rows
+
+
 def add_up(keys: Sequence[str], *sums: str) -> Fold:
     """Fold for additive tables: sums per key."""
 
@@ -123,8 +151,6 @@ def add_up(keys: Sequence[str], *sums: str) -> Fold:
 
 def keep_last(keys: Sequence[str], *order: str) -> Fold:
     """Fold for keyed upserts: the row of the last batch per key."""
-    from stream_commerce.operators.latest import last_per_key
-
     def fold(rows: DataFrame) -> DataFrame:
         return last_per_key(rows, keys, [BATCH_ID, *order])
 

@@ -16,14 +16,20 @@ from stream_commerce.functions.records import CORRUPT, parse_json
 from stream_commerce.operators import alerts, changes, diversion, first_start, gmv, pairing, sales
 from stream_commerce.operators.joins import broadcast_if_small, null_safe_join
 from stream_commerce.operators.latest import last_per_key
-from stream_commerce.operators.words import word_counts
+from stream_commerce.operators.words import side_by_side, word_counts
 from stream_commerce.schemas import (
     ORDER_DETAIL,
     SALE_DETAIL_COLUMNS,
     START_LOG_COLUMNS,
     USER_INFO,
 )
-from stream_commerce.streaming.batch_table import BATCH_ID, BatchTable, add_up, keep_last
+from stream_commerce.streaming.batch_table import (
+    BATCH_ID,
+    BatchTable,
+    add_up,
+    keep_all,
+    keep_last,
+)
 from stream_commerce.streaming.sinks import CountListener, counted
 
 TEN_SECONDS = {"processingTime": "10 seconds"}
@@ -98,6 +104,10 @@ def run_first_starts(
     return _each_batch(starts, handle, "first_starts", checkpoint, trigger)
 
 
+# Devices are unique across batches; compaction only merges small files.
+START_FOLD = keep_all
+
+
 def first_start_view(spark: SparkSession, table: BatchTable) -> DataFrame:
     """(start_date, mid) is unique here: no batch writes a device an earlier one holds."""
     return table.read(spark).drop(BATCH_ID)
@@ -216,6 +226,9 @@ def run_alerts(
     return _each_batch(stream, handle, "coupon_alerts", checkpoint, trigger)
 
 
+ALERT_FOLD = keep_all
+
+
 def alert_view(spark: SparkSession, table: BatchTable) -> DataFrame:
     """Last alert per id: a later window of the same minute replaces the earlier one."""
     rows = table.read(spark).withColumn("_minute", F.substring("id", 1, 16))
@@ -353,3 +366,22 @@ def run_word_counts(
 
 def word_view(spark: SparkSession, table: BatchTable) -> DataFrame:
     return WORD_FOLD(table.read(spark)).drop(BATCH_ID)
+
+
+def word_join_table(path: str, run: str = "main") -> BatchTable:
+    return BatchTable(path, "word string, left_cnt bigint, right_cnt bigint", (), run)
+
+
+def run_word_joins(
+    left: DataFrame, right: DataFrame, how: str, table: BatchTable, checkpoint: str,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Join of the two word counts of each batch (not of the running counts)."""
+    tagged = left.select(F.lit("left").alias("side"), "value").unionByName(
+        right.select(F.lit("right").alias("side"), "value")
+    )
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        table.write(side_by_side(batch, how), batch_id)
+
+    return _each_batch(tagged, handle, "word_joins", checkpoint, trigger)

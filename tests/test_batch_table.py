@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import pytest
 
-from stream_commerce.streaming.batch_table import BatchTable, add_up, keep_last
+from stream_commerce.streaming.batch_table import BatchTable, add_up, keep_all, keep_last
 
 SCHEMA = "k string, v bigint, day string"
 
@@ -68,6 +68,15 @@ def test_compaction_changes_no_result(spark, table, fold, expected):
     assert table.compact(spark, fold) == 3
     assert view() == [*expected, ("c", 1, "d2")]
     assert table.read(spark, before=4).filter("k = 'c'").count() == 0
+    table.vacuum(spark)
+    assert view() == [*expected, ("c", 1, "d2")]
+
+
+def test_vacuum_without_a_snapshot_deletes_nothing(spark, table):
+    put(spark, table, 0, ("a", 1, "d1"))
+    table.vacuum(spark)
+    assert table.compact(spark, keep_all) is None
+    assert content(table.read(spark)) == [("a", 1, "d1", 0)]
 
 
 def test_partition_filter_reaches_the_scan(spark, table):

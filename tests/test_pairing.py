@@ -126,3 +126,44 @@ def test_sales_stream_pairs_early_late_and_resent_messages(spark, tmp_path):
     assert (rows["d3"].user_id, rows["d3"].user_age, rows["d3"].user_level) == ("nobody", 0, None)
     lost = jobs.sale_view(spark, table, "unknown_province").collect()
     assert [(r.order_detail_id, r.province_id, r.province_name) for r in lost] == [("d5", "77", None)]
+
+
+def test_full_outer_stream_reports_unpaired_and_late_rows(spark, tmp_path):
+    from stream_commerce.streaming import jobs, sinks
+
+    def source(name, *batches):
+        path = str(tmp_path / name)
+        for number, rows in enumerate(batches):
+            column = "line string" if name == "lines" else "user string"
+            df = spark.createDataFrame(rows, f"order_id string, {column}, at timestamp")
+            df.coalesce(1).write.mode("append").parquet(path)
+        return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+    far = T0 + timedelta(hours=3)
+    orders = source(
+        "orders", [("1", "u", T0), ("2", "u", T0)], [("9", "u", far)], [("10", "u", far)],
+        [("11", "u", far)],
+    )
+    # A row counts as late against the watermark of the batch before, hence the batch in between.
+    lines = source(
+        "lines", [("1", "a", T0), ("3", "b", T0)], [("9", "c", far)], [("10", "d", far)],
+        [("2", "late", T0), ("11", "e", far)],
+    )
+    pairs = pairing.pair_orders(
+        orders.withColumnRenamed("at", "order_ts"), lines.withColumnRenamed("at", "detail_ts"),
+        how="fullOuter",
+    )
+    found = []
+
+    def keep(batch, _):
+        found.extend((r.order_id, r.user, r.line) for r in batch.collect())
+
+    query = jobs.start(
+        pairs.writeStream.foreachBatch(keep), "outer", str(tmp_path / "c"), jobs.UNTIL_DRAINED
+    )
+    query.awaitTermination()
+    assert set(found) == {
+        ("1", "u", "a"), ("2", "u", None), ("3", None, "b"), ("9", "u", "c"), ("10", "u", "d"),
+        ("11", "u", "e"),
+    }
+    assert sinks.late_rows(query) == 1

@@ -45,3 +45,29 @@ def test_running_counts_and_join_of_two_streams(spark, feed, tmp_path):
     assert {tuple(r) for r in words.join_counts(left, right, "full").collect()} == {
         ("a", 2, None), ("b", 2, 1), ("c", None, 1),
     }
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "right", "full"])
+def test_side_by_side_equals_the_join(spark, how):
+    left, right = [("a b a",), ("",)], [("b b",), ("c",)]
+    tagged = spark.createDataFrame(
+        [("left", t) for t, in left] + [("right", t) for t, in right], "side string, value string"
+    )
+    joined = words.join_counts(
+        words.word_counts(spark.createDataFrame(left, "value string")),
+        words.word_counts(spark.createDataFrame(right, "value string")), how,
+    )
+    assert {tuple(r) for r in words.side_by_side(tagged, how).collect()} == {
+        tuple(r) for r in joined.collect()
+    }
+
+
+def test_each_batch_joins_its_own_words(spark, feed, tmp_path):
+    first, second = feed("a b", name="first"), feed("b c", name="second")
+    feed("c", name="first"), feed("c c", name="second")
+    table = jobs.word_join_table(str(tmp_path / "t"))
+    jobs.run_word_joins(
+        folder_stream(spark, first, "f", 1), folder_stream(spark, second, "s", 1), "inner", table,
+        str(tmp_path / "c"), jobs.UNTIL_DRAINED,
+    ).awaitTermination()
+    assert {tuple(r) for r in table.read(spark).collect()} == {("b", 1, 1, 0), ("c", 1, 2, 1)}
