@@ -1,9 +1,9 @@
 """Coupon-abuse alerts: several users adding a delivery address on one device within a window.
 
 Windows are `window_ms` long and end every `slide_ms`, so each action lies in
-`window_ms / slide_ms` of them. Only trigger actions are spread over windows; all other actions are
-touched once, by a join on (device, user, pane) with the few users that ended up in an alert. A
-pane is one `slide_ms` step.
+`window_ms / slide_ms` of them; a pane is one `slide_ms` step. Alerts are decided from the trigger
+actions alone. All other actions are touched once, by a join on (device, user, stretch of panes)
+with the triggers near them, and only those of suspects are then spread over windows.
 
 Expected columns: mid, uid, action_id, item, ts (epoch milliseconds). A missing uid counts as a
 user and a missing mid as a device.
@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stream_commerce.functions.records import CORRUPT, joined_key, parse_json
@@ -56,18 +56,25 @@ def _pane(rule: AlertRule) -> Column:
     return floor_div(F.col("ts"), rule.slide_ms)
 
 
+def _trigger_panes(actions: DataFrame, rule: AlertRule) -> DataFrame:
+    """(mid, uid, pane): panes with a trigger action, once each."""
+    triggers = actions.filter(F.col("action_id") == rule.trigger)
+    return triggers.select("mid", "uid", _pane(rule).alias("pane")).distinct()
+
+
 def suspects(actions: DataFrame, rule: AlertRule = DEFAULT_RULE) -> DataFrame:
-    """(mid, uid, window_end): users with a trigger action in the window, once each."""
-    panes = (
-        actions.filter(F.col("action_id") == rule.trigger)
-        .select("mid", "uid", _pane(rule).alias("pane"))
-        .distinct()
-    )
-    ends = F.sequence(F.col("pane") + 1, F.col("pane") + F.lit(rule.panes))
-    spread = panes.select("mid", "uid", F.explode(ends).alias("end"))
-    return spread.select(
-        "mid", "uid", (F.col("end") * F.lit(rule.slide_ms)).alias("window_end")
-    ).distinct()
+    """(mid, uid, window_end): users with a trigger action in the window, once each.
+
+    A trigger pane opens only the windows that the user's previous one did not, so the spread rows
+    are distinct without another shuffle. A user has at most one row per pane here, however many
+    actions were sent.
+    """
+    previous = F.lag("pane").over(Window.partitionBy("mid", "uid").orderBy("pane"))
+    last = F.col("pane") + F.lit(rule.panes)
+    opened = _trigger_panes(actions, rule).withColumn("before", previous + F.lit(rule.panes))
+    first = F.greatest(F.col("pane"), F.col("before")) + 1
+    spread = opened.select("mid", "uid", F.explode(F.sequence(first, last)).alias("end"))
+    return spread.select("mid", "uid", (F.col("end") * F.lit(rule.slide_ms)).alias("window_end"))
 
 
 def alert_windows(
@@ -90,18 +97,51 @@ def latest_per_minute(windows: DataFrame, zone: str = SHANGHAI) -> DataFrame:
     return last_per_key(keyed, ["id", "mid"], ["window_end"])
 
 
+def _suspect_actions(actions: DataFrame, rule: AlertRule) -> DataFrame:
+    """Actions with `ends`, the windows in which their user is a suspect; others are left out.
+
+    Such a window holds the action and a trigger, so only the last trigger up to the action's pane
+    and the first one after it matter. Triggers are looked up in stretches as long as a window,
+    each holding the panes of its neighbours too: never more than three times `rule.panes`.
+    """
+    stretch = floor_div(F.col("pane"), rule.panes)
+    near = (
+        _trigger_panes(actions, rule)
+        .select(
+            "mid", "uid", "pane",
+            F.explode(F.array(stretch - 1, stretch, stretch + 1)).alias("stretch"),
+        )
+        .groupBy("mid", "uid", "stretch").agg(F.collect_set("pane").alias("panes"))
+    )
+    placed = actions.select("mid", "uid", "action_id", "item", "ts", _pane(rule).alias("pane"))
+    found = null_safe_join(
+        placed.withColumn("stretch", stretch), near, ["mid", "uid", "stretch"]
+    )
+    pane = F.col("pane")
+    before = F.array_max(F.filter("panes", lambda p: p <= pane))
+    after = F.array_min(F.filter("panes", lambda p: p > pane))
+    ends = F.filter(
+        F.sequence(pane + 1, pane + F.lit(rule.panes)),
+        lambda end: (end <= before + F.lit(rule.panes)) | (end > after),
+    )
+    return found.select("mid", "uid", "action_id", "item", "ts", ends.alias("ends")).filter(
+        F.size("ends") > 0
+    )
+
+
+def _spread(rows: DataFrame, rule: AlertRule) -> DataFrame:
+    """One row per entry of `ends`, as `window_end`."""
+    others = [c for c in rows.columns if c != "ends"]
+    spread = rows.select(*others, F.explode("ends").alias("end"))
+    return spread.select(*others, (F.col("end") * F.lit(rule.slide_ms)).alias("window_end"))
+
+
 def alert_events(
     actions: DataFrame, windows: DataFrame, rule: AlertRule = DEFAULT_RULE
 ) -> DataFrame:
     """One row per alert and action of its suspects: the payload before it is nested."""
-    users = suspects(actions, rule)
-    named = null_safe_join(users, windows.select(*_ALERT, "users"), _ALERT)
-    last_pane = floor_div(F.col("window_end"), rule.slide_ms) - 1
-    cells = named.select(
-        "*", F.explode(F.sequence(last_pane - (rule.panes - 1), last_pane)).alias("pane")
-    )
-    keyed = actions.select("mid", "uid", "action_id", "item", "ts", _pane(rule).alias("pane"))
-    return null_safe_join(keyed, cells, ["mid", "uid", "pane"]).select(*_EVENT)
+    spread = _spread(_suspect_actions(actions, rule), rule)
+    return null_safe_join(spread, windows.select(*_ALERT, "users"), _ALERT).select(*_EVENT)
 
 
 def alert_documents(
@@ -121,13 +161,17 @@ def alert_documents(
     if windows is None:
         windows = alert_windows(actions, rule)
     copies = (
-        alert_events(actions, windows, rule)
-        .groupBy(*_EVENT).agg(F.count(F.lit(1)).alias("copies"))
+        _suspect_actions(actions, rule)
+        .groupBy("mid", "uid", "action_id", "item", "ts", "ends")
+        .agg(F.count(F.lit(1)).alias("copies"))
     )
-    sizes = copies.groupBy(*_ALERT).agg(
+    spread = _spread(copies, rule)
+    sizes = spread.groupBy(*_ALERT).agg(
         F.ceil(F.sum("copies") / F.lit(max_events)).cast("int").alias("parts")
     )
-    sized = null_safe_join(copies, sizes, _ALERT)
+    sized = null_safe_join(
+        spread, null_safe_join(windows.select(*_ALERT, "users"), sizes, _ALERT), _ALERT
+    )
     # More copies of one action than a part may hold are cut into several portions.
     portions = F.ceil(F.col("copies") / F.lit(max_events)).cast("int")
     cut = sized.select("*", F.explode(F.sequence(F.lit(0), portions - 1)).alias("portion"))
