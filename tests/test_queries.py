@@ -59,3 +59,12 @@ def test_diversion_does_not_shuffle(spark, folder):
 def test_totals_shuffle_once(spark, folder):
     plan = plan_of(catalog.gmv_by_date_hour(spark, folder), "simple")
     assert plan.count("Exchange") == 1 and "partial_sum" in plan
+
+
+def test_alert_documents_share_their_shuffles(spark, folder):
+    df = catalog.alert_minute_documents(spark, folder)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final.count("ReusedExchange") >= 2
+    # Triggers once, all actions once.
+    assert final.count("FileScan") == 2
