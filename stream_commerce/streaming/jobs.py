@@ -135,9 +135,15 @@ def run_gmv(
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        table.write(gmv.partial_totals(gmv.readable(batch)), batch_id)
-        if on_unreadable is not None:
+        if on_unreadable is None:
+            table.write(gmv.partial_totals(gmv.readable(batch)), batch_id)
+            return
+        batch = batch.persist()
+        try:
+            table.write(gmv.partial_totals(gmv.readable(batch)), batch_id)
             on_unreadable(gmv.unreadable(batch), batch_id)
+        finally:
+            batch.unpersist()
 
     if once_within is None:
         parsed = gmv.parse_orders(orders.select("value"))
