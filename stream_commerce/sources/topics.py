@@ -54,16 +54,22 @@ def kafka_stream(
     )
 
 
-def kafka_range(
-    spark: SparkSession, servers: str, topic: str, from_ms: int, to_ms: int
-) -> DataFrame:
-    """Batch read of the messages that arrived in [from_ms, to_ms)."""
-    options = {
+def kafka_range_options(servers: str, topic: str, from_ms: int, to_ms: int) -> dict[str, str]:
+    return {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingTimestamp": str(from_ms),
         "endingTimestamp": str(to_ms),
+        # A partition without messages after from_ms is empty, not an error.
+        "startingOffsetsByTimestampStrategy": "latest",
     }
+
+
+def kafka_range(
+    spark: SparkSession, servers: str, topic: str, from_ms: int, to_ms: int
+) -> DataFrame:
+    """Batch read of the messages that arrived in [from_ms, to_ms)."""
+    options = kafka_range_options(servers, topic, from_ms, to_ms)
     return spark.read.format("kafka").options(**options).load().select(
         F.col("value").cast("string").alias("value"), "topic", F.col("timestamp").alias("arrived")
     )

@@ -1,7 +1,8 @@
 """Start one job: `spark-submit ... -m stream_commerce.streaming.app JOB --store DIR ...`.
 
 Messages come from Kafka (`--servers`) or, without a broker, from text files below
-`--feeds DIR/WRITER/topic=NAME`, where each writing job has a folder of its own. Tables and checkpoints live below `--store`, a shared folder.
+`--feeds DIR/WRITER/topic=NAME`, where each writing job has a folder of its own. Tables and
+checkpoints live below `--store`, a shared folder.
 """
 
 from __future__ import annotations

@@ -16,6 +16,8 @@ def test_topic_options():
     assert options["maxOffsetsPerTrigger"] == "1000"
     with pytest.raises(ValueError):
         topics.starting_offsets("t", "middle")
+    options = topics.kafka_range_options("h:9092", "t", 10, 20)
+    assert (options["startingTimestamp"], options["endingTimestamp"]) == ("10", "20")
 
 
 def test_saved_offsets_seed_a_stream(spark):
@@ -57,3 +59,27 @@ def test_first_and_last_per_key(spark):
     )
     assert {tuple(r) for r in first_per_key(df, ["k"], ["n"]).collect()} == {("a", 1, "w"), (None, 5, "z")}
     assert {tuple(r) for r in last_per_key(df, ["k"], ["n"]).collect()} == {("a", 2, "x"), (None, 5, "z")}
+
+
+def test_console_prints_each_batch(spark, tmp_path, capfd):
+    source = str(tmp_path / "in")
+    spark.createDataFrame([("hello",)], "value string").write.text(source)
+    query = sinks.console_writer(spark.readStream.text(source)).trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert "hello" in capfd.readouterr().out
+
+
+def test_work_folder_comes_from_the_session(spark, tmp_path):
+    from stream_commerce.config import new_work_dir
+
+    assert "/x-" in new_work_dir(spark, "x")
+
+    class Conf:
+        def get(self, key, default=None):
+            assert key == "spark.checkpoint.dir"
+            return "hdfs:///shared/"
+
+    class Session:
+        conf = Conf()
+
+    assert new_work_dir(Session(), "x").startswith("hdfs:///shared/x-")
