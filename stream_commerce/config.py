@@ -42,8 +42,13 @@ def _local_root() -> str:
 
 
 def work_root(spark: SparkSession) -> str:
-    """The shared folder named by the cluster; a local one only where none is named (tests)."""
-    return spark.conf.get(CHECKPOINT_DIR, None) or _local_root()
+    """The shared folder named by the cluster. Only a local master may do without one."""
+    named = spark.conf.get(CHECKPOINT_DIR, None)
+    if named:
+        return named
+    if not spark.conf.get("spark.master", "").startswith("local") or "cluster" in spark.conf.get("spark.master"):
+        raise ValueError(f"{CHECKPOINT_DIR} must name a folder that the driver and all executors share")
+    return _local_root()
 
 
 def new_work_dir(spark: SparkSession, label: str) -> str:
