@@ -5,21 +5,20 @@ smallest neighbour until only stars are left. A hub with many links is grouped w
 combine, so no task holds all its neighbours.
 
 `linked` turns bucket rows (key, node) into verified components without emitting all pairs of a
-bucket: members meet a few hubs of the bucket first; only where a bucket still holds several
-components do members of different components meet each other.
+bucket: members meet a few hubs of the bucket first; only members of buckets that still hold several
+components are looked at again, by an exact prefix filter over their sets.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stream_commerce.llm.shared import saved
 
 SALTS = (0, 0x2545F4914F6CDD1D, 0x5851F42D4C957F2D)
-EXTRA_ROUNDS = 3
 
 
 def _with_least(edges: DataFrame) -> DataFrame:
@@ -45,9 +44,11 @@ def _small_star(edges: DataFrame) -> DataFrame:
     ).filter("u <> v").distinct()
 
 
-def _mark(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
-    return tuple(row)
+def _stars(edges: DataFrame) -> bool:
+    """Whether every larger end has one link and is no smaller end of another."""
+    twice = edges.groupBy("u").count().filter("count > 1").select("u")
+    inner = edges.select("u").join(edges.select(F.col("v").alias("w")), F.col("u") == F.col("w"), "left_semi")
+    return twice.unionByName(inner).isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -60,75 +61,99 @@ def components(edges: DataFrame) -> DataFrame:
         edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"),
                      (F.col("u") < F.col("v")).isNotNull().alias("whole"))
         .filter("whole and u <> v").select("u", "v").distinct(), "edges")
-    mark = _mark(now)
-    while mark[0]:
+    while not _stars(now):
         now = saved(_small_star(_large_star(now)), "stars")
-        before, mark = mark, _mark(now)
-        if mark == before:
-            break
     leaves = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return leaves.unionByName(roots)
 
 
-def _hub_pairs(rows: DataFrame, salt: int) -> DataFrame:
-    """Every member of a bucket with the bucket's hub, the smallest node after a bit flip."""
-    hubs = rows.groupBy("key").agg(
-        F.min(F.col("node").bitwiseXOR(F.lit(salt))).alias("least"), F.count("*").alias("n")
-    ).filter("n > 1").select(
-        F.col("key").alias("hub_key"), F.col("least").bitwiseXOR(F.lit(salt)).alias("hub")
-    )
-    pairs = rows.join(hubs, F.col("key") == F.col("hub_key")).filter("node <> hub")
-    return pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
+def _hub_pairs(rows: DataFrame, salts: tuple[int, ...]) -> DataFrame:
+    """Every member of a bucket with the bucket's hubs, the smallest nodes after a bit flip each."""
+    least = [F.min(F.col("node").bitwiseXOR(F.lit(x))).bitwiseXOR(F.lit(x)) for x in salts]
+    hubs = rows.groupBy("key").agg(F.array_distinct(F.array(*least)).alias("hubs")).withColumnRenamed("key", "k")
+    met = rows.join(hubs, F.col("key") == F.col("k")).select("node", F.explode("hubs").alias("hub"))
+    return met.filter("node <> hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+
+
+def _named(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """Bucket rows with their component, a node without links being its own."""
+    names = found.withColumnRenamed("node", "x")
+    return rows.join(names, F.col("node") == F.col("x"), "left").select(
+        "key", "node", F.coalesce("component", "node").alias("own"))
+
+
+def _merged(found: DataFrame, links: DataFrame) -> DataFrame:
+    """The components after more links (a, b): only components that a link joins are contracted anew."""
+    ends = links.select(F.col("a").alias("node"), "b")
+    for _ in range(2):  # first a, then b gets the name of its component
+        names = found.withColumnRenamed("node", "x")
+        ends = ends.join(names, F.col("node") == F.col("x"), "left").select(
+            F.col("b").alias("node"), F.coalesce("component", "node").alias("b"))
+    joined = components(ends.select(F.col("node").alias("u"), F.col("b").alias("v")))
+    known = found.join(joined.withColumnRenamed("node", "x").withColumnRenamed("component", "c"),
+                       F.col("component") == F.col("x"), "left").select("node", F.coalesce("c", "component").alias("component"))
+    fresh = joined.join(found.select(F.col("node").alias("x")), F.col("node") == F.col("x"), "left_anti")
+    return saved(known.unionByName(fresh), "components")
 
 
 def linked(
-    rows: DataFrame, verify: Callable[[DataFrame], DataFrame], more_edges: DataFrame | None = None
+    rows: DataFrame, verify: Callable[[DataFrame], DataFrame], sets: Callable[[DataFrame], DataFrame],
+    percent: int, more_edges: DataFrame | None = None,
 ) -> DataFrame:
     """(node, component) from bucket rows (key, node), all longs.
 
-    `verify` gets distinct pairs (a, b), a < b, and returns those that are linked. `more_edges`
-    (u, v) are links known beforehand. A pair of one bucket goes unverified only if its ends are
-    already in one component.
+    `verify` gets distinct pairs (a, b), a < b, and returns those that are linked; `sets` gives (node,
+    hashes array<long>) of the nodes it gets; `percent` is the least Jaccard similarity of a link.
+    `more_edges` (u, v) are links known beforehand. A pair of one bucket goes unverified only if its
+    ends are already in one component or `prefix_pairs` rules it out.
     """
     rows = rows.select("key", "node")
-    tried = saved(
-        _hub_pairs(rows, SALTS[0]).unionByName(_hub_pairs(rows, SALTS[1]))
-        .unionByName(_hub_pairs(rows, SALTS[2])).distinct(), "pairs")
+    shared = rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("key").alias("k"))
+    rows = saved(rows.join(shared, F.col("key") == F.col("k"), "left_semi"), "buckets")
+    tried = saved(_hub_pairs(rows, SALTS), "pairs")
     edges = verify(tried).select(F.col("a").alias("u"), F.col("b").alias("v"))
     if more_edges is not None:
         edges = edges.unionByName(more_edges.select("u", "v"))
-    edges = saved(edges, "links")
     found = saved(components(edges), "components")
-    for extra in range(EXTRA_ROUNDS + 1):
-        named = rows.join(found.withColumnRenamed("node", "x"), F.col("node") == F.col("x"), "left")
-        named = named.select("key", "node", F.coalesce("component", "node").alias("own"))
-        open_keys = named.groupBy("key").agg(
-            F.min("own").alias("low"), F.max("own").alias("high"), F.count("*").alias("n")
-        ).filter("low <> high").select(F.col("key").alias("open_key"), "n")
-        left = saved(named.join(open_keys, F.col("key") == F.col("open_key"))
-                     .select("key", "node", "own", "n"), "open")
-        # Pairs that would come out if all open buckets were paired up now.
-        size, cost = left.agg(F.count("*"), F.sum(F.col("n").cast("double"))).first()
-        if not size:
-            return found
-        last = extra == EXTRA_ROUNDS or cost <= 64 * size
-        if last:
-            one, two = left.alias("one"), left.alias("two")
-            fresh = one.join(two, (F.col("one.key") == F.col("two.key"))
-                             & (F.col("one.node") < F.col("two.node"))
-                             & (F.col("one.own") != F.col("two.own"))
-                             ).select(F.col("one.node").alias("a"), F.col("two.node").alias("b"))
-        else:
-            fresh = _hub_pairs(left, (SALTS[1] * (2 * extra + 5)) & 0x7FFFFFFFFFFFFFFF)
-        fresh = saved(fresh.distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
-        if fresh.isEmpty():
-            return found
-        more = saved(verify(fresh).select(F.col("a").alias("u"), F.col("b").alias("v")), "links")
-        if not more.isEmpty():
-            edges = edges.unionByName(more)
-            found = saved(components(edges), "components")
-        if last:
-            return found
-        tried = tried.unionByName(fresh)
-    return found
+    named = _named(rows, found)
+    open_keys = named.groupBy("key").agg(F.min("own").alias("low"), F.max("own").alias("high")).filter(
+        "low <> high").select(F.col("key").alias("k"))
+    left = saved(named.join(open_keys, F.col("key") == F.col("k"), "left_semi").select("node", "own").distinct(), "open")
+    if left.isEmpty():
+        return found
+    fresh = saved(prefix_pairs(left, sets(left.select("node")), percent).join(tried, ["a", "b"], "left_anti"), "pairs")
+    if fresh.isEmpty():
+        return found
+    more = saved(verify(fresh), "links")
+    return found if more.isEmpty() else _merged(found, more)
+
+
+def prefix_pairs(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b), a < b, of different components that may be linked.
+
+    Two sets of similarity p share at least one of their rarest n - ceil(p n) + 1 elements, if both are
+    sorted by one global order, and the first shared one leaves room for enough others behind it.
+    Elements of one set only are rarest, so a set with many of its own meets nobody. `nodes` has
+    (node, own): its component.
+    """
+    items = saved(sets.select("node", F.size("hashes").alias("n"), F.explode("hashes").alias("h")), "elements")
+    often = items.groupBy("h").agg(F.count("*").alias("df")).filter("df > 1").select(F.col("h").alias("g"), "df")
+    met = items.join(often, F.col("h") == F.col("g"))
+    one = Window.partitionBy("node")
+    place = F.col("n") - F.count("*").over(one) + F.row_number().over(one.orderBy("df", "h"))
+    least = F.ceil(F.col("n") * percent / 100)
+    front = met.withColumn("place", place).filter(F.col("place") <= F.col("n") - least + 1).select("node", "n", "h", "place")
+    named = nodes.select(F.col("node").alias("x"), "own")
+    front = saved(front.join(named, F.col("node") == F.col("x")).select("node", "n", "h", "place", "own"), "prefixes")
+    # Of a pair of components at least one is not the largest at this element.
+    parts = front.groupBy("h", "own").agg(F.count("*").alias("size"))
+    top = parts.groupBy("h").agg(F.count("*").alias("parts"), F.max(F.struct("size", "own")).alias("top")).filter(
+        "parts > 1").select(F.col("h").alias("g"), F.col("top.own").alias("largest"))
+    small = front.join(top, F.col("h") == F.col("g")).filter("own <> largest").select(
+        F.col("node").alias("p"), F.col("n").alias("m"), F.col("h").alias("g"), F.col("place").alias("at"), F.col("own").alias("o"))
+    # At the first element both have, all others they share come later in either.
+    most = 1 + F.least(F.col("n") - F.col("place"), F.col("m") - F.col("at"))
+    close = most * (100 + percent) >= percent * (F.col("n") + F.col("m"))
+    met = small.join(front, (F.col("h") == F.col("g")) & (F.col("own") != F.col("o")) & close)
+    return met.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct()

@@ -187,15 +187,18 @@ def near_duplicates(
     copies = filled.select("doc_id", "digest").join(classes, "digest").filter("doc_id <> rep").select(
         F.col("doc_id").alias("u"), F.col("rep").alias("v"))
 
+    def sets(nodes: DataFrame) -> DataFrame:
+        own = nodes.select(F.col("node").alias("doc_id")).distinct()
+        return docs.join(own, "doc_id", "left_semi").mapInPandas(
+            _set_rows(size), "node long, hashes array<long>")
+
     def verify(pairs: DataFrame) -> DataFrame:
-        ends = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-        sets = saved(docs.join(ends, "doc_id", "left_semi").mapInPandas(
-            _set_rows(size), "node long, hashes array<long>"), "sets")
-        full = pairs.join(sets.select(F.col("node").alias("a"), F.col("hashes").alias("x")), "a").join(
-            sets.select(F.col("node").alias("b"), F.col("hashes").alias("y")), "b")
+        held = saved(sets(pairs.select(F.explode(F.array("a", "b")).alias("node"))), "sets")
+        full = pairs.join(held.select(F.col("node").alias("a"), F.col("hashes").alias("x")), "a").join(
+            held.select(F.col("node").alias("b"), F.col("hashes").alias("y")), "b")
         return full.mapInPandas(_linked_pairs(percent), "a long, b long").distinct()
 
-    found = linked(keys, verify, copies)
+    found = linked(keys, verify, sets, percent, copies)
     result = features.join(found.withColumnRenamed("node", "x"), F.col("doc_id") == F.col("x"), "left")
     component = F.coalesce("component", "doc_id")
     return result.select("doc_id", "n_shingles", component.alias("component_id"),
