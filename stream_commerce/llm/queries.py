@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stream_commerce.llm import minmax
+from stream_commerce.config import new_work_dir
+from stream_commerce.llm import chat, decontaminate, licences, minmax, mixing, neighbours, passages, token_files
 from stream_commerce.llm.shared import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,3 +50,86 @@ LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghij
 def op10_minmax(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate documents on two-word shingles at similarity 0.8."""
     return minmax.near_duplicates(read(spark, folder, "documents"), size=2, percent=80)
+
+
+@query()
+def op1_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest by inner product of every vector whose id is divisible by 20."""
+    return neighbours.nearest(read(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+@query()
+def op3_chat(spark: SparkSession, folder: str) -> DataFrame:
+    """Roles recovered from transcripts of all conversations, and their canonical rendering."""
+    turns = read(spark, folder, "conversations")
+    model = chat.train(turns)
+    return chat.recover(chat.turn_lines(chat.marked(turns)), model)
+
+
+@query()
+def op4_licences(spark: SparkSession, folder: str) -> DataFrame:
+    """License phrases and notices of every document."""
+    return licences.scan(read(spark, folder, "documents"))
+
+
+def encoded(spark: SparkSession, documents: DataFrame) -> DataFrame:
+    folder = new_work_dir(spark, "token-files")
+    token_files.write(documents, folder, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return token_files.summary(token_files.read(spark, folder))
+
+
+@query()
+def op5_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    """Token ids of every document, written to rANS files and read back."""
+    return encoded(spark, read(spark, folder, "documents"))
+
+
+@query()
+def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """Every benchmark passage in every document."""
+    return decontaminate.find(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
+def quality_domains(spark: SparkSession, folder: str, documents: DataFrame) -> DataFrame:
+    """(domain, text): language and labelled quality of the labelled documents."""
+    labels = read(spark, folder, "labels").select("doc_id", "quality")
+    return documents.select("doc_id", "lang", "text").join(labels, "doc_id").select(
+        F.concat_ws("-", "lang", F.when(F.col("quality") == 1, "good").otherwise("poor")).alias("domain"), "text")
+
+
+#: Every domain's share of the tokens is raised to this power, which lifts the small ones.
+FLATTEN = 0.7
+
+
+@query()
+def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Rates and copies of every document that bring the domains to flattened token shares."""
+    documents = read(spark, folder, "documents")
+    return mixing.rates(documents, quality_domains(spark, folder, documents), FLATTEN)
+
+
+_UNITS = """
+  with l as (
+    select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) line,
+           generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 unit from documents),
+  u as (
+    select doc_id, unit, length(line) chars, lower(trim(regexp_replace(line, '[ \\t\\x0B\\f\\r]+', ' ', 'g'), ' ')) plain from l),
+  w as (
+    select *, case when plain = '' then 0 else length(plain) - length(replace(plain, ' ', '')) + 1 end words,
+           coalesce(sum(chars + 1) over (partition by doc_id order by unit
+                    rows between unbounded preceding and 1 preceding), 0) start_at from u),
+  f as (
+    select *, words >= 8 and row_number() over (partition by plain order by doc_id, unit) > 1 gone from w)"""
+
+
+@query(f"""{_UNITS}
+  select doc_id, count(*) n_units, count(*) filter (gone) n_removed,
+         coalesce(sum(chars) filter (gone), 0)::bigint chars_removed,
+         coalesce(string_agg(unit || ':' || start_at || '-' || (start_at + chars), ',' order by unit) filter (gone), '') removed
+  from f group by 1""")
+def op8_passages(spark: SparkSession, folder: str) -> DataFrame:
+    """Units of every document that an earlier document or line already has, with their offsets."""
+    rows = passages.removed(read(spark, folder, "documents"))
+    spans = F.transform("removed", lambda s: F.concat(
+        s["unit"].cast("string"), F.lit(":"), s["start"].cast("string"), F.lit("-"), s["end"].cast("string")))
+    return rows.select("doc_id", "n_units", "n_removed", "chars_removed", F.array_join(spans, ",").alias("removed"))

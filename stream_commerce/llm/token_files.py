@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stream_commerce.config import new_work_dir
-from stream_commerce.llm.shared import texts
+from stream_commerce.llm.shared import saved, texts
 
 BITS = 20
 LANES = 1024
@@ -289,13 +289,12 @@ def _crcs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def summary(rows: DataFrame) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32); start counts the ids of all documents before it."""
-    digests = rows.mapInPandas(_crcs, "shard int, doc_id long, first long, n_tokens long, ids_crc32 long")
-    return digests
+    """(doc_id, start, n_tokens, ids_crc32); start counts the ids of all documents before it.
 
-
-def with_starts(digests: DataFrame) -> DataFrame:
-    """Shard-relative positions to positions in the whole corpus; one total per shard is summed up."""
+    Positions in a shard become positions in the corpus by one total per shard.
+    """
+    digests = saved(rows.mapInPandas(
+        _crcs, "shard int, doc_id long, first long, n_tokens long, ids_crc32 long"), "token-digests")
     totals = digests.groupBy("shard").agg(F.sum("n_tokens").alias("total")).orderBy("shard").collect()
     before, bases = 0, []
     for row in totals:
