@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stream_commerce.config import new_work_dir
-from stream_commerce.llm import chat, decontaminate, licences, minmax, mixing, neighbours, passages, token_files
+from stream_commerce.llm import chat, decontaminate, licences, minmax, mixing, neighbours, passages, token_files, toxicity
 from stream_commerce.llm.shared import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +58,13 @@ def op1_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.nearest(read(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+@query()
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document, learnt from the labels that are not held out."""
+    documents = read(spark, folder, "documents")
+    return toxicity.score(documents, toxicity.train(documents, read(spark, folder, "labels")))
+
+
 @query()
 def op3_chat(spark: SparkSession, folder: str) -> DataFrame:
     """Roles recovered from transcripts of all conversations, and their canonical rendering."""
