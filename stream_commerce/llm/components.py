@@ -5,8 +5,9 @@ smallest neighbour until only stars are left. A hub with many links is grouped w
 combine, so no task holds all its neighbours.
 
 `linked` turns bucket rows (key, node) into verified components without emitting all pairs of a
-bucket: members meet a few hubs of the bucket first; only members of buckets that still hold several
-components are looked at again, by an exact prefix filter over their sets.
+bucket: members meet a few hubs of the bucket first. Only buckets that still hold several components
+are looked at again: those of at most `FEW` members pair by pair (so pairs grow as rows do), the
+members of larger ones by an exact prefix filter over their sets.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 
 from stream_commerce.llm.shared import saved
 
+FEW = 32
 SALTS = (0, 0x2545F4914F6CDD1D, 0x5851F42D4C957F2D)
 
 
@@ -98,37 +100,56 @@ def _merged(found: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def linked(
-    rows: DataFrame, verify: Callable[[DataFrame], DataFrame], sets: Callable[[DataFrame], DataFrame],
-    percent: int, more_edges: DataFrame | None = None,
+    rows: DataFrame, sets: Callable[[DataFrame], DataFrame], percent: int, more_edges: DataFrame | None = None
 ) -> DataFrame:
     """(node, component) from bucket rows (key, node), all longs.
 
-    `verify` gets distinct pairs (a, b), a < b, and returns those that are linked; `sets` gives (node,
-    hashes array<long>) of the nodes it gets; `percent` is the least Jaccard similarity of a link.
-    `more_edges` (u, v) are links known beforehand. A pair of one bucket goes unverified only if its
-    ends are already in one component or `prefix_pairs` rules it out.
+    `sets` gives (node, hashes array<long>) of the nodes it gets, which are those of any shared bucket;
+    `percent` is the least Jaccard similarity of a link, held against full sets. `more_edges` (u, v) are
+    links known beforehand. A pair of one bucket goes unverified only if its ends are already in one
+    component or `prefix_pairs` rules it out.
     """
-    rows = rows.select("key", "node")
-    shared = rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("key").alias("k"))
+    # One shuffle serves the grouping and the join.
+    rows = rows.select("key", "node").repartition("key")
+    shared = rows.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter(
+        "low <> high").select(F.col("key").alias("k"))
     rows = saved(rows.join(shared, F.col("key") == F.col("k"), "left_semi"), "buckets")
+    held = saved(sets(rows.select("node").distinct()), "sets")
     tried = saved(_hub_pairs(rows, SALTS), "pairs")
-    edges = verify(tried).select(F.col("a").alias("u"), F.col("b").alias("v"))
+    edges = _verified(tried, held, percent).select(F.col("a").alias("u"), F.col("b").alias("v"))
     if more_edges is not None:
         edges = edges.unionByName(more_edges.select("u", "v"))
     found = saved(components(edges), "components")
     named = _named(rows, found)
-    open_keys = named.groupBy("key").agg(F.min("own").alias("low"), F.max("own").alias("high")).filter(
-        "low <> high").select(F.col("key").alias("k"))
-    left = saved(named.join(open_keys, F.col("key") == F.col("k"), "left_semi").select("node", "own").distinct(), "open")
+    open_keys = named.groupBy("key").agg(
+        F.min("own").alias("low"), F.max("own").alias("high"), F.count("*").alias("n")
+    ).filter("low <> high").select(F.col("key").alias("k"), "n")
+    left = saved(named.join(open_keys, F.col("key") == F.col("k")).select("key", "node", "own", "n"), "open")
     if left.isEmpty():
         return found
-    fresh = saved(prefix_pairs(left, sets(left.select("node")), percent).join(tried, ["a", "b"], "left_anti"), "pairs")
+    few, many = left.filter(F.col("n") <= FEW), left.filter(F.col("n") > FEW).select("node", "own").distinct()
+    own = many.select(F.col("node").alias("x"))
+    other = few.select(F.col("key").alias("k"), F.col("node").alias("b"), F.col("own").alias("o"))
+    direct = few.join(other, (F.col("key") == F.col("k")) & (F.col("node") < F.col("b")) & (F.col("own") != F.col("o"))).select(
+        F.col("node").alias("a"), "b").distinct()
+    fresh = direct.unionByName(prefix_pairs(many, held.join(own, F.col("node") == F.col("x"), "left_semi"), percent))
+    fresh = saved(fresh.distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
     if fresh.isEmpty():
         return found
-    more = saved(verify(fresh), "links")
+    more = saved(_verified(fresh, held, percent), "links")
     return found if more.isEmpty() else _merged(found, more)
 
 
+def _verified(pairs: DataFrame, held: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar enough; a node may have several sets."""
+    one = held.select(F.col("node").alias("x"), F.col("hashes").alias("p"))
+    two = held.select(F.col("node").alias("y"), F.col("hashes").alias("q"))
+    full = pairs.join(one, F.col("a") == F.col("x")).join(two, F.col("b") == F.col("y"))
+    counted = full.select(
+        "a", "b", F.size(F.array_intersect("p", "q")).alias("common"), (F.size("p") + F.size("q")).alias("both"))
+    return counted.filter(F.col("common") * 100 >= (F.col("both") - F.col("common")) * percent).select("a", "b").distinct()
+
+
 def prefix_pairs(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b), a < b, of different components that may be linked.
 
@@ -137,8 +158,9 @@ def prefix_pairs(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     Elements of one set only are rarest, so a set with many of its own meets nobody. `nodes` has
     (node, own): its component.
     """
-    items = saved(sets.select("node", F.size("hashes").alias("n"), F.explode("hashes").alias("h")), "elements")
-    often = items.groupBy("h").agg(F.count("*").alias("df")).filter("df > 1").select(F.col("h").alias("g"), "df")
+    items = sets.select("node", F.size("hashes").alias("n"), F.explode("hashes").alias("h")).repartition("h")
+    often = items.groupBy("h").agg(F.count("*").alias("df"), F.max("n"), F.max("node")).filter("df > 1").select(
+        F.col("h").alias("g"), "df")
     met = items.join(often, F.col("h") == F.col("g"))
     one = Window.partitionBy("node")
     place = F.col("n") - F.count("*").over(one) + F.row_number().over(one.orderBy("df", "h"))

@@ -152,20 +152,6 @@ def _set_rows(size: int):
     return run
 
 
-def _linked_pairs(percent: int):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            keep = []
-            for x, y in zip(frame["x"], frame["y"], strict=True):
-                # Both are sorted as unsigned, so equal values meet after one more sort.
-                both = np.sort(np.concatenate((x, y)))
-                common = int(np.count_nonzero(both[1:] == both[:-1]))
-                keep.append(100 * common >= percent * (len(both) - common))
-            yield frame.loc[keep, ["a", "b"]]
-
-    return run
-
-
 def near_duplicates(
     documents: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id",
     text_col: str = "text", permutations: int = PERMUTATIONS, rows: int = ROWS,
@@ -183,22 +169,16 @@ def near_duplicates(
     classes = saved(filled.groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
     reps = filled.join(classes.withColumnRenamed("digest", "d"), (F.col("digest") == F.col("d"))
                        & (F.col("doc_id") == F.col("rep")), "left_semi")
-    keys = saved(reps.select(F.explode("bands").alias("key"), F.col("doc_id").alias("node")).distinct(), "bands")
+    keys = reps.select(F.explode("bands").alias("key"), F.col("doc_id").alias("node"))
     copies = filled.select("doc_id", "digest").join(classes, "digest").filter("doc_id <> rep").select(
         F.col("doc_id").alias("u"), F.col("rep").alias("v"))
 
     def sets(nodes: DataFrame) -> DataFrame:
-        own = nodes.select(F.col("node").alias("doc_id")).distinct()
+        own = nodes.select(F.col("node").alias("doc_id"))
         return docs.join(own, "doc_id", "left_semi").mapInPandas(
             _set_rows(size), "node long, hashes array<long>")
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        held = saved(sets(pairs.select(F.explode(F.array("a", "b")).alias("node"))), "sets")
-        full = pairs.join(held.select(F.col("node").alias("a"), F.col("hashes").alias("x")), "a").join(
-            held.select(F.col("node").alias("b"), F.col("hashes").alias("y")), "b")
-        return full.mapInPandas(_linked_pairs(percent), "a long, b long").distinct()
-
-    found = linked(keys, verify, sets, percent, copies)
+    found = linked(keys, sets, percent, copies)
     result = features.join(found.withColumnRenamed("node", "x"), F.col("doc_id") == F.col("x"), "left")
     component = F.coalesce("component", "doc_id")
     return result.select("doc_id", "n_shingles", component.alias("component_id"),

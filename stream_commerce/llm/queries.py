@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stream_commerce.config import new_work_dir
-from stream_commerce.llm import chat, decontaminate, licences, minmax, mixing, neighbours, passages, token_files, toxicity
+from stream_commerce.llm import chat, decontaminate, licences, lines, minmax, mixing, neighbours, passages, token_files, toxicity
 from stream_commerce.llm.shared import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -140,3 +140,9 @@ def op8_passages(spark: SparkSession, folder: str) -> DataFrame:
     spans = F.transform("removed", lambda s: F.concat(
         s["unit"].cast("string"), F.lit(":"), s["start"].cast("string"), F.lit("-"), s["end"].cast("string")))
     return rows.select("doc_id", "n_units", "n_removed", "chars_removed", F.array_join(spans, ",").alias("removed"))
+
+
+@query()
+def op9_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Every line of every document with the near-equal line kept for it."""
+    return lines.fuzzy_lines(read(spark, folder, "documents"))
