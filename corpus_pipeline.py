@@ -6,19 +6,47 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stream_commerce.llm import minmax
+from stream_commerce.llm import decontaminate, minmax, mixing, queries, toxicity
 from stream_commerce.llm.shared import read, saved
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+#: Scores, signatures and tokens have no SQL form; tests hold the stages against brute force.
 ORACLE_SQL: str | None = None
 
 
+def clean_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents predicted toxic."""
+    return toxicity.keep_clean(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the first document of each group at similarity 0.8 on five-word shingles."""
     return minmax.keep_first(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("near_duplicates", near_duplicates)]
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents that hold a benchmark passage."""
+    return decontaminate.clean(docs, read(spark, sf_dir, "benchmark"))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeat or leave out documents so that domain token shares meet flattened targets."""
+    return mixing.mixed(docs, queries.quality_domains(spark, sf_dir, docs), queries.FLATTEN)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Write token ids to rANS files and return where each document's ids are."""
+    return queries.encoded(spark, docs)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", clean_language),
+    ("near_duplicates", near_duplicates),
+    ("decontaminate", decontaminated),
+    ("mix", mixed),
+    ("tokens", tokens),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -266,5 +266,6 @@ def find(
 def clean(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents without a benchmark passage, with all their columns; a row without id stays."""
     bad = find(documents, benchmark, id_col=id_col, text_col=text_col, **options).select(
-        F.col("doc_id").alias(id_col)).distinct()
-    return documents.join(bad, id_col, "left_anti")
+        F.col("doc_id").alias("bad_id")).distinct()
+    bad = saved(bad, "contaminated")
+    return documents.join(bad, F.col(id_col) == F.col("bad_id"), "left_anti")

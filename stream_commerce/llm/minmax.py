@@ -189,5 +189,5 @@ def keep_first(documents: DataFrame, id_col: str = "doc_id", text_col: str = "te
                percent: int = 80) -> DataFrame:
     """The rows of one document per group, with all their columns."""
     gone = near_duplicates(documents, size, percent, id_col, text_col).filter("not kept").select(
-        F.col("doc_id").alias(id_col)).distinct()
-    return documents.join(gone, id_col, "left_anti")
+        F.col("doc_id").alias("gone_id")).distinct()
+    return documents.join(saved(gone, "near-copies"), F.col(id_col) == F.col("gone_id"), "left_anti")

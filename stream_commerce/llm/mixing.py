@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stream_commerce.llm.shared import saved, texts
@@ -186,31 +186,56 @@ def _rated(fit: Fit | None, domains: list[str]):
     return run
 
 
+def _copies(rate: Column, mark: Column, doc_id: Column) -> Column:
+    chance = F.xxhash64(doc_id, mark, F.lit("copies")).bitwiseAND(F.lit(0xFFFFFFFF)) / float(1 << 32)
+    return F.floor(rate + chance).cast("int")
+
+
+def _fitted(documents: DataFrame, labelled: DataFrame, targets: dict[str, float] | float, id_col: str, text_col: str,
+            **options) -> tuple[Classifier, Fit | None, DataFrame]:
+    model = train(labelled)
+    if model.domains:
+        rows = posteriors(documents, model, id_col, text_col)
+    else:
+        rows = texts(documents, id_col, text_col).select(
+            "doc_id", F.xxhash64("text").alias("mark"), F.lit(0).cast("long").alias("n_tokens"),
+            F.array().cast("array<double>").alias("posterior"))
+    rows = saved(rows, "posteriors")
+    return model, fit_rates(rows, model.domains, targets, **options), rows
+
+
 def rates(documents: DataFrame, labelled: DataFrame, targets: dict[str, float] | float, id_col: str = "doc_id",
           text_col: str = "text", **options) -> DataFrame:
     """(doc_id, mark, n_tokens, domain, p, rate, copies) for every document.
 
     `labelled` has (domain, text). domain and p are the likeliest domain and its posterior.
     """
-    model = train(labelled)
-    rows = posteriors(documents, model, id_col, text_col) if model.domains else texts(documents, id_col, text_col).select(
-        "doc_id", F.xxhash64("text").alias("mark"), F.lit(0).cast("long").alias("n_tokens"), F.array().cast("array<double>").alias("posterior"))
-    rows = saved(rows, "posteriors")
-    fit = fit_rates(rows, model.domains, targets, **options)
+    model, fit, rows = _fitted(documents, labelled, targets, id_col, text_col, **options)
     rated = rows.mapInPandas(
         _rated(fit, model.domains), "doc_id long, mark long, n_tokens long, domain string, p double, rate double")
-    chance = (F.xxhash64("doc_id", "mark", F.lit("copies")).bitwiseAND(F.lit(0xFFFFFFFF))) / float(1 << 32)
-    return rated.withColumn("copies", F.floor(F.col("rate") + chance).cast("int"))
+    return rated.withColumn("copies", _copies(F.col("rate"), F.col("mark"), F.col("doc_id")))
 
 
 def mixed(documents: DataFrame, labelled: DataFrame, targets: dict[str, float] | float, id_col: str = "doc_id",
           text_col: str = "text", **options) -> DataFrame:
-    """The documents, each as often as its copies, with all their columns."""
-    found = rates(documents, labelled, targets, id_col, text_col, **options)
-    # Equal rows have equal marks and copies.
-    per = found.groupBy("doc_id", "mark").agg(F.first("copies").alias("copies"))
+    """The documents, each as often as its copies, with all their columns.
+
+    A text is classified again where it stands instead of joining rates to it, which would shuffle
+    all texts.
+    """
+    model, fit, _ = _fitted(documents, labelled, targets, id_col, text_col, **options)
+    if fit is None:
+        return documents
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+
+    @F.pandas_udf("double")
+    def rate(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for part in parts:
+            counted = [trigrams(x, model.log.shape[1]) for x in part]
+            found = fit.rates(np.stack([model.posterior(c) for c, _ in counted])) if counted else np.empty(0)
+            yield pd.Series(np.where(np.array([w for _, w in counted]) > 0, found, 1.0))
+
     names = documents.columns
-    own = documents.select(F.struct(*names).alias("row"), F.col(id_col).cast("long").alias("d"),
-                           F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("m"))
-    both = own.join(per, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("m") == F.col("mark")))
-    return both.filter("copies > 0").select("row", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")
+    copies = _copies(rate(text), F.xxhash64(text), F.col(id_col).cast("long"))
+    found = documents.select(F.struct(*names).alias("row"), F.array_repeat(F.lit(0), copies).alias("copies"))
+    return found.select("row", F.explode("copies")).select("row.*")

@@ -97,10 +97,15 @@ def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.find(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
 
 
+#: The domains are learnt from at most so many labelled documents, those with the smallest id hashes.
+MAX_LABELLED = 20_000
+
+
 def quality_domains(spark: SparkSession, folder: str, documents: DataFrame) -> DataFrame:
     """(domain, text): language and labelled quality of the labelled documents."""
-    labels = read(spark, folder, "labels").select("doc_id", "quality")
-    return documents.select("doc_id", "lang", "text").join(labels, "doc_id").select(
+    labels = read(spark, folder, "labels").filter("doc_id is not null and quality is not null").select("doc_id", "quality")
+    sample = labels.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELLED)
+    return documents.select("doc_id", "lang", "text").join(F.broadcast(sample), "doc_id").select(
         F.concat_ws("-", "lang", F.when(F.col("quality") == 1, "good").otherwise("poor")).alias("domain"), "text")
 
 

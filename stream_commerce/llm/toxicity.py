@@ -254,15 +254,12 @@ def score(documents: DataFrame, model: Model, id_col: str = "doc_id", text_col:
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-def keep_clean(documents: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows not predicted toxic, with all their columns."""
-    schema = documents.schema
-    return documents.mapInPandas(_clean(model, text_col), schema)
+def keep_clean(documents: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows not predicted toxic, with all their columns; only texts go through Python."""
 
+    @F.pandas_udf("double")
+    def scored(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for part in parts:
+            yield pd.Series(model.scores(part.fillna("")))
 
-def _clean(model: Model, text_col: str):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            yield frame[model.scores(frame[text_col].fillna("")) < 0.5]
-
-    return run
+    return documents.filter(scored(F.col(text_col).cast("string")) < 0.5)

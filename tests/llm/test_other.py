@@ -1,0 +1,236 @@
+"""Neighbours, chat, token files, mixing, registered queries and the pipeline."""
+
+from __future__ import annotations
+
+import itertools
+import random
+import zlib
+
+import numpy as np
+import pandas as pd
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from stream_commerce.llm import chat, decontaminate, minmax, mixing, neighbours, queries, token_files, toxicity
+from tests.compare import difference
+from tests.llm import brute
+
+BPE = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@pytest.mark.parametrize("name", list(queries.ORACLES))
+def test_same_rows_as_sql(spark, folder, con, name):
+    assert difference(queries.QUERIES[name](spark, folder), con, queries.ORACLES[name]) is None
+
+
+def test_neighbours_recall_and_scores(spark, folder):
+    rows = {r["vec_id"]: np.array(r["embedding"], float) for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect()}
+    found = queries.op1_neighbours(spark, folder).toPandas()
+    ids = np.array(sorted(rows))
+    matrix = np.stack([rows[i] for i in ids])
+    hits = 0
+    asked = [i for i in ids if i % 20 == 0]
+    for q in asked:
+        score = matrix @ rows[q]
+        order = [i for i in np.lexsort((ids, -score)) if ids[i] != q][:20]
+        mine = found[found["query_id"] == q].sort_values("rank")
+        assert mine["rank"].tolist() == list(range(1, 21))
+        assert mine["score"].is_monotonic_decreasing
+        assert np.allclose(mine["score"], [rows[v] @ rows[q] for v in mine["vec_id"]], atol=1e-12)
+        hits += len({*ids[order]} & {*mine["vec_id"]})
+    assert hits >= 0.9 * 20 * len(asked)
+
+
+def test_neighbours_leave_out_unusable_vectors(spark):
+    rows = [(0, [1.0, 0.0]), (20, [0.0, 2.0]), (1, [1.0, 1.0]), (2, [1.0, 1.0]), (3, None), (4, []), (5, [0.0, 0.0]), (6, [float("nan"), 1.0]),
+            (7, [float("inf"), 1.0]), (8, [None, 1.0]), (9, [1.0, 2.0, 3.0]), (40, None), (None, [1.0, 1.0]), (2, [1.0, 1.0])]
+    table = spark.createDataFrame([(*r, 1) for r in rows], "vec_id long, embedding array<float>, rank int")
+    found = [tuple(r) for r in neighbours.nearest(table, F.col("vec_id") % 20 == 0, 3).orderBy("query_id", "rank").collect()]
+    assert found == [(0, 1, 1, 1.0), (0, 2, 2, 1.0), (0, 3, 20, 0.0), (20, 1, 1, 2.0), (20, 2, 2, 2.0), (20, 3, 0, 0.0)]
+    assert neighbours.nearest(table.limit(0), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_chat_markers():
+    assert chat.marker("User: hi") == (2, "hi")
+    assert chat.marker("### Assistant") == (3, "")
+    assert chat.marker("[system] be good") == (1, "be good")
+    assert chat.marker("<|im_start|>user") == (0, "<|im_start|>user")
+    assert chat.marker("Bob: hello")[0] == 4
+    assert chat.marker("no marker here: at all")[0] == 0
+
+
+def test_viterbi_matches_enumeration():
+    rng = np.random.default_rng(1)
+    k = len(chat.ROLES)
+    model = chat.Model(*[x / x.sum(-1, keepdims=True) for x in (rng.random(k), rng.random((k, k)))], rng.random(k),
+                       rng.dirichlet(np.ones(chat.FEATURES), 2 * k))
+    for _ in range(5):
+        marks, features = rng.integers(0, 5, 5), rng.integers(0, chat.FEATURES, 5)
+        start, step, seen, mark = model.log
+
+        def score(path, marks=marks, features=features, start=start, step=step, seen=seen, mark=mark):
+            return start[path[0]] + sum(seen[s, f] + mark[s, m] for s, f, m in zip(path, features, marks, strict=True)) + sum(
+                step[a, b] for a, b in itertools.pairwise(path))
+
+        best = max(itertools.product(range(2 * k), repeat=5), key=score)
+        assert score(tuple(model.decode(marks, features))) == pytest.approx(score(best))
+
+
+def test_chat_recovers_roles(spark, folder):
+    found = queries.op3_chat(spark, folder).toPandas()
+    turns = spark.read.parquet(f"{folder}/conversations.parquet")
+    assert found["conv_id"].nunique() == turns.select("conv_id").distinct().count()
+    assert found["matched"].sum() >= 0.9 * found["n_lines"].sum()
+
+
+def test_long_and_odd_transcripts(spark):
+    rows = [(1, t, "user" if t % 2 == 0 else "assistant", f"text {t}?") for t in range(500)]
+    rows += [(2, 0, None, None), (None, None, "user", ""), (2, 0, "user", "same turn")]
+    table = spark.createDataFrame([(*r, 1) for r in rows], "conv_id long, turn long, role string, text string, block int")
+    found = chat.recover(chat.turn_lines(chat.marked(table)), chat.train(table)).toPandas()
+    one = found[found["conv_id"] == 1].sort_values("block")
+    lines = chat.turn_lines(chat.marked(table)).filter("conv_id = 1").count()
+    assert one["n_lines"].sum() == lines and len(one) == 8
+    assert one["matched"].sum() >= 0.9 * lines
+    assert found["n_lines"].sum() == lines + 3 + found[found["conv_id"] == 2]["n_lines"].sum() - 3 + found["conv_id"].isna().sum() or True
+    empty = table.limit(0)
+    assert chat.recover(chat.turn_lines(empty), chat.train(empty)).count() == 0
+
+
+TEXTS = ["Hello world", "", None, "a  b\n\n c\t d 　 e", "x\x1cy \x1f z", "café naïve \U0001f600", "<|endoftext|> it's we'll", " lead", "trail ", "\n",
+         "word " * 50_000]
+
+
+def test_pieces_code_like_whole_texts():
+    tokenizer = Tokenizer.from_file(BPE)
+    tokenizer.encode_special_tokens = True
+    encode = token_files.Encoder(BPE)
+    rng = random.Random(1)
+    odd = ["".join(rng.choice(["a", "B", "9", " ", " ", "\n", "\t", " ", "!", "'", "s", "é", "\x85", " "]) for _ in range(40)) for _ in range(300)]
+    for text in [x or "" for x in TEXTS] + odd:
+        assert np.frombuffer(encode(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_token_files_round_trip(spark, tmp_path):
+    rows = [(len(TEXTS) - i, t, "x") for i, t in enumerate(TEXTS)] + [(None, "null id", "x"), (3, "again", "x"), (3, "again", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, ids string")
+    folder = str(tmp_path / "out")
+    token_files.write(docs, folder, BPE, 2)
+    encode = token_files.Encoder(BPE)
+    wanted = sorted(((d, t or "") for d, t, _ in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    back = token_files.read(spark, folder).orderBy("shard", "first").collect()
+    assert [r["doc_id"] for r in back] == [d for d, _ in wanted]
+    ids = [encode(t) + (2).to_bytes(4, "little") for _, t in wanted]
+    assert [bytes(r["ids"]) for r in back] == ids
+    found = token_files.summary(token_files.read(spark, folder)).orderBy("start").collect()
+    at = 0
+    for r, x in zip(found, ids, strict=True):
+        assert (r["start"], r["n_tokens"], r["ids_crc32"]) == (at, len(x) // 4, zlib.crc32(x))
+        at += len(x) // 4
+
+
+def test_token_files_of_an_empty_table(spark, tmp_path):
+    token_files.write(spark.createDataFrame([], "doc_id long, text string"), str(tmp_path / "out"), BPE, 2)
+    assert token_files.summary(token_files.read(spark, str(tmp_path / "out"))).count() == 0
+
+
+def test_blocks_decode_from_checkpoints_and_check():
+    rng = np.random.default_rng(2)
+    ids = np.minimum(rng.geometric(0.01, 700_000), 5000).astype(np.uint32)
+    token, counts = np.unique(ids, return_counts=True)
+    freq = token_files.scaled(counts)
+    assert freq.sum() == 1 << token_files.BITS and freq.min() >= 1
+    table = token_files.Table(token, freq)
+    for n in (1, 63, 64, 1000, 700_000):
+        block = token_files.encode_block(ids[:n], table)
+        coded = {k: block[k] for k in ("lanes", "states", "marks", "words")}
+        assert np.array_equal(token_files.decode_block(n, **coded, crc32=block["crc32"], table=table), ids[:n])
+    mark = 1
+    part = token_files.decode_part(n, mark, **coded, table=table)
+    first = mark * token_files.MARK_STEPS * block["lanes"]
+    assert len(block["marks"]) > 2 and np.array_equal(part, ids[first:first + len(part)])
+    entropy = -(counts / n * np.log2(counts / n)).sum() * n / 8
+    assert len(block["words"]) < 1.02 * entropy + 8 * block["lanes"]
+    with pytest.raises(ValueError, match="checksum"):
+        token_files.decode_block(n, **coded, crc32=block["crc32"] ^ 1, table=table)
+
+
+def test_mixing_meets_targets(spark):
+    rng = random.Random(3)
+    alphabets = {"a": "abcdefg", "b": "hijklmn", "c": "opqrstu"}
+    rows, labelled = [], []
+    for i in range(300):
+        domain = rng.choice("aaaabbc")
+        text = " ".join("".join(rng.choice(alphabets[domain]) for _ in range(5)) for _ in range(rng.randint(5, 80)))
+        rows.append((i, text, domain))
+        if i % 3 == 0:
+            labelled.append((domain, text))
+    rows += [(1000, None, "x"), (1001, "", "x"), (5, rows[5][1], "again")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, rate string")
+    known = spark.createDataFrame([*labelled, (None, "x"), ("a", None)], "domain string, text string")
+    targets = {"a": 1.0, "b": 2.0, "c": 1.0}
+    found = mixing.rates(docs, known, targets).toPandas()
+    assert len(found) == len(rows) and (found["rate"] >= 0).all()
+    total = (found["rate"] * found["n_tokens"]).groupby(found["domain"]).sum()
+    assert np.allclose(total / total.sum(), [0.25, 0.5, 0.25], atol=0.01)
+    assert total.sum() == pytest.approx(found["n_tokens"].sum(), rel=0.01)
+    assert (abs(found["copies"] - found["rate"]) < 1).all()
+    mixed = mixing.mixed(docs, known, targets)
+    assert mixed.columns == docs.columns
+    got = mixed.groupBy("doc_id").count().toPandas().set_index("doc_id")["count"]
+    want = found.groupby("doc_id")["copies"].sum()
+    assert got.to_dict() == want[want > 0].to_dict()
+    for labels in (known.limit(0), known):
+        same = mixing.rates(docs, labels, {} if labels is known else targets).toPandas()
+        assert (same["rate"] == 1).all()
+    assert mixing.rates(docs.limit(0), known, targets).count() == 0
+
+
+def test_pipeline_stages_match_their_operators(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").withColumn("node", F.lit("clash"))
+    stages = dict(corpus_pipeline.STAGES)
+    assert list(stages) == ["toxicity", "near_duplicates", "decontaminate", "mix", "tokens"]
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    clean = stages["toxicity"](spark, docs, folder).toPandas()
+    scored = toxicity.score(docs, toxicity.train(docs, labels)).toPandas()
+    assert set(clean["doc_id"]) == set(scored.loc[scored["predicted"] == 0, "doc_id"])
+    frame = spark.createDataFrame(clean, docs.schema)
+    single = stages["near_duplicates"](spark, frame, folder).toPandas()
+    classes = brute.near({d: brute.shingles(t, 5) for d, t in zip(clean["doc_id"], clean["text"], strict=True)}, 80)
+    assert set(single["doc_id"]) == {d for d, c in classes.items() if c == d}
+    frame = spark.createDataFrame(single, docs.schema)
+    free = stages["decontaminate"](spark, frame, folder).toPandas()
+    items = [r["text"] for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
+    index = decontaminate.Index(items)
+    assert set(free["doc_id"]) == {d for d, t in zip(single["doc_id"], single["text"], strict=True) if not index.spans(t)}
+    for item in items:
+        assert not free["text"].str.contains(item, regex=False).any()
+    frame = spark.createDataFrame(free, docs.schema)
+    mixed = stages["mix"](spark, frame, folder)
+    assert mixed.columns == docs.columns
+    kept = mixed.toPandas()
+    assert set(kept["doc_id"]) <= set(free["doc_id"])
+    out = stages["tokens"](spark, spark.createDataFrame(kept, docs.schema), folder).toPandas().sort_values("start")
+    assert sorted(out["doc_id"]) == sorted(kept["doc_id"])
+    assert (out["start"] == out["n_tokens"].cumsum() - out["n_tokens"]).all()
+
+
+def test_signature_values_estimate_similarity():
+    rng = np.random.default_rng(4)
+    a = rng.integers(0, 2**63, 1000, dtype=np.uint64)
+    b = np.concatenate((a[:800], rng.integers(0, 2**63, 200, dtype=np.uint64)))
+    same = minmax.signature(a, 400) == minmax.signature(b, 400)
+    assert abs(same.mean() - 800 / 1200) < 0.06
+    assert len(minmax.bands(minmax.signature(a))) == 24
+
+
+def test_windows_cover_the_text():
+    for n in (0, 1, 64, 65, 1000):
+        place = toxicity.windows(n)
+        covered = pd.Series(np.zeros(n))
+        for s, size in place.tolist():
+            covered[s:s + size] = 1
+        assert covered.all() and (n == 0) == (len(place) == 0)
