@@ -43,7 +43,6 @@ NOTICES = [
             "provided that the following conditions are met"),
     ("mpl", "this source code form is subject to the terms of the mozilla public license"),
     ("cc-by-nc", "licensed under cc by nc 4 0"),
-    ("cc-by", "licensed under cc by 4 0"),
     ("cc-by", "licensed under the creative commons attribution 4 0 international license"),
     ("cc0", "to the extent possible under law the author has waived all copyright"),
     ("unlicense", "this is free and unencumbered software released into the public domain"),

@@ -52,13 +52,13 @@ def test_passages_keep_the_first_and_say_where(spark):
     docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, unit string")
     found = {(r["doc_id"], r["copy"]): r for r in passages.removed(docs).collect()}
     assert len(found) == 6
-    assert [tuple(x) for x in found[2, 0]["removed"]] == [(2, 56, 102, 2, 0)]
+    assert [tuple(x) for x in found[2, 0]["removed"]] == [(2, 55, 103, 2, 0)]
     assert [tuple(x)[:3] for x in found[4, 0]["removed"]] == [(1, 6, 50)] == [tuple(x)[:3] for x in found[4, 1]["removed"]]
     assert found[None, 0]["n_removed"] == 1 and found[9, 0]["n_units"] == found[10, 0]["n_units"] == 1
     left = {(r["doc_id"], r["copy"]): r for r in passages.deduplicated(docs).collect()}
     assert left[4, 0]["text"] == "start\nend" and left[None, 0]["text"] == "" and left[9, 0]["text"] == ""
     text = rows[1][1]
-    assert left[2, 0]["text"] == "\n".join(text[s["start"]:s["end"]] for s in left[2, 0]["spans"]) == text[:55]
+    assert left[2, 0]["text"] == "\n".join(text[s["start"]:s["end"]] for s in left[2, 0]["spans"]) == text[:54]
     assert passages.removed(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
@@ -90,7 +90,8 @@ def test_decontamination_finds_edited_passages_only(spark):
     for r in found:
         if r["doc_id"] is not None:
             inside = re.sub(r"\s+", " ", docs[r["doc_id"]][1][r["start"]:r["end"]].lower())
-            assert brute.edit_distance_within(inside[:64], items[r["item_id"]]) <= decontaminate.EDITS
+            item = items[r["item_id"]]
+            assert any(brute.edit_distance_within(item[w:w + 64], inside) <= decontaminate.EDITS for w in range(0, len(item) - 63))
     left = decontaminate.clean(table, bench)
     assert left.columns == table.columns
     assert {r["doc_id"] for r in left.collect()} == {None, 1000, 1001, 1002, *(i for i in range(80) if i not in leaks)}
