@@ -109,11 +109,9 @@ def linked(
     links known beforehand. A pair of one bucket goes unverified only if its ends are already in one
     component or `prefix_pairs` rules it out.
     """
-    # One shuffle serves the grouping and the join.
-    rows = rows.select("key", "node").repartition("key")
-    shared = rows.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter(
-        "low <> high").select(F.col("key").alias("k"))
-    rows = saved(rows.join(shared, F.col("key") == F.col("k"), "left_semi"), "buckets")
+    one = Window.partitionBy("key")
+    spread = rows.select("key", "node", F.min("node").over(one).alias("low"), F.max("node").over(one).alias("high"))
+    rows = saved(spread.filter("low <> high").select("key", "node"), "buckets")
     held = saved(sets(rows.select("node").distinct()), "sets")
     tried = saved(_hub_pairs(rows, SALTS), "pairs")
     edges = _verified(tried, held, percent).select(F.col("a").alias("u"), F.col("b").alias("v"))
