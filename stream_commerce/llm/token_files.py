@@ -37,9 +37,10 @@ BITS = 20
 LANES = 1024
 BLOCK_TOKENS = 1 << 19
 MARK_STEPS = 256
-CACHE_PIECES = 300_000
+CACHE_PIECES = 400_000
 _LOW = np.uint64(1 << 31)
 _PIECE = re.compile(r"\s*\S+|\s+")
+_SIGNS = ".,;:!?"
 # Python counts these as white space, the tokenizer's pattern does not.
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 _caches: dict[str, tuple[object, dict[str, bytes]]] = {}
@@ -60,6 +61,7 @@ class Encoder:
             tokenizer.encode_special_tokens = True
             _caches[path] = tokenizer, {}
         self.tokenizer, self.known = _caches[path]
+        self.signs = dict(zip(_SIGNS, self._code(list(_SIGNS)), strict=True))
 
     def _code(self, pieces: list[str]) -> list[bytes]:
         return [np.array(x.ids, "<u4").tobytes()
@@ -69,17 +71,34 @@ class Encoder:
         if _ODD_SPACE.search(text):
             return self._code([text])[0]
         pieces = _PIECE.findall(text)
+        found = list(map(self.known.get, pieces))
+        if None in found:
+            self._fill(pieces, found)
+        return b"".join(found)
+
+    def _fill(self, pieces: list[str], found: list[bytes | None]) -> None:
+        """Code what is not known. A sign behind letters is coded apart, so that words are known with
+        any sign; a full memory keeps the pieces that came first, the frequent ones."""
         known = self.known
-        try:
-            return b"".join([known[x] for x in pieces])
-        except KeyError:
-            new = [x for x in dict.fromkeys(pieces) if x not in known]
+        gaps: list[tuple[int, str, bytes]] = []
+        for i, code in enumerate(found):
+            if code is None:
+                piece, sign = pieces[i], b""
+                if piece[-1] in _SIGNS and piece[:-1].lstrip().isalpha():
+                    piece, sign = piece[:-1], self.signs[piece[-1]]
+                    code = known.get(piece)
+                if code is None:
+                    gaps.append((i, piece, sign))
+                else:
+                    found[i] = code + sign
+        new = list({piece for _, piece, _ in gaps})
+        if not new:
+            return
         own = dict(zip(new, self._code(new), strict=True))
-        out = b"".join([known.get(x) or own[x] for x in pieces])
-        if len(known) + len(own) > CACHE_PIECES:
-            known.clear()
-        known.update(x for x in own.items() if len(x[0]) < 64)
-        return out
+        for i, piece, sign in gaps:
+            found[i] = own[piece] + sign
+        if len(known) < CACHE_PIECES:
+            known.update(x for x in own.items() if len(x[0]) < 64)
 
 
 def _tokenise(path: str, end_id: int):
@@ -107,13 +126,9 @@ def tokenise(documents: DataFrame, path: str, end_id: int, id_col: str = "doc_id
 def _counts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     total = np.zeros(0, np.int64)
     for frame in frames:
-        for ids in frame["ids"]:
-            seen = np.bincount(np.frombuffer(ids, "<u4"))
-            if len(seen) > len(total):
-                seen[: len(total)] += total
-                total = seen
-            else:
-                total[: len(seen)] += seen
+        seen = np.bincount(np.frombuffer(b"".join(frame["ids"]), "<u4"), minlength=len(total))
+        seen[: len(total)] += total
+        total = seen
     token = np.flatnonzero(total)
     yield pd.DataFrame({"token": token, "n": total[token]})
 
@@ -144,6 +159,7 @@ class Table:
 
     @property
     def slots(self) -> np.ndarray:
+        """Symbol of each slot."""
         if self._slots is None:
             self._slots = np.repeat(np.arange(len(self.token), dtype=np.uint32), self.freq.astype(np.int64))
         return self._slots
@@ -185,12 +201,13 @@ def decode_part(n: int, mark: int, lanes: int, states: bytes, marks: list[int],
     first = mark * MARK_STEPS * lanes
     out = np.empty(min(n, first + MARK_STEPS * lanes) - first, np.uint32)
     low, bits, mask = _LOW, np.uint64(BITS), np.uint64((1 << BITS) - 1)
+    slots, freq, start = table.slots, table.freq, table.start
     for at_id in range(0, len(out), lanes):
         x = state[: min(lanes, len(out) - at_id)]
         slot = x & mask
-        place = table.slots[slot]
+        place = slots[slot]
         out[at_id:at_id + len(x)] = place
-        x[:] = table.freq[place] * (x >> bits) + slot - table.start[place]
+        x[:] = freq[place] * (x >> bits) + slot - start[place]
         short = np.flatnonzero(x < low)
         if len(short):
             x[short] = (x[short] << np.uint64(32)) | words_[at:at + len(short)]
