@@ -89,6 +89,10 @@ class Index:
         self.gram, self.first, self.count = np.unique(gram, return_index=True, return_counts=True)
         self.table = np.zeros(1 << _BITS, bool)
         self.table[(gram >> np.uint64(64 - _BITS)).astype(np.int64)] = True
+        # Where the grams of a table entry begin in the sorted list.
+        self.begin = np.zeros(1 << _BITS, np.int32)
+        top = (self.gram >> np.uint64(64 - _BITS)).astype(np.int64)
+        self.begin[top[::-1]] = np.arange(len(top), dtype=np.int32)[::-1]
         # Shorter items have shorter windows and lower bounds; the filter takes the lowest.
         sizes = [min(window, len(x)) for x in self.items if len(x) >= MIN_CHARS]
         self.least = min((max(1, least_shared(x, q, self.budget(x))) for x in sizes), default=1)
@@ -112,14 +116,16 @@ class Index:
         dense = (total[ends] - total[:-1]) >= self.least
         if not dense.any():
             return none, none, none
-        near = np.zeros(len(hashed) + 1, np.int32)
-        starts = np.flatnonzero(dense)
-        np.add.at(near, starts, 1)
-        np.add.at(near, ends[starts], -1)
-        maybe = maybe[np.cumsum(near)[maybe] > 0]
-        at = np.searchsorted(self.gram, hashed[maybe])
-        at[at == len(self.gram)] = 0
-        same = self.gram[at] == hashed[maybe]
+        # The windows that begin before a position and reach it.
+        begun = np.concatenate(([0], np.cumsum(dense)))
+        maybe = maybe[begun[maybe + 1] > begun[np.maximum(maybe - width + 1, 0)]]
+        own = hashed[maybe]
+        at = self.begin[(own >> np.uint64(64 - _BITS)).astype(np.int64)].astype(np.int64)
+        same = self.gram[at] == own
+        other = np.flatnonzero(~same)
+        if len(other):
+            at[other] = np.minimum(np.searchsorted(self.gram, own[other]), len(self.gram) - 1)
+            same[other] = self.gram[at[other]] == own[other]
         maybe, at = maybe[same], at[same]
         n = self.count[at]
         rows = np.repeat(self.first[at] - np.cumsum(n) + n, n) + np.arange(n.sum())
@@ -133,19 +139,30 @@ class Index:
         p, item, j = self.hits(chars)
         if not len(p):
             return []
-        found: dict[int, list[tuple[int, int, int]]] = {}
+        # Bands of diagonals as wide as the budget; neighbours together are the overlapping bands.
+        width = max(1, self.edits)
+        thin = (p - j + (1 << 38)) // width
+        # Hashed counters first: few bands are full enough, and only their hits are sorted.
+        size = 1 << max(8, (2 * len(p)).bit_length())
+        busy = np.zeros(len(p), bool)
         for shift in (0, 1):
-            width = 2 * max(1, self.edits)
-            band = (p - j + (1 << 40) + shift * (width // 2)) // width
-            order = np.lexsort((j, p, band, item))
-            ip, ii, ij, ib = p[order], item[order], j[order], band[order]
-            cut = np.flatnonzero((ii[1:] != ii[:-1]) | (ib[1:] != ib[:-1])) + 1
-            bounds = np.concatenate(([0], cut, [len(ip)]))
-            long = np.flatnonzero(np.diff(bounds) >= self.least)
-            for k in long:
-                a, b = bounds[k], bounds[k + 1]
-                for span in self._verified(chars, int(ii[a]), ip[a:b], ij[a:b]):
-                    found.setdefault(int(ii[a]), []).append(span)
+            slot = (item * 40_503 + ((thin + shift) >> 1) * 2_654_435_761) & (size - 1)
+            busy |= (np.bincount(slot, minlength=size) >= self.least)[slot]
+        if not busy.any():
+            return []
+        p, item, j, thin = p[busy], item[busy], j[busy], thin[busy]
+        band = (item << 40) + thin
+        order = np.argsort(band, kind="stable")
+        keys, first, count = np.unique(band[order], return_index=True, return_counts=True)
+        ends = first + count
+        joined = np.flatnonzero(keys[1:] == keys[:-1] + 1)
+        wide = count.copy()
+        wide[joined] += count[joined + 1]
+        found: dict[int, list[tuple[int, int, int]]] = {}
+        for k in np.flatnonzero(wide >= self.least):
+            rows = order[first[k]:ends[k + 1] if wide[k] > count[k] else ends[k]]
+            for span in self._verified(chars, int(item[rows[0]]), p[rows], j[rows]):
+                found.setdefault(int(item[rows[0]]), []).append(span)
         out = []
         for key, spans in sorted(found.items()):
             merged: list[list[int]] = []
