@@ -10,16 +10,15 @@ from pyspark.sql import SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
-# Settings a job sets on its session. Sizes are left to the cluster: AQE coalesces and splits
-# shuffle partitions at run time, so spark.sql.shuffle.partitions only has to be large enough.
+# Settings a job sets on its session. In batch AQE coalesces and splits shuffle partitions at run time,
+# so spark.sql.shuffle.partitions only has to be large enough. A streaming query with state takes it
+# from its first checkpoint and keeps it: see `--partitions` of the app.
 JOB_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.streaming.metricsEnabled": "true",
-    # Maps of one log are merged by replacing keys; a log that repeats a key keeps the last value.
-    "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     # Join and window state is kept on local disk and in the checkpoint instead of the JVM heap.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

@@ -6,35 +6,23 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 VARIANT_MAP = "map<string,variant>"
+_ENTRIES = "array<struct<key:string,value:variant>>"
 
+def merge_maps(*maps: Column) -> Column:
+    """Union of the maps; a key in a later map replaces the value of the same key of an earlier one,
+    and of a key that one map repeats the last value counts.
 
-DEDUP_POLICY = "spark.sql.mapKeyDedupPolicy"
-LAST_WIN = "LAST_WIN"
-
-
-def _merge_two(low: Column, high: Column) -> Column:
-    replaced = F.transform_values(
-        low, lambda key, v: F.when(F.map_contains_key(high, key), high[key]).otherwise(v)
-    )
-    added = F.map_filter(high, lambda key, _: ~F.map_contains_key(low, key))
-    return F.map_concat(replaced, added)
-
-
-def merge_maps(spark: SparkSession, *maps: Column) -> Column:
-    """Union of the maps; a key in a later map replaces the value of the same key of an earlier one.
-
-    Sessions with the job settings let `map_concat` replace keys itself. In any other session the
-    same map comes from lambdas, which run outside generated code and take about twice as long.
+    Built from entries, so it is the same under any `spark.sql.mapKeyDedupPolicy`: keys in the order
+    in which they first come, each with the value that comes last.
     """
-    if spark.conf.get(DEDUP_POLICY) == LAST_WIN:
-        return F.map_concat(*maps)
-    return reduce(_merge_two, maps)
+    entries = F.flatten(F.array(*[F.coalesce(F.map_entries(m), F.array().cast(_ENTRIES)) for m in maps]))
+    keys = F.array_distinct(F.transform(entries, lambda e: e["key"]))
+    values = F.transform(keys, lambda k: F.element_at(F.filter(entries, lambda e: e["key"] == k), -1)["value"])
+    return F.map_from_arrays(keys, values)
 
 
 def with_json(df: DataFrame, entries: str, name: str) -> DataFrame:

@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stream_commerce.functions.records import CORRUPT, joined_key, parse_json
 from stream_commerce.functions.times import SHANGHAI, date_of, floor_div, local_time, minute_of
@@ -39,27 +40,40 @@ class AlertRule:
 
 
 DEFAULT_RULE = AlertRule()
-MAX_EVENTS_PER_PART = 100_000
 _ALERT = ["mid", "window_end"]
+_RECORD = T.StructType([ACTION_LOG[c] for c in ("mid", "uid", "action_id", "item", "ts")])
 _EVENT = [*_ALERT, "users", "uid", "ts", "action_id", "item"]
+USER, ITEM, EVENT = "user", "item", "event"
 
 
 def parse_actions(values: DataFrame, value: str = "value") -> DataFrame:
-    """Action records with a numeric ts; rows without one lie in no window and are left out."""
-    parsed = parse_json(values, ACTION_LOG, value).drop(CORRUPT)
+    """(mid, uid, action_id, item, ts) of the actions with a numeric ts; only these five fields are
+    parsed. Rows without a ts lie in no window: see `unreadable_actions`."""
+    parsed = parse_json(values, _RECORD, value).drop(CORRUPT)
     return parsed.withColumn("ts", F.col("ts").try_cast("bigint")).filter(
         F.col("ts").isNotNull()
     )
 
 
+def unreadable_actions(values: DataFrame, value: str = "value") -> DataFrame:
+    """The texts (value) that `parse_actions` leaves out."""
+    kept = values.select(F.col(value).alias("value"), F.col(value).alias("_text"))
+    parsed = parse_json(kept, _RECORD, "_text")
+    return parsed.filter(F.col("ts").try_cast("bigint").isNull()).select("value")
+
+
 def _pane(rule: AlertRule) -> Column:
     return floor_div(F.col("ts"), rule.slide_ms)
 
 
 def _trigger_panes(actions: DataFrame, rule: AlertRule) -> DataFrame:
-    """(mid, uid, pane): panes with a trigger action, once each."""
+    """(mid, uid, pane): panes with a trigger action, once each, dealt by (mid, uid).
+
+    Copies are dropped before the shuffle too; the lag and the stretches need no other one.
+    """
     triggers = actions.filter(F.col("action_id") == rule.trigger)
-    return triggers.select("mid", "uid", _pane(rule).alias("pane")).distinct()
+    dealt = triggers.select("mid", "uid", _pane(rule).alias("pane")).repartition("mid", "uid")
+    return dealt.distinct()
 
 
 def suspects(actions: DataFrame, rule: AlertRule = DEFAULT_RULE) -> DataFrame:
@@ -144,58 +158,30 @@ def alert_events(
     return null_safe_join(spread, windows.select(*_ALERT, "users"), _ALERT).select(*_EVENT)
 
 
-def alert_documents(
+def alert_rows(
     actions: DataFrame,
     windows: DataFrame | None = None,
     rule: AlertRule = DEFAULT_RULE,
-    max_events: int = MAX_EVENTS_PER_PART,
     zone: str = SHANGHAI,
 ) -> DataFrame:
-    """Nested alerts: id, mid, window_end, ts, users, uids, item_ids, events, part, parts, date.
+    """Alerts as rows: id, mid, window_end, users, kind, uid, item, action_id, ts, date.
 
-    An alert is one row with `part` 0 until it holds more than `max_events` actions. Beyond that it
-    is written as `parts` rows of about that size, whose union is the whole alert, so a device with
-    a third of all traffic never has to fit in one row. Identical actions travel as one row with a
-    number of copies until they are nested.
+    kind `event` is an action of a suspect (uid, item, action_id, ts), kind `user` a suspect (uid) and
+    kind `item` an item named by an `item_action`, once each. The rows of one id are the alert; it
+    has this form at any size, so a device with a third of all traffic fills rows, not a row.
     """
     if windows is None:
         windows = alert_windows(actions, rule)
-    copies = (
-        _suspect_actions(actions, rule)
-        .groupBy("mid", "uid", "action_id", "item", "ts", "ends")
-        .agg(F.count(F.lit(1)).alias("copies"))
-    )
-    spread = _spread(copies, rule)
-    sizes = spread.groupBy(*_ALERT).agg(
-        F.ceil(F.sum("copies") / F.lit(max_events)).cast("int").alias("parts")
-    )
-    sized = null_safe_join(
-        spread, null_safe_join(windows.select(*_ALERT, "users"), sizes, _ALERT), _ALERT
+    events = alert_events(actions, windows, rule)
+    whole = [*_ALERT, "users"]
+    suspected = events.filter(F.col("action_id") == rule.trigger).select(*whole, "uid").distinct()
+    named = events.filter(F.col("action_id") == rule.item_action).select(*whole, "item").distinct()
+    rows = (
+        events.withColumn("kind", F.lit(EVENT))
+        .unionByName(suspected.withColumn("kind", F.lit(USER)), allowMissingColumns=True)
+        .unionByName(named.withColumn("kind", F.lit(ITEM)), allowMissingColumns=True)
     )
-    # More copies of one action than a part may hold are cut into several portions.
-    portions = F.ceil(F.col("copies") / F.lit(max_events)).cast("int")
-    cut = sized.select("*", F.explode(F.sequence(F.lit(0), portions - 1)).alias("portion"))
-    left = F.col("copies") - F.col("portion") * F.lit(max_events)
-    spread = cut.withColumns({
-        "copies": F.least(left, F.lit(max_events)).cast("int"),
-        "part": F.when(F.col("parts") == 1, F.lit(0)).otherwise(F.pmod(
-            F.xxhash64("ts", "uid", "action_id", "item", "portion"), F.col("parts")
-        )).cast("int"),
-    })
-    entries = F.array_sort(F.collect_list(F.struct("ts", "action_id", "item", "uid", "copies")))
-    nested = spread.groupBy(*_ALERT, "users", "parts", "part").agg(entries.alias("entries"))
-    item_rows = F.filter("entries", lambda e: e["action_id"] == rule.item_action)
-    numbered = nested.withColumn("id", alert_id(zone))
-    return numbered.select(
-        F.when(F.col("part") == 0, F.col("id"))
-        .otherwise(F.concat_ws("_", "id", "part")).alias("id"),
-        "mid", "window_end", F.col("window_end").alias("ts"), "users",
-        F.array_sort(F.array_distinct(F.transform("entries", lambda e: e["uid"]))).alias("uids"),
-        F.array_sort(F.array_distinct(F.transform(item_rows, lambda e: e["item"])))
-        .alias("item_ids"),
-        F.flatten(F.transform(
-            "entries", lambda e: F.array_repeat(e["action_id"], e["copies"])
-        )).alias("events"),
-        "part", "parts",
+    return rows.select(
+        alert_id(zone).alias("id"), *whole, "kind", "uid", "item", "action_id", "ts",
         date_of(local_time("window_end", zone)).alias("date"),
     )

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stream_commerce.functions.maps import VARIANT_MAP, merge_maps, with_json
-from stream_commerce.functions.records import parse_json
+from stream_commerce.functions.records import CORRUPT, parse_json
 from stream_commerce.schemas import ACTION_TOPIC, START_TOPIC
 
 ENVELOPE = (
@@ -58,7 +58,7 @@ def divert(raw: DataFrame, value: str = "value", only: str | None = None) -> Dat
         topic, second, own = topic.when(hit, name), second.when(hit, shared), own.when(hit, overlays)
     # The outer generator keeps Catalyst from copying its input into a size check below it; logs
     # that yield nothing are removed right after.
-    merged = merge_maps(raw.sparkSession, F.col("common"), F.col("second"), F.col("own"))
+    merged = merge_maps(F.col("common"), F.col("second"), F.col("own"))
     records = (
         parse_logs(raw, value)
         .select(
@@ -70,6 +70,18 @@ def divert(raw: DataFrame, value: str = "value", only: str | None = None) -> Dat
     return with_json(records, "entries", "value").select("topic", "value")
 
 
+# For the route alone it matters which parts are there, not what is in them.
+SLIM = "common struct<>, start struct<>, page struct<>, actions array<struct<>>, err variant"
+
+
+def unreadable_logs(raw: DataFrame, value: str = "value") -> DataFrame:
+    """(value): the texts that are no JSON object of a log. Logs that are read but dropped by their
+    route (`err`, or neither start nor actions) are not among them."""
+    kept = raw.select(F.col(value).alias("value"), F.col(value).alias("_text"))
+    return parse_json(kept, SLIM, "_text").filter(F.col(CORRUPT).isNotNull()).select("value")
+
+
 def route_counts(raw: DataFrame, value: str = "value") -> DataFrame:
     """Number of raw logs per route, the dropped ones included."""
-    return parse_logs(raw, value).groupBy("route").agg(F.count(F.lit(1)).alias("logs"))
+    routes = parse_json(raw, SLIM, value).select(route_of().alias("route"))
+    return routes.groupBy("route").agg(F.count(F.lit(1)).alias("logs"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stream_commerce.functions.records import CORRUPT, joined_key, parse_json
 from stream_commerce.functions.times import SHANGHAI, date_of, local_time, second_of
@@ -29,6 +30,13 @@ def unreadable_starts(values: DataFrame, value: str = "value") -> DataFrame:
     return parsed.filter(F.col("ts").try_cast("bigint").isNull()).select("mid", "ts", CORRUPT)
 
 
+def unreadable_texts(values: DataFrame, value: str = "value") -> DataFrame:
+    """(value): the messages that `parse_starts` leaves out, as they came."""
+    kept = values.select(F.col(value).alias("value"), F.col(value).alias("_text"))
+    narrow = T.StructType([START_LOG_SOURCE["ts"]])
+    return parse_json(kept, narrow, "_text").filter(F.col("ts").try_cast("bigint").isNull()).select("value")
+
+
 def with_start_fields(starts: DataFrame, zone: str = SHANGHAI) -> DataFrame:
     timed = starts.withColumn("ts", F.col("ts").try_cast("bigint")).withColumn(
         "_local", local_time("ts", zone)

@@ -1,4 +1,4 @@
-"""Join helpers: keys that may be null, and dimension tables of unknown size."""
+"""Join helper: keys that may be null."""
 
 from __future__ import annotations
 
@@ -9,18 +9,6 @@ from operator import and_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_BROADCAST_ROWS = 200_000
-
-
-def broadcast_if_small(dimension: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Ask for a broadcast only after counting: for sources without size statistics (JDBC).
-
-    The count stops at `max_rows + 1`. A larger table is returned as it is and Spark joins it by
-    shuffling both sides. Parquet tables have statistics and need no such check.
-    """
-    small = dimension.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(dimension) if small else dimension
-
 
 def null_safe_join(
     left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner"

@@ -14,7 +14,7 @@ from stream_commerce.operators import alerts, changes, diversion, first_start, g
 from stream_commerce.operators import pairing, sales, words
 from stream_commerce.operators.latest import last_per_key
 from stream_commerce.plans import standins
-from stream_commerce.schemas import ACTION_LOG, MONEY
+from stream_commerce.schemas import ACTION_LOG, MONEY, SALE_DETAIL_COLUMNS
 from stream_commerce.sources.tables import table
 from stream_commerce.sources.topics import saved_offsets
 from stream_commerce.streaming import jobs, sinks
@@ -170,7 +170,7 @@ def stream_first_starts(spark: SparkSession, folder: str) -> DataFrame:
     raw = standins.raw_logs(_stream(spark, folder, "events"))
     jobs.run_first_starts(
         diversion.divert(raw, only=diversion.START), starts,
-        new_work_dir(spark, "checkpoint"), jobs.UNTIL_DRAINED,
+        new_work_dir(spark, "checkpoint"), jobs.UNTIL_DRAINED, on_count=lambda *_: None,
     ).awaitTermination()
     return jobs.first_start_view(spark, starts).select(
         "id", "mid", "uid", "ts", "start_date", "start_time"
@@ -189,7 +189,7 @@ def gmv_by_date_hour(spark: SparkSession, folder: str) -> DataFrame:
 @query(_GMV_HOURS)
 def gmv_from_messages(spark: SparkSession, folder: str) -> DataFrame:
     messages = standins.order_messages(standins.events_of(spark, folder))
-    return _gmv_output(gmv.partial_totals(gmv.readable(gmv.parse_orders(messages))))
+    return _gmv_output(gmv.partial_totals(gmv.readable(gmv.parse_orders(messages, fields=[]))))
 
 
 @query(f"""
@@ -281,21 +281,13 @@ _ALERTS = f"""
              || '_' || mid id, max(window_end) window_end
     from windows group by all),
   documents as (
-    select mid, window_end, users,
-      list(distinct uid order by uid) uids,
-      coalesce(list(distinct item order by item) filter (a = 'click'), []) item_ids,
-      list(a order by ms, a, item nulls first, uid) events
-    from hits group by all)"""
-_DOCUMENT_COLUMNS = """
-  d.mid, d.window_end, users, array_to_string(uids, ',') uids,
-  array_to_string(item_ids, ',') item_ids, array_to_string(events, ',') events"""
-
-
-def _document_output(documents: DataFrame, *extra: str) -> DataFrame:
-    return documents.select(
-        *extra, "mid", "window_end", "users",
-        *[F.array_join(c, ",").alias(c) for c in ("uids", "item_ids", "events")],
-    )
+    select mid, window_end, users, 'event' kind, uid, item, a action_id, ms ts from hits
+    union all select distinct mid, window_end, users, 'user', uid, null, null, null from hits
+    union all select distinct mid, window_end, users, 'item', null, item, null, null from hits where a = 'click')"""
+
+
+def _alert_output(rows: DataFrame, *extra: str) -> DataFrame:
+    return rows.select(*extra, "mid", "window_end", "users", "kind", "uid", "item", "action_id", "ts")
 
 
 @query(f"{_ALERTS} select mid, window_end, users from windows")
@@ -309,10 +301,10 @@ def alert_events(spark: SparkSession, folder: str) -> DataFrame:
     return alerts.alert_events(actions, alerts.alert_windows(actions, RULE), RULE)
 
 
-@query(f"{_ALERTS} select {_DOCUMENT_COLUMNS} from documents d")
+@query(f"{_ALERTS} select * from documents")
 def alert_window(spark: SparkSession, folder: str) -> DataFrame:
     actions = standins.action_rows(standins.events_of(spark, folder))
-    return _document_output(alerts.alert_documents(actions, rule=RULE))
+    return _alert_output(alerts.alert_rows(actions, rule=RULE))
 
 
 @query(f"""{_ALERTS} select m.id, w.mid, w.window_end, w.users
@@ -323,12 +315,14 @@ def alert_minute_latest(spark: SparkSession, folder: str) -> DataFrame:
     return latest.select("id", "mid", "window_end", "users")
 
 
-@query(f"""{_ALERTS} select m.id, {_DOCUMENT_COLUMNS}
-  from documents d join minutes m using (mid, window_end)""")
+_MINUTE_ROWS = f"{_ALERTS} select m.id, d.* from documents d join minutes m using (mid, window_end)"
+
+
+@query(_MINUTE_ROWS)
 def alert_minute_documents(spark: SparkSession, folder: str) -> DataFrame:
     actions = standins.action_rows(standins.events_of(spark, folder))
     latest = alerts.latest_per_minute(alerts.alert_windows(actions, RULE)).drop("id")
-    return _document_output(alerts.alert_documents(actions, latest, RULE), "id")
+    return _alert_output(alerts.alert_rows(actions, latest, RULE), "id")
 
 
 # Orders and lines --------------------------------------------------------------------------
@@ -602,8 +596,109 @@ _register_word_joins()
 
 # Streams over the test tables --------------------------------------------------------------
 
+SLICES, SLICE_ROWS = 3, 100_000
+
+
+def _sliced(rows: DataFrame, order: Column) -> DataFrame:
+    """All rows as a stream of files in the given order, one file per batch.
+
+    There are at least three files, and more where that would put over 100,000 rows into one.
+    """
+    spark = rows.sparkSession
+    path = new_work_dir(spark, "slices")
+    placed = rows.withColumn("_at", order.cast("bigint"))
+    n, low, high = placed.agg(F.count("*"), F.min("_at"), F.max("_at")).first()
+    count = max(SLICES, -(-n // SLICE_ROWS))
+    size = -(-(high - low + 1) // count)
+    for number in range(count):
+        part = placed.filter(F.floor((F.col("_at") - low) / size) == number).drop("_at")
+        part.coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
 
 def _stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    # A pattern, because a stream refuses the plain path of a single file; a folder matches too.
-    schema = table(spark, folder, name).schema
-    return spark.readStream.schema(schema).parquet(f"{folder.rstrip('/')}/{name}.parque[t]")
+    order = {"events": F.col("event_id"), "orders": F.unix_date(F.col("o_orderdate").cast("date")), "documents": F.col("doc_id"),
+             "benchmark": F.col("item_id")}[name]
+    return _sliced(table(spark, folder, name), order)
+
+
+@query(_MINUTE_ROWS)
+def stream_alerts(spark: SparkSession, folder: str) -> DataFrame:
+    """Alerts of all events, decided in the stream; one later trigger closes the last windows."""
+    actions = standins.action_rows(standins.events_of(spark, folder))
+    close = actions.agg((F.max("ts") + 3_600_000).alias("ts")).select(
+        F.lit("z").alias("mid"), F.lit("z").alias("uid"), F.lit(RULE.trigger).alias("action_id"),
+        F.lit(None).cast("string").alias("item"), "ts")
+    messages = actions.unionByName(close).select(F.to_json(F.struct("*")).alias("value"), "ts")
+    alert_table = jobs.alert_table(new_work_dir(spark, "alerts"))
+    jobs.run_alerts(
+        _sliced(messages, F.col("ts")), lambda *_: actions, alert_table, new_work_dir(spark, "checkpoint"), RULE,
+        jobs.UNTIL_DRAINED, on_count=lambda *_: None,
+    ).awaitTermination()
+    return _alert_output(jobs.alert_view(spark, alert_table), "id")
+
+
+# Order lines that share an id replace each other; of one batch the larger row stays.
+@query(f"""select * from ({_SALES})
+  qualify row_number() over (partition by order_detail_id order by sku_price desc, sku_num desc) = 1""")
+def stream_sales(spark: SparkSession, folder: str) -> DataFrame:
+    """Headers and lines of all orders arriving together, some amounts unreadable."""
+    headers = standins.order_headers(table(spark, folder, "orders"))
+    arrived = F.to_timestamp("create_time").alias("arrived")
+    spoiled = F.when(F.col("id").cast("bigint") % 7 == 0, F.lit("n/a")).otherwise(F.col("total_amount"))
+    orders = headers.withColumn("total_amount", spoiled).select(
+        F.to_json(F.struct("*")).alias("value"), arrived)
+    lines = standins.order_lines(table(spark, folder, "lineitem"), table(spark, folder, "part"))
+    times_ = headers.select(F.col("id").alias("order_id"), arrived)
+    details = lines.join(times_, "order_id").select(
+        F.to_json(F.struct(*lines.columns)).alias("value"), "arrived")
+    sale_table = jobs.sale_table(new_work_dir(spark, "sales"))
+    jobs.run_sales(
+        _sliced(orders, F.unix_seconds("arrived")), _sliced(details, F.unix_seconds("arrived")),
+        lambda s: standins.users(table(s, folder, "customer")),
+        lambda s: standins.provinces(table(s, folder, "nation")),
+        sale_table, new_work_dir(spark, "checkpoint"), F.lit(AS_OF), jobs.UNTIL_DRAINED,
+    ).awaitTermination()
+    rows = jobs.sale_view(spark, sale_table).unionByName(jobs.sale_view(spark, sale_table, sales.UNKNOWN_PROVINCE))
+    return rows.select(*SALE_DETAIL_COLUMNS, "status")
+
+
+@query("""
+  select event_id::varchar id,
+    case when json_extract_string(props, '$.k')::int >= 90 then 'yesterday'
+         else strftime(ts, '%Y-%m-%d %H:%M:%S') end create_time
+  from events where event_type = 'purchase'
+    and (json_extract_string(props, '$.k')::int >= 90 or json_extract_string(props, '$.k')::int < 10)""")
+def stream_gmv_unreadable(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders that the sales total cannot use, as its job keeps them aside."""
+    messages = standins.spoiled_order_messages(_stream(spark, folder, "events"))
+    aside = jobs.unreadable_order_table(new_work_dir(spark, "unreadable"))
+    jobs.run_gmv(
+        messages, jobs.gmv_table(new_work_dir(spark, "gmv")), new_work_dir(spark, "checkpoint"), jobs.UNTIL_DRAINED,
+        on_unreadable=aside.write,
+    ).awaitTermination()
+    return aside.read(spark).select("id", "create_time")
+
+
+def _slice_sql(name: str, key: str) -> str:
+    return f"""
+      select w, b, count(*) c from (
+        select unnest(case when rtrim(text, ' ') = '' and text <> '' then []
+                      else string_split(rtrim(text, ' '), ' ') end) w,
+               floor(({key} - low) / ceil((high - low + 1) / n)) b
+        from {name}, (select min({key}) low, max({key}) high,
+                        greatest({SLICES}, ceil(count(*) / {SLICE_ROWS})) n from {name})) group by 1, 2"""
+
+
+@query(f"""
+  select coalesce(d.w, b.w) word, d.c left_cnt, b.c right_cnt
+  from ({_slice_sql("documents", "doc_id")}) d full join ({_slice_sql("benchmark", "item_id")}) b
+  on d.w = b.w and d.b = b.b""")
+def stream_word_joins(spark: SparkSession, folder: str) -> DataFrame:
+    """Full join of the word counts of each batch."""
+    joins = jobs.word_join_table(new_work_dir(spark, "word-joins"))
+    left, right = (_stream(spark, folder, x).select(F.col("text").alias("value")) for x in ("documents", "benchmark"))
+    jobs.run_word_joins(
+        left, right, "full", joins, new_work_dir(spark, "checkpoint"), jobs.UNTIL_DRAINED
+    ).awaitTermination()
+    return joins.read(spark).select("word", "left_cnt", "right_cnt")

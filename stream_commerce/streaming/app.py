@@ -12,19 +12,16 @@ import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from stream_commerce import schemas
 from stream_commerce.config import session_builder
 from stream_commerce.functions.records import parse_json
-from stream_commerce.operators import alerts
 from stream_commerce.sources import dimensions, topics
 from stream_commerce.streaming import jobs, sinks
 
 # Row changes arrive as JSON of the row-change schema on this topic.
 CHANGE_TOPIC = "row_changes"
-LATENESS_MS = 5 * 60 * 1000
 
 
 class App:
@@ -62,33 +59,43 @@ class App:
     def starts(self) -> StreamingQuery:
         stream = self._stream(schemas.START_TOPIC, topics.EARLIEST)
         table = jobs.start_table(self._path("starts"), self.args.run)
-        return jobs.run_first_starts(stream, table, self._checkpoint("starts"), self.trigger)
+        return jobs.run_first_starts(
+            stream, table, self._checkpoint("starts"), self.trigger, on_unreadable=self._aside("starts"))
+
+    def _aside(self, name: str):
+        return jobs.unreadable_table(self._path(f"unreadable/{name}"), self.args.run).write
+
+    def badlogs(self) -> StreamingQuery:
+        raw = self._stream(schemas.BASE_LOG_TOPIC, topics.LATEST)
+        table = jobs.unreadable_table(self._path("unreadable/logs"), self.args.run)
+        return jobs.run_unreadable_logs(raw, table, self._checkpoint("badlogs"), self.trigger)
 
     def gmv(self) -> StreamingQuery:
         stream = self._stream(schemas.ORDER_INFO_TOPIC, topics.EARLIEST)
         table = jobs.gmv_table(self._path("gmv"), self.args.run)
-        return jobs.run_gmv(stream, table, self._checkpoint("gmv"), self.trigger)
+        aside = jobs.unreadable_order_table(self._path("unreadable/orders"), self.args.run)
+        return jobs.run_gmv(
+            stream, table, self._checkpoint("gmv"), self.trigger, once_within=self.args.once_within,
+            on_unreadable=aside.write)
+
+    def actions(self) -> StreamingQuery:
+        table = jobs.action_table(self._path("actions"), self.args.actions_run)
+        return jobs.run_action_log(
+            self._stream(schemas.ACTION_TOPIC, topics.EARLIEST), table, self._checkpoint("actions"), self.trigger,
+            self._aside("actions"))
 
     def alerts(self) -> StreamingQuery:
-        def action_log(spark: SparkSession, from_ms: int, to_ms: int) -> DataFrame:
-            if self.args.servers:
-                # Arrival may be earlier or later than the action's own time by the lateness.
-                rows = topics.kafka_range(
-                    spark, self.args.servers, schemas.ACTION_TOPIC,
-                    from_ms - LATENESS_MS, to_ms + LATENESS_MS,
-                )
-            else:
-                rows = spark.read.text(self._feed(schemas.ACTION_TOPIC))
-            return alerts.parse_actions(rows.select("value"))
-
-        stream = self._stream(schemas.ACTION_TOPIC, topics.LATEST)
-        table = jobs.alert_table(self._path("alerts"), self.args.run)
+        """Needs the `actions` job, which keeps actions by their own time, however late they came."""
+        kept = jobs.action_table(self._path("actions"), self.args.actions_run)
         return jobs.run_alerts(
-            stream, action_log, table, self._checkpoint("alerts"), trigger=self.trigger
+            self._stream(schemas.ACTION_TOPIC, topics.LATEST),
+            lambda spark, from_ms, to_ms: jobs.actions_between(spark, kept, from_ms, to_ms),
+            jobs.alert_table(self._path("alerts"), self.args.run), self._checkpoint("alerts"),
+            trigger=self.trigger, lateness=self.args.lateness,
         )
 
     def _users(self, spark: SparkSession) -> DataFrame:
-        table = jobs.user_table(self._path("users"), self.args.run)
+        table = jobs.user_table(self._path("users"), self.args.users_run)
         return jobs.user_view(spark, table, self.args.now_ms or int(time.time() * 1000))
 
     def _provinces(self, spark: SparkSession) -> DataFrame:
@@ -105,7 +112,7 @@ class App:
             self._stream(schemas.ORDER_INFO_TOPIC, topics.LATEST),
             self._stream(schemas.ORDER_DETAIL_TOPIC, topics.LATEST),
             self._users, self._provinces, table, self._checkpoint("sales"),
-            as_of=F.current_date(), trigger=self.trigger,
+            trigger=self.trigger,
         )
 
     def changes(self) -> StreamingQuery:
@@ -114,13 +121,13 @@ class App:
         )
 
     def users(self) -> StreamingQuery:
-        table = jobs.user_table(self._path("users"), self.args.run)
+        table = jobs.user_table(self._path("users"), self.args.users_run)
         return jobs.run_user_state(
             self._changes(), table, self._checkpoint("users"), self.trigger
         )
 
 
-JOBS = ["diversion", "starts", "gmv", "alerts", "sales", "changes", "users"]
+JOBS = ["diversion", "badlogs", "starts", "gmv", "actions", "alerts", "sales", "changes", "users"]
 
 
 def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
@@ -131,6 +138,12 @@ def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
     source.add_argument("--servers", help="Kafka bootstrap servers")
     source.add_argument("--feeds", help="folder with WRITER/topic=NAME folders of text files")
     parser.add_argument("--run", default="main", help="new name for each new checkpoint")
+    parser.add_argument("--users-run", default="main", help="run of the user table, for users and sales")
+    parser.add_argument("--actions-run", default="main", help="run of the action table, for actions and alerts")
+    parser.add_argument("--once-within", default="1 day", help="an order id counts once within this time")
+    parser.add_argument("--lateness", default="5 minutes", help="how late actions may come for alerts")
+    parser.add_argument("--partitions", type=int, help="shuffle partitions; a query with state keeps its first value, "
+                        "so size it for the state that all its keys will need, not for one batch")
     parser.add_argument("--drain", action="store_true", help="stop when all input is read")
     parser.add_argument("--provinces", help="Parquet table used instead of the database")
     parser.add_argument("--now-ms", type=int, help="time against which user rows expire")
@@ -140,6 +153,8 @@ def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
 
 
 def start(spark: SparkSession, args: argparse.Namespace) -> StreamingQuery:
+    if args.partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", args.partitions)
     return getattr(App(spark, args), args.job)()
 
 

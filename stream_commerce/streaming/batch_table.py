@@ -60,6 +60,10 @@ class BatchTable:
         """Replace the rows of `batch_id`."""
         self._save(df.select(*self._columns()), f"{self.batches}/{BATCH_ID}={batch_id}")
 
+    def rows(self, spark: SparkSession, batch_id: int) -> int:
+        """Number of rows of one batch."""
+        return spark.read.schema(self.schema).parquet(f"{self.batches}/{BATCH_ID}={batch_id}").count()
+
     def _save(self, df: DataFrame, path: str) -> None:
         if self.partition_by:
             # Few files per folder: AQE joins small partitions and splits a hot one by size.
@@ -115,7 +119,6 @@ class BatchTable:
         self._save(folded.select(*self._columns(), BATCH_ID), f"{self.snapshots}/upto={upto}")
         return upto
 
-
     def vacuum(self, spark: SparkSession) -> None:
         """Delete the batches and older snapshots that the newest snapshot replaces.
 

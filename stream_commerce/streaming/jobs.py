@@ -1,7 +1,9 @@
 """The streaming jobs. Each takes streams and tables and returns the started query.
 
-Every job writes through a `BatchTable` or an idempotent topic sink, so a batch that is replayed
-after a failure does not change the result. The checkpoint keeps the positions.
+Jobs that keep a table write it through a `BatchTable`, so a batch that is replayed after a failure
+does not change it. Topic writers are at least once: Kafka may get the rows of a replayed batch
+twice, so readers that add up must drop repeats (`run_gmv(once_within=...)`). The checkpoint keeps
+the positions.
 """
 
 from __future__ import annotations
@@ -13,8 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from stream_commerce.functions.records import CORRUPT, parse_json
+from stream_commerce.functions.times import SHANGHAI
 from stream_commerce.operators import alerts, changes, diversion, first_start, gmv, pairing, sales
-from stream_commerce.operators.joins import broadcast_if_small, null_safe_join
+from stream_commerce.operators.joins import null_safe_join
 from stream_commerce.operators.latest import last_per_key
 from stream_commerce.operators.words import side_by_side, word_counts
 from stream_commerce.schemas import (
@@ -35,6 +38,8 @@ from stream_commerce.streaming.sinks import CountListener, counted
 TEN_SECONDS = {"processingTime": "10 seconds"}
 UNTIL_DRAINED = {"availableNow": True}
 Reader = Callable[[SparkSession], DataFrame]
+# Takes the rows of a batch that a job cannot use, and the batch's id.
+Aside = Callable[[DataFrame, int], None]
 
 
 def start(
@@ -68,6 +73,12 @@ def run_diversion(
     return start(writer_of(rows), "log_diversion", checkpoint, trigger)
 
 
+def run_unreadable_logs(raw: DataFrame, table: BatchTable, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Keep the raw logs that are no log at all, which the diversion cannot route."""
+    rows = diversion.unreadable_logs(raw.select("value"))
+    return _each_batch(rows, table.write, "unreadable_logs", checkpoint, trigger)
+
+
 # Daily active devices ----------------------------------------------------------------------
 
 
@@ -78,10 +89,12 @@ def start_table(path: str, run: str = "main") -> BatchTable:
 
 def run_first_starts(
     starts: DataFrame, table: BatchTable, checkpoint: str, trigger: dict | None = None,
-    on_count: CountListener | None = None,
+    on_count: CountListener | None = None, on_unreadable: Aside | None = None,
 ) -> StreamingQuery:
     """Keep each device's first start of the day.
 
+    `on_unreadable` gets the messages without a readable `ts`.
+
     The table is its own history: a batch drops the devices earlier batches hold for the same date
     and writes the rest. Only the two key columns of the dates present in the batch are read.
     """
@@ -91,13 +104,16 @@ def run_first_starts(
         found = first_start.first_starts(first_start.parse_starts(batch.select("value")))
         found = found.persist()
         try:
-            # One row: the span of dates in this batch, so that Spark lists no other partitions.
-            span = found.agg(F.min("start_date"), F.max("start_date")).first()
+            if on_unreadable is not None:
+                on_unreadable(first_start.unreadable_texts(batch.select("value")), batch_id)
+            # The dates of this batch prune the partitions of the history, however far apart they
+            # are. A batch has few; a clock that is wrong adds one date, not a span.
+            dates = [r[0] for r in found.select("start_date").distinct().collect()]
             history = table.read(spark, before=batch_id).filter(
-                F.col("start_date").between(span[0], span[1])
+                F.col("start_date").isin(dates)
             ).select(*first_start.KEYS)
             fresh = first_start.drop_seen(found, history)
-            counted(fresh, lambda rows: table.write(rows, batch_id), batch_id, on_count)
+            counted(table, fresh, batch_id, on_count)
         finally:
             found.unpersist()
 
@@ -123,10 +139,20 @@ def gmv_table(path: str, run: str = "main") -> BatchTable:
 GMV_FOLD = add_up(gmv.KEYS, "gmv")
 
 
+def unreadable_order_table(path: str, run: str = "main") -> BatchTable:
+    """Orders whose time or amount cannot be read, as far as they can be read."""
+    return BatchTable(path, f"id string, create_time string, {CORRUPT} string", (), run)
+
+
+def unreadable_table(path: str, run: str = "main") -> BatchTable:
+    """Messages that a job cannot use, as they came."""
+    return BatchTable(path, "value string", (), run)
+
+
 def run_gmv(
     orders: DataFrame, table: BatchTable, checkpoint: str, trigger: dict | None = None,
     once_within: str | None = None,
-    on_unreadable: Callable[[DataFrame, int], None] | None = None,
+    on_unreadable: Aside | None = None,
 ) -> StreamingQuery:
     """Per-batch sums per date and hour; the total is the sum over batches.
 
@@ -146,9 +172,9 @@ def run_gmv(
             batch.unpersist()
 
     if once_within is None:
-        parsed = gmv.parse_orders(orders.select("value"))
+        parsed = gmv.parse_orders(orders.select("value"), fields=["id"])
     else:
-        parsed = gmv.parse_orders(orders.select("value", "arrived"))
+        parsed = gmv.parse_orders(orders.select("value", "arrived"), fields=["id"])
         parsed = parsed.withWatermark("arrived", once_within).dropDuplicatesWithinWatermark(["id", CORRUPT])
     return _each_batch(parsed, handle, "gmv", checkpoint, trigger)
 
@@ -157,12 +183,44 @@ def gmv_view(spark: SparkSession, table: BatchTable) -> DataFrame:
     return gmv.fold_totals(table.read(spark))
 
 
+# Actions by event time ---------------------------------------------------------------------
+
+
+def action_table(path: str, run: str = "main") -> BatchTable:
+    return BatchTable(
+        path, "mid string, uid string, action_id string, item string, ts bigint, date string, hour string", ["date", "hour"], run)
+
+
+def run_action_log(
+    actions: DataFrame, table: BatchTable, checkpoint: str, trigger: dict | None = None, on_unreadable: Aside | None = None,
+) -> StreamingQuery:
+    """Keep the parsed actions by the date and hour of their own time, however late they arrive."""
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        at = F.timestamp_millis("ts")
+        rows = alerts.parse_actions(batch.select("value")).withColumns({
+            "date": F.date_format(at, "yyyy-MM-dd"), "hour": F.date_format(at, "HH")})
+        table.write(rows, batch_id)
+        if on_unreadable is not None:
+            on_unreadable(alerts.unreadable_actions(batch.select("value")), batch_id)
+
+    return _each_batch(actions, handle, "action_log", checkpoint, trigger)
+
+
+def actions_between(spark: SparkSession, table: BatchTable, from_ms: int, to_ms: int) -> DataFrame:
+    """Kept actions with from_ms <= ts < to_ms; only the dates in between are read."""
+    at = [F.date_format(F.timestamp_millis(F.lit(x)), "yyyy-MM-dd") for x in (from_ms, to_ms)]
+    return table.read(spark).filter(
+        F.col("date").between(*at) & (F.col("ts") >= from_ms) & (F.col("ts") < to_ms)
+    ).select("mid", "uid", "action_id", "item", "ts")
+
+
 # Alerts ------------------------------------------------------------------------------------
 
 
 ALERT_SCHEMA = (
-    "id string, mid string, window_end bigint, ts bigint, users bigint, uids array<string>, "
-    "item_ids array<string>, events array<string>, part int, parts int, date string"
+    "id string, mid string, window_end bigint, users bigint, kind string, uid string, item string, "
+    "action_id string, ts bigint, date string"
 )
 
 
@@ -217,14 +275,14 @@ def run_alerts(
         try:
             span = windows.agg(F.min("window_end"), F.max("window_end")).first()
             if span[0] is None:
-                documents = spark.createDataFrame([], ALERT_SCHEMA)
+                rows = spark.createDataFrame([], ALERT_SCHEMA)
             else:
                 first_ms, end_ms = span[0] - rule.window_ms, span[1]
                 log = action_log(spark, first_ms, end_ms).filter(
                     (F.col("ts") >= first_ms) & (F.col("ts") < end_ms)
                 )
-                documents = alerts.alert_documents(log, windows.drop("id"), rule)
-            counted(documents, lambda rows: table.write(rows, batch_id), batch_id, on_count)
+                rows = alerts.alert_rows(log, windows.drop("id"), rule)
+            counted(table, rows, batch_id, on_count)
         finally:
             windows.unpersist()
 
@@ -237,11 +295,10 @@ ALERT_FOLD = keep_all
 
 def alert_view(spark: SparkSession, table: BatchTable) -> DataFrame:
     """Last alert per id: a later window of the same minute replaces the earlier one."""
-    rows = table.read(spark).withColumn("_minute", F.substring("id", 1, 16))
-    key = ["date", "mid", "_minute"]
+    rows = table.read(spark)
+    key = ["date", "mid", "id"]
     newest = rows.groupBy(*key).agg(F.max("window_end").alias("window_end"))
-    kept = null_safe_join(rows, newest, [*key, "window_end"], "left_semi")
-    return kept.drop("_minute", BATCH_ID)
+    return null_safe_join(rows, newest, [*key, "window_end"], "left_semi").drop(BATCH_ID)
 
 
 # Sales -------------------------------------------------------------------------------------
@@ -262,10 +319,11 @@ def stream_pairs(
 ) -> DataFrame:
     """Header and line messages (value, arrived) paired within `allowance`.
 
-    A header that was sent twice is used once.
+    A header that was sent twice is used once. An amount that cannot be read loses no sale: no sale
+    column uses it; without a readable create_time the sale has no date (dt null).
     """
     headers = sales.order_part(
-        gmv.readable(gmv.parse_orders(orders.select("value", "arrived"))), "arrived"
+        gmv.parse_orders(orders.select("value", "arrived")), "arrived"
     ).withColumnRenamed("arrived", "order_ts")
     lines = sales.detail_part(parse_details(details), "arrived").withColumnRenamed(
         "arrived", "detail_ts"
@@ -298,11 +356,12 @@ def run_sales(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        today = as_of if as_of is not None else F.current_date()
-        rows = sales.with_users(batch, users(spark), today)
-        rows = sales.with_provinces(rows, broadcast_if_small(provinces(spark)))
+        # One day for the whole batch, in the zone of the business dates.
+        today = as_of if as_of is not None else F.to_date(F.from_utc_timestamp(F.to_utc_timestamp(
+            F.current_timestamp(), F.current_timezone()), SHANGHAI))
+        rows = sales.with_users(sales.with_provinces(batch, provinces(spark)), users(spark), today)
         rows = sales.sale_columns(rows)
-        counted(rows, lambda out: table.write(out, batch_id), batch_id, on_count)
+        counted(table, rows, batch_id, on_count)
 
     stream = stream_pairs(orders, details, allowance, salts)
     return _each_batch(stream, handle, "sale_details", checkpoint, trigger)
@@ -327,7 +386,6 @@ def user_fold(rows: DataFrame) -> DataFrame:
     return last_per_key(rows, ["id"], ["seq", "pos", BATCH_ID])
 
 
-
 def run_change_topics(
     stream: DataFrame, writer_of: Callable[[DataFrame], DataStreamWriter], checkpoint: str,
     trigger: dict | None = None,

@@ -53,61 +53,46 @@ def random_actions(seed, n=400, span_ms=20 * 60_000):
     return rows
 
 
-def gathered(documents):
-    """Union of the parts of each alert."""
+def gathered(rows):
+    """The rows of each alert put together."""
     found = {}
-    for d in documents:
-        users, uids, items, events = found.setdefault((d.mid, d.window_end), (d.users, set(), set(), []))
-        uids.update(d.uids)
-        items.update(d.item_ids)
-        events.extend(d.events)
-    return {k: (u, a, b, sorted(e)) for k, (u, a, b, e) in found.items()}
+    for r in rows:
+        users, uids, items, events = found.setdefault((r.mid, r.window_end), (r.users, [], [], []))
+        {"user": uids, "item": items, "event": events}[r.kind].append(
+            {"user": r.uid, "item": r.item, "event": r.action_id}[r.kind])
+    for _, uids, items, _ in found.values():
+        assert len(uids) == len(set(uids)) and len(items) == len(set(items))
+    return {k: (u, set(a), set(b), sorted(e)) for k, (u, a, b, e) in found.items()}
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-def test_documents_equal_brute_force_with_missing_users_and_devices(spark, seed):
-    rows = random_actions(seed)
-    documents = alerts.alert_documents(spark.createDataFrame(rows, SCHEMA)).collect()
+def test_rows_equal_brute_force_with_missing_users_and_devices(spark, seed):
+    rows = random_actions(seed) + [("hot", "1", "favor_add", "i9", BASE + 1000)] * 50
+    found = alerts.alert_rows(spark.createDataFrame(rows, SCHEMA)).collect()
     expected = brute_force(rows)
-    assert expected and gathered(documents) == expected
-    assert all(d.parts == 1 and d.part == 0 for d in documents)
-
-
-@pytest.mark.parametrize("max_events", [1, 3, 7])
-def test_parts_of_a_large_alert_make_up_the_whole(spark, max_events):
-    rows = random_actions(3)
-    copies = [("hot", "1", "favor_add", "i9", BASE + 1000)] * 50
-    rows = rows + copies
-    documents = alerts.alert_documents(
-        spark.createDataFrame(rows, SCHEMA), max_events=max_events
-    ).collect()
-    assert gathered(documents) == brute_force(rows)
-    assert max(d.parts for d in documents) > 1
-    ids = [d.id for d in documents if d.window_end % 60_000 == 0]
-    assert len(ids) == len(set(ids))
-
-
-def test_copies_are_spread_over_parts(spark):
-    rows = [("m", u, "trade_add_address", None, BASE) for u in ("1", "2")]
-    rows += [("m", "1", "cart_add", None, BASE + 1)] * 1000
-    documents = alerts.alert_documents(spark.createDataFrame(rows, SCHEMA), max_events=100).collect()
-    one = [d for d in documents if d.window_end == BASE + 30_000]
-    assert sum(len(d.events) for d in one) == 1002
-    assert max(len(d.events) for d in one) <= 500
-
-
-def test_events_are_in_time_order_and_ids_name_minute_and_device(spark):
+    assert expected and gathered(found) == expected
+
+
+def test_rows_carry_times_and_ids_that_name_minute_and_device(spark):
     rows = [
         ("m", "1", "cart_add", None, BASE + 3), ("m", "1", "trade_add_address", None, BASE + 2),
         ("m", "2", "trade_add_address", None, BASE + 4), ("m", "3", "cart_add", "x", BASE + 1),
         ("m", "2", "favor_add", "i", BASE + 5),
     ]
-    first = min(
-        alerts.alert_documents(spark.createDataFrame(rows, SCHEMA)).collect(), key=lambda d: d.ts
-    )
-    assert first.events == ["trade_add_address", "cart_add", "trade_add_address", "favor_add"]
-    assert (first.uids, first.item_ids, first.users) == (["1", "2"], ["i"], 2)
-    assert (first.id, first.date, first.ts) == ("2024-01-01T08:00_m", "2024-01-01", BASE + 30_000)
+    found = [r for r in alerts.alert_rows(spark.createDataFrame(rows, SCHEMA)).collect() if r.window_end == BASE + 30_000]
+    events = sorted((r.ts, r.uid, r.action_id, r.item) for r in found if r.kind == "event")
+    assert events == [(BASE + 2, "1", "trade_add_address", None), (BASE + 3, "1", "cart_add", None),
+                      (BASE + 4, "2", "trade_add_address", None), (BASE + 5, "2", "favor_add", "i")]
+    assert sorted(r.uid for r in found if r.kind == "user") == ["1", "2"]
+    assert [r.item for r in found if r.kind == "item"] == ["i"]
+    assert {(r.id, r.date, r.users) for r in found} == {("2024-01-01T08:00_m", "2024-01-01", 2)}
+
+
+def test_unreadable_actions_are_told_apart(spark):
+    texts = ['{"mid":"m","ts":"soon"}', "{", '{"mid":"m","ts":5}']
+    values = spark.createDataFrame([(t,) for t in texts], "value string")
+    assert {r.value for r in alerts.unreadable_actions(values).collect()} == set(texts[:2])
+    assert alerts.parse_actions(values).count() == 1
 
 
 def test_latest_per_minute(spark):
@@ -136,14 +121,26 @@ def test_stream_gives_the_batch_alerts(spark, feed, tmp_path):
     sentinel = {"mid": "z", "uid": "z", "action_id": RULE.trigger, "ts": rows[-1][4] + 3_600_000}
     feed(json.dumps(sentinel))
 
+    # The actions are kept by their own time, so it does not matter that all of them arrive now.
+    kept_actions = jobs.action_table(str(tmp_path / "a"))
+    jobs.run_action_log(
+        folder_stream(spark, path, "actions"), kept_actions, str(tmp_path / "ca"), jobs.UNTIL_DRAINED
+    ).awaitTermination()
+
     def action_log(session, from_ms, to_ms):
-        return alerts.parse_actions(session.read.text(path))
+        found = jobs.actions_between(session, kept_actions, from_ms, to_ms)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(date" in plan
+        return found
 
-    table = jobs.alert_table(str(tmp_path / "t"))
+    table, counts = jobs.alert_table(str(tmp_path / "t")), []
     stream = folder_stream(spark, path, "actions", max_files_per_batch=1)
     jobs.run_alerts(
-        stream, action_log, table, str(tmp_path / "c"), trigger=jobs.UNTIL_DRAINED
+        stream, action_log, table, str(tmp_path / "c"), trigger=jobs.UNTIL_DRAINED,
+        on_count=lambda batch, n: counts.append((batch, n)),
     ).awaitTermination()
+    # Batches without a closed alert window report 0 and the query goes on.
+    assert len(counts) >= 3 and counts[0] == (0, 0) and sum(n for _, n in counts) > 0
     expected = brute_force(rows)
     last = {}
     for mid, end in expected:

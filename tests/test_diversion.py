@@ -4,10 +4,11 @@ import json
 
 import pytest
 
-from stream_commerce.functions.maps import DEDUP_POLICY
 from stream_commerce.operators import diversion
 from stream_commerce.schemas import ACTION_TOPIC, START_TOPIC
 
+DEDUP_POLICY = "spark.sql.mapKeyDedupPolicy"
+
 COMMON = {"mid": "m1", "uid": "u1", "os": "x"}
 
 
@@ -94,6 +95,12 @@ def test_only_one_route(spark):
     assert counts == {"start": 1, "action": 1}
 
 
-def test_repeated_key_keeps_the_last_value(spark):
+def test_repeated_key_keeps_the_last_value(session):
     log = '{"common":{"mid":"a","mid":"b"},"start":{"e":1},"ts":2}'
-    assert divert(spark, log) == [(START_TOPIC, {"mid": "b", "ts": 2, "e": 1})]
+    assert divert(session, log) == [(START_TOPIC, {"mid": "b", "ts": 2, "e": 1})]
+
+
+def test_unreadable_logs_are_told_apart(spark):
+    texts = ["{", '{"common":{"mid":"a"},"start":{},"ts":1}', '{"common":{"mid":"a"},"err":null}', "[1"]
+    raw = spark.createDataFrame([(t,) for t in texts], "value string")
+    assert {r.value for r in diversion.unreadable_logs(raw).collect()} == {"{", "[1"}

@@ -86,3 +86,17 @@ def test_replayed_batch_writes_the_same_rows(spark, feed, tmp_path):
     run(spark, path, table, str(checkpoint), counts)
     assert counts == [(1, 1)]
     assert sorted(map(tuple, table.read(spark).collect())) == before
+
+
+def test_batches_that_keep_nothing_are_counted_and_the_query_goes_on(spark, feed, tmp_path):
+    path = feed("{", start_message("x", "soon"))
+    feed(start_message("a", MORNING))
+    feed(start_message("a", MORNING + 1))
+    feed(start_message("b", 0))
+    table, counts, aside = jobs.start_table(str(tmp_path / "t")), [], jobs.unreadable_table(str(tmp_path / "u"))
+    stream = folder_stream(spark, path, "start", max_files_per_batch=1)
+    jobs.run_first_starts(
+        stream, table, str(tmp_path / "c"), jobs.UNTIL_DRAINED, lambda b, n: counts.append((b, n)), aside.write
+    ).awaitTermination()
+    assert counts == [(0, 0), (1, 1), (2, 0), (3, 1)]
+    assert {(r.value, r.batch_id) for r in aside.read(spark).collect()} == {("{", 0), (start_message("x", "soon"), 0)}

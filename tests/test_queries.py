@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import contextlib
 import io
+import re
 
 import pytest
 
 import __spark_entry__ as contract
 from stream_commerce.plans import catalog
+from stream_commerce.streaming.batch_table import BatchTable
 from tests.compare import difference
 
 
@@ -61,10 +63,35 @@ def test_totals_shuffle_once(spark, folder):
     assert plan.count("Exchange") == 1 and "partial_sum" in plan
 
 
-def test_alert_documents_share_their_shuffles(spark, folder):
-    df = catalog.alert_minute_documents(spark, folder)
+def test_alert_rows_share_their_shuffles(spark, folder):
+    df = catalog.alert_window(spark, folder)
     df.collect()
     final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    assert final.count("ReusedExchange") >= 2
-    # Triggers once, all actions once.
-    assert final.count("FileScan") == 2
+    hashed = final.count("Exchange hashpartitioning") - final.count("ReusedExchange")
+    assert final.count("Exchange hashpartitioning") and hashed <= 5, final
+
+
+@pytest.mark.parametrize("name, fields", [
+    ("gmv_from_messages", "total_amount:string,create_time:string"), ("log_route_counts", "StructField(common,StructType()"),
+])
+def test_only_the_needed_fields_are_parsed(spark, folder, name, fields):
+    plan = plan_of(catalog.QUERIES[name](spark, folder), "simple")
+    parsed = re.search(r"from_json\((.*)", plan)[1]
+    assert all(x.split(":")[0] in parsed for x in fields.split(",")) and "province_id" not in parsed
+
+
+STREAMS = [n for n in catalog.QUERIES if n.startswith("stream_")]
+
+
+def test_streams_run_over_several_batches(spark, folder, monkeypatch):
+    seen = {}
+    real = BatchTable.write
+
+    def write(self, df, batch_id):
+        seen.setdefault(self.root, set()).add(batch_id)
+        real(self, df, batch_id)
+
+    monkeypatch.setattr(BatchTable, "write", write)
+    for name in ("stream_first_starts", "stream_gmv", "stream_user_state", "stream_wordcount", "stream_word_joins"):
+        catalog.QUERIES[name](spark, folder).count()
+    assert seen and all(len(ids) >= 3 for ids in seen.values())
