@@ -652,7 +652,7 @@ def stream_sales(spark: SparkSession, folder: str) -> DataFrame:
     times_ = headers.select(F.col("id").alias("order_id"), arrived)
     details = lines.join(times_, "order_id").select(
         F.to_json(F.struct(*lines.columns)).alias("value"), "arrived")
-    sale_table = jobs.sale_table(new_work_dir(spark, "sales"))
+    sale_table = jobs.sale_table(new_work_dir(spark, "sales"), by=["status"])  # years of days in a batch
     jobs.run_sales(
         _sliced(orders, F.unix_seconds("arrived")), _sliced(details, F.unix_seconds("arrived")),
         lambda s: standins.users(table(s, folder, "customer")),

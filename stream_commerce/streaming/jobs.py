@@ -8,7 +8,7 @@ the positions.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -304,10 +304,11 @@ def alert_view(spark: SparkSession, table: BatchTable) -> DataFrame:
 # Sales -------------------------------------------------------------------------------------
 
 
-def sale_table(path: str, run: str = "main") -> BatchTable:
+def sale_table(path: str, run: str = "main", by: Sequence[str] = ("status", "dt")) -> BatchTable:
+    """`by` names the folders; leave out `dt` where one batch spans very many days."""
     numbers = {"user_age": "int", "sku_price": "double", "sku_num": "int"}
     types = [f"{c} {numbers.get(c, 'string')}" for c in (*SALE_DETAIL_COLUMNS, "status")]
-    return BatchTable(path, ", ".join(types), ["status", "dt"], run)
+    return BatchTable(path, ", ".join(types), by, run)
 
 
 SALE_FOLD = keep_last(["order_detail_id"])
