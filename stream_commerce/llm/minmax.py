@@ -34,7 +34,7 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_CHUNK = 1 << 22
+_CHUNK = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -106,7 +106,7 @@ def _tokenise(path: str, end_id: int):
         encode = Encoder(path)
         end = np.array([end_id], "<u4").tobytes()
         shard, offset = TaskContext.get().partitionId(), 0
-        for frame in frames:
+        for frame in (f[i:i + 1000] for f in frames for i in range(0, len(f), 1000)):
             ids = [encode(x) + end for x in frame["text"]]
             sizes = np.array([len(x) // 4 for x in ids], np.int64)
             yield pd.DataFrame({
