@@ -14,6 +14,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -137,6 +138,65 @@ class BatchTable:
             path.getFileSystem(conf).delete(path, True)
 
 
+class DatedTable(BatchTable):
+    """A table whose batches need the history of the dates they hold, and of no others.
+
+    Folders are DATE/batch_id=N, so a batch lists and reads the folders of its dates only, however
+    many batches there are. A batch counts for readers once its row count stands in `done`.
+    """
+
+    def __init__(self, path: str, schema: T.StructType | str, date: str, run: str = "main"):
+        super().__init__(path, schema, [date], run)
+        self.date = date
+        self.done = f"{self.root}/done/run={run}"
+
+    def _full(self) -> T.StructType:
+        return T.StructType([*self.schema.fields, T.StructField(BATCH_ID, T.LongType())])
+
+    def _at(self, spark: SparkSession, path: str) -> DataFrame:
+        """Rows below a folder; none if there is no such folder yet."""
+        try:
+            found = spark.read.schema(self._full()).option("basePath", self.batches).parquet(path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            found = spark.createDataFrame([], self._full())
+        return found.select(*self._full().fieldNames())
+
+    def history(self, spark: SparkSession, dates: Sequence[str], before: int) -> DataFrame:
+        """Rows of earlier batches on these dates. They are complete: batches follow each other."""
+        rows = spark.createDataFrame([], self._full())
+        for date in dates:
+            rows = rows.unionByName(self._at(spark, f"{self.batches}/{self.date}={date}"))
+        return rows.filter(F.col(BATCH_ID) < before)
+
+    def write(self, df: DataFrame, batch_id: int) -> None:
+        """Replace the rows of `batch_id`: a replay writes the same folders again."""
+        spark = df.sparkSession
+        rows = df.select(*self._columns()).withColumn(BATCH_ID, F.lit(batch_id).cast("bigint"))
+        writer = rows.hint("rebalance", self.date).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(self.date, BATCH_ID).parquet(self.batches)
+        spark.range(1).select(F.lit(batch_id).cast("bigint").alias(BATCH_ID)).coalesce(1).write.mode(
+            "overwrite").parquet(f"{self.done}/{batch_id}")
+
+    def rows(self, spark: SparkSession, batch_id: int, dates: Sequence[str] | None = None) -> int:
+        found = self._at(spark, self.batches) if dates is None else self.history(spark, dates, batch_id + 1)
+        return found.filter(F.col(BATCH_ID) == batch_id).count()
+
+    def read(self, spark: SparkSession, before: int | None = None) -> DataFrame:
+        try:
+            done = spark.read.schema(f"{BATCH_ID} bigint").parquet(f"{self.done}/*").distinct()
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return spark.createDataFrame([], self._full())
+        rows = self._at(spark, self.batches).join(done, BATCH_ID, "left_semi").select(*self._full().fieldNames())
+        return rows if before is None else rows.filter(F.col(BATCH_ID) < before)
+
+    def compact(self, spark: SparkSession, fold: Fold) -> int | None:
+        raise NotImplementedError("folders of closed dates can be merged by any job that rewrites a date")
+
+
 def keep_all(rows: DataFrame) -> DataFrame:
     """Fold that changes nothing: compaction then only merges small files."""
     return rows

@@ -29,6 +29,7 @@ from stream_commerce.schemas import (
 from stream_commerce.streaming.batch_table import (
     BATCH_ID,
     BatchTable,
+    DatedTable,
     add_up,
     keep_all,
     keep_last,
@@ -82,13 +83,13 @@ def run_unreadable_logs(raw: DataFrame, table: BatchTable, checkpoint: str, trig
 # Daily active devices ----------------------------------------------------------------------
 
 
-def start_table(path: str, run: str = "main") -> BatchTable:
+def start_table(path: str, run: str = "main") -> DatedTable:
     types = [f"{c} {'bigint' if c == 'ts' else 'string'}" for c in START_LOG_COLUMNS]
-    return BatchTable(path, ", ".join(types), ["start_date"], run)
+    return DatedTable(path, ", ".join(types), "start_date", run)
 
 
 def run_first_starts(
-    starts: DataFrame, table: BatchTable, checkpoint: str, trigger: dict | None = None,
+    starts: DataFrame, table: DatedTable, checkpoint: str, trigger: dict | None = None,
     on_count: CountListener | None = None, on_unreadable: Aside | None = None,
 ) -> StreamingQuery:
     """Keep each device's first start of the day.
@@ -106,24 +107,19 @@ def run_first_starts(
         try:
             if on_unreadable is not None:
                 on_unreadable(first_start.unreadable_texts(batch.select("value")), batch_id)
-            # The dates of this batch prune the partitions of the history, however far apart they
-            # are. A batch has few; a clock that is wrong adds one date, not a span.
+            # Only the folders of this batch's dates are listed and read. A batch has few dates; a
+            # clock that is wrong adds one, not a span.
             dates = [r[0] for r in found.select("start_date").distinct().collect()]
-            history = table.read(spark, before=batch_id).filter(
-                F.col("start_date").isin(dates)
-            ).select(*first_start.KEYS)
-            fresh = first_start.drop_seen(found, history)
-            counted(table, fresh, batch_id, on_count)
+            history = table.history(spark, dates, before=batch_id).select(*first_start.KEYS)
+            table.write(first_start.drop_seen(found, history), batch_id)
+            if on_count is not None:
+                on_count(batch_id, table.rows(spark, batch_id, dates))
         finally:
             found.unpersist()
 
     return _each_batch(starts, handle, "first_starts", checkpoint, trigger)
 
 
-# Devices are unique across batches; compaction only merges small files.
-START_FOLD = keep_all
-
-
 def first_start_view(spark: SparkSession, table: BatchTable) -> DataFrame:
     """(start_date, mid) is unique here: no batch writes a device an earlier one holds."""
     return table.read(spark).drop(BATCH_ID)

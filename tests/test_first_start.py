@@ -100,3 +100,24 @@ def test_batches_that_keep_nothing_are_counted_and_the_query_goes_on(spark, feed
     ).awaitTermination()
     assert counts == [(0, 0), (1, 1), (2, 0), (3, 1)]
     assert {(r.value, r.batch_id) for r in aside.read(spark).collect()} == {("{", 0), (start_message("x", "soon"), 0)}
+
+
+def test_a_batch_lists_the_folders_of_its_dates_only(spark, tmp_path):
+    table = jobs.start_table(str(tmp_path / "t"))
+    names = table.schema.fieldNames()
+
+    def rows(batch, date):
+        values = {"mid": f"m{batch}", "ts": batch, "start_date": date}
+        return spark.createDataFrame([tuple(values.get(c) for c in names)], table.schema)
+
+    for batch in range(12):
+        table.write(rows(batch, f"2024-01-{batch + 1:02d}"), batch)
+    table.write(rows(12, "1970-01-01"), 12)
+    history = table.history(spark, ["1970-01-01", "2024-01-05", "2030-01-01"], before=13)
+    assert {(r.mid, r.start_date, r.batch_id) for r in history.collect()} == {("m12", "1970-01-01", 12), ("m4", "2024-01-05", 4)}
+    assert all("start_date=1970-01-01" in f or "start_date=2024-01-05" in f for f in history.inputFiles())
+    assert table.rows(spark, 12, ["1970-01-01"]) == 1 and table.history(spark, ["1970-01-01"], before=12).count() == 0
+    # A batch that was written but not finished is not shown.
+    for part in (tmp_path / "t" / "done" / "run=main" / "12").iterdir():
+        part.unlink()
+    assert table.read(spark).count() == 12
