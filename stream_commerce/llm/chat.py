@@ -18,7 +18,6 @@ and gives no rows; other columns are not read.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd

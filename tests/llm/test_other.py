@@ -95,7 +95,8 @@ def test_long_and_odd_transcripts(spark):
     lines = chat.turn_lines(chat.marked(table)).filter("conv_id = 1").count()
     assert one["n_lines"].sum() == lines and len(one) == 8
     assert one["matched"].sum() >= 0.9 * lines
-    assert found["n_lines"].sum() == lines + 3 + found[found["conv_id"] == 2]["n_lines"].sum() - 3 + found["conv_id"].isna().sum() or True
+    others = chat.turn_lines(chat.marked(table)).filter("conv_id is null or conv_id <> 1").count()
+    assert found["n_lines"].sum() == lines + others
     empty = table.limit(0)
     assert chat.recover(chat.turn_lines(empty), chat.train(empty)).count() == 0
 
