@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,12 +38,17 @@ def after_images(changes: DataFrame) -> DataFrame:
 
 
 def after_json(after: Column) -> Column:
-    """JSON object of an after-image; every value is text and null columns are left out."""
-    return F.to_json(F.map_from_entries(F.filter(after, lambda c: c["value"].isNotNull())))
+    """JSON object of an after-image; every value is text and null columns are left out. A column
+    that is named twice has its last value."""
+    given = F.filter(after, lambda c: c["value"].isNotNull())
+    names = F.array_distinct(F.transform(given, lambda c: c["name"]))
+    last = F.transform(names, lambda n: F.element_at(F.filter(given, lambda c: c["name"] == n), -1)["value"])
+    return F.to_json(F.map_from_arrays(names, last))
 
 
 def after_value(after: Column, name: str) -> Column:
-    return F.element_at(F.map_from_entries(after), name)
+    """The last value of that name; null if there is none."""
+    return F.try_element_at(F.filter(after, lambda c: c["name"] == name), F.lit(-1))["value"]
 
 
 def route_changes(changes: DataFrame) -> DataFrame:
@@ -71,6 +78,12 @@ def user_rows(changes: DataFrame) -> DataFrame:
     )
 
 
+def user_columns(changes: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The named columns (id among them), seq, pos and ts of inserted and updated users."""
+    images = after_images(changes).filter(F.col("target") == USER_STATE)
+    return images.select(*[after_value(F.col("after"), n).alias(n) for n in names], "seq", "pos", "ts")
+
+
 def latest_users(users: DataFrame) -> DataFrame:
     """Last written row per user."""
     return last_per_key(users, ["id"], ["seq", "pos"])

@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import json
 
+from pyspark.sql import functions as F
+
 from stream_commerce.operators import changes
 from stream_commerce.schemas import ORDER_DETAIL_TOPIC, ORDER_INFO_TOPIC, ROW_CHANGE
 from stream_commerce.streaming import jobs, sinks
@@ -66,3 +68,16 @@ def test_streams_fill_topics_and_user_state(spark, tmp_path):
     assert [(r.id, r.user_level) for r in jobs.user_view(spark, state, 3 * DAY).collect()] == [("u", "3")]
     assert state.compact(spark, jobs.user_fold) == 0
     assert [(r.id, r.user_level) for r in jobs.user_view(spark, state, 3 * DAY).collect()] == [("u", "3")]
+
+
+def test_a_column_named_twice_has_its_last_value(spark):
+    for policy in ("LAST_WIN", "EXCEPTION"):
+        spark.conf.set("spark.sql.mapKeyDedupPolicy", policy)
+        try:
+            rows = spark.sql("""select array(named_struct('name', 'id', 'value', '1'), named_struct('name', 'id', 'value', '2'),
+                             named_struct('name', 'x', 'value', cast(null as string))) after""")
+            found = rows.select(changes.after_json(F.col("after")), changes.after_value(F.col("after"), "id"),
+                                changes.after_value(F.col("after"), "none")).first()
+        finally:
+            spark.conf.unset("spark.sql.mapKeyDedupPolicy")
+        assert tuple(found) == ('{"id":"2"}', "2", None)
