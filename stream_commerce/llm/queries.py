@@ -82,7 +82,7 @@ def op4_licences(spark: SparkSession, folder: str) -> DataFrame:
 def encoded(spark: SparkSession, documents: DataFrame) -> DataFrame:
     folder = new_work_dir(spark, "token-files")
     token_files.write(documents, folder, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
-    return token_files.summary(token_files.read(spark, folder))
+    return token_files.summary(spark, folder)
 
 
 @query()

@@ -37,7 +37,7 @@ BITS = 20
 LANES = 1024
 BLOCK_TOKENS = 1 << 19
 MARK_STEPS = 256
-CACHE_PIECES = 400_000
+CACHE_PIECES = 300_000
 _LOW = np.uint64(1 << 31)
 _PIECE = re.compile(r"\s*\S+|\s+")
 _SIGNS = ".,;:!?"
@@ -124,6 +124,7 @@ def tokenise(documents: DataFrame, path: str, end_id: int, id_col: str = "doc_id
 
 
 def _counts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    _caches.clear()
     total = np.zeros(0, np.int64)
     for frame in frames:
         seen = np.bincount(np.frombuffer(b"".join(frame["ids"]), "<u4"), minlength=len(total))
@@ -229,6 +230,7 @@ BLOCK = ("shard int, first long, doc_ids array<long>, lengths array<long>, lanes
 
 def _blocks(token: np.ndarray, freq: np.ndarray):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        _caches.clear()  # a reused worker needs no pieces any more
         table = Table(token, freq)
         held: list[tuple] = []
         size = 0
@@ -272,8 +274,9 @@ def write(documents: DataFrame, folder: str, path: str, end_id: int, id_col: str
     blocks.write.option("compression", "uncompressed").partitionBy("shard").parquet(f"{folder}/blocks")
 
 
-def _decoded(token: np.ndarray, freq: np.ndarray):
+def _decoded(token: np.ndarray, freq: np.ndarray, digest: bool):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        _caches.clear()
         table = Table(token, freq)
         for frame in frames:
             for b in frame.itertuples(index=False):
@@ -281,42 +284,40 @@ def _decoded(token: np.ndarray, freq: np.ndarray):
                 ids = decode_block(int(lengths.sum()), b.lanes, b.states, list(b.marks), b.words, b.crc32, table)
                 ends = np.cumsum(lengths)
                 data = ids.astype("<u4").tobytes()
+                each = (data[4 * (e - n):4 * e] for e, n in zip(ends, lengths, strict=True))
+                own = {"ids_crc32": [zlib.crc32(x) for x in each]} if digest else {"ids": list(each)}
                 yield pd.DataFrame({
-                    "shard": b.shard, "doc_id": pd.array(b.doc_ids, "Int64"), "first": b.first + ends - lengths, "n_tokens": lengths,
-                    "ids": [data[4 * (e - n):4 * e] for e, n in zip(ends, lengths, strict=True)]})
+                    "shard": b.shard, "doc_id": pd.array(b.doc_ids, "Int64"), "first": b.first + ends - lengths,
+                    "n_tokens": lengths, **own})
 
     return run
 
 
-def read(spark: SparkSession, folder: str) -> DataFrame:
-    """(shard, doc_id, first, n_tokens, ids) from the files, blocks decoded in parallel."""
+def _read(spark: SparkSession, folder: str, digest: bool) -> DataFrame:
     table = spark.read.parquet(f"{folder}/frequencies").orderBy("token").toPandas()
-    # Few blocks per batch: each unpacks to megabytes.
     blocks = spark.read.schema(BLOCK).parquet(f"{folder}/blocks").select(*[x.split()[0] for x in BLOCK.split(", ")])
     return blocks.mapInPandas(
-        _decoded(table["token"].to_numpy(np.int64), table["freq"].to_numpy(np.int64)),
-        "shard int, doc_id long, first long, n_tokens long, ids binary")
+        _decoded(table["token"].to_numpy(np.int64), table["freq"].to_numpy(np.int64), digest),
+        "shard int, doc_id long, first long, n_tokens long, " + ("ids_crc32 long" if digest else "ids binary"))
 
 
-def _crcs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        yield pd.DataFrame({
-            "shard": frame["shard"], "doc_id": frame["doc_id"].astype("Int64"), "first": frame["first"],
-            "n_tokens": frame["n_tokens"], "ids_crc32": [zlib.crc32(x) for x in frame["ids"]]})
+def read(spark: SparkSession, folder: str) -> DataFrame:
+    """(shard, doc_id, first, n_tokens, ids) from the files, blocks decoded in parallel."""
+    return _read(spark, folder, digest=False)
 
 
-def summary(rows: DataFrame) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32); start counts the ids of all documents before it.
+def summary(spark: SparkSession, folder: str) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32) from the files; start counts the ids of all documents before.
 
-    Positions in a shard become positions in the corpus by one total per shard.
+    Positions in a shard become positions in the corpus by one total per shard. Ids are digested where
+    they are decoded, so one Python worker a task holds them.
     """
-    digests = saved(rows.mapInPandas(
-        _crcs, "shard int, doc_id long, first long, n_tokens long, ids_crc32 long"), "token-digests")
+    digests = saved(_read(spark, folder, digest=True), "token-digests")
     totals = digests.groupBy("shard").agg(F.sum("n_tokens").alias("total")).orderBy("shard").collect()
     before, bases = 0, []
     for row in totals:
         bases.append((row["shard"], before))
         before += row["total"]
-    base = digests.sparkSession.createDataFrame(bases, "shard int, base long")
+    base = spark.createDataFrame(bases, "shard int, base long")
     return digests.join(F.broadcast(base), "shard").select(
         "doc_id", (F.col("base") + F.col("first")).alias("start"), "n_tokens", "ids_crc32")

@@ -126,7 +126,7 @@ def test_token_files_round_trip(spark, tmp_path):
     assert [r["doc_id"] for r in back] == [d for d, _ in wanted]
     ids = [encode(t) + (2).to_bytes(4, "little") for _, t in wanted]
     assert [bytes(r["ids"]) for r in back] == ids
-    found = token_files.summary(token_files.read(spark, folder)).orderBy("start").collect()
+    found = token_files.summary(spark, folder).orderBy("start").collect()
     at = 0
     for r, x in zip(found, ids, strict=True):
         assert (r["start"], r["n_tokens"], r["ids_crc32"]) == (at, len(x) // 4, zlib.crc32(x))
@@ -135,7 +135,7 @@ def test_token_files_round_trip(spark, tmp_path):
 
 def test_token_files_of_an_empty_table(spark, tmp_path):
     token_files.write(spark.createDataFrame([], "doc_id long, text string"), str(tmp_path / "out"), BPE, 2)
-    assert token_files.summary(token_files.read(spark, str(tmp_path / "out"))).count() == 0
+    assert token_files.summary(spark, str(tmp_path / "out")).count() == 0
 
 
 def test_blocks_decode_from_checkpoints_and_check():
