@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from stream_commerce.llm import decontaminate, minmax, mixing, queries, toxicity
-from stream_commerce.llm.shared import read, saved
+from stream_commerce.llm.shared import read, saved, with_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -41,11 +41,11 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Stage]] = [
-    ("toxicity", clean_language),
-    ("near_duplicates", near_duplicates),
-    ("decontaminate", decontaminated),
-    ("mix", mixed),
-    ("tokens", tokens),
+    ("toxicity", with_path(clean_language)),
+    ("near_duplicates", with_path(near_duplicates)),
+    ("decontaminate", with_path(decontaminated)),
+    ("mix", with_path(mixed)),
+    ("tokens", with_path(tokens)),
 ]
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from stream_commerce.config import new_work_dir
 from stream_commerce.llm import chat, decontaminate, licences, lines, minmax, mixing, neighbours, passages, token_files, toxicity
-from stream_commerce.llm.shared import read
+from stream_commerce.llm.shared import read, with_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -19,6 +19,7 @@ ORACLES: dict[str, str] = {}
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
+        fn = with_path(fn)
         QUERIES[fn.__name__] = fn
         if sql is not None:
             ORACLES[fn.__name__] = sql

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+from functools import wraps
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +14,24 @@ from stream_commerce.config import new_work_dir
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+def with_path(run):
+    """Let Python workers import this package from where the driver has it.
+
+    On a cluster the package is installed or shipped; where driver and workers share the folder, this
+    spares the PYTHONPATH.
+    """
+
+    @wraps(run)
+    def call(spark: SparkSession, *args):
+        root = str(Path(__file__).resolve().parents[2])
+        known = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+        if root not in known:
+            spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(x for x in [root, *known] if x)
+        return run(spark, *args)
+
+    return call
+
+
 def saved(df: DataFrame, label: str) -> DataFrame:
     """Write to the cluster's shared folder and read back: short lineage that outlives executors."""
     spark = df.sparkSession
