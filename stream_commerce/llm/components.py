@@ -140,6 +140,11 @@ def linked(
 
 def _verified(pairs: DataFrame, held: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough; a node may have several sets."""
+    # Sets of too different sizes cannot be similar; that takes only their sizes.
+    sizes = held.select("node", F.size("hashes").alias("n"))
+    sized = pairs.join(sizes.select(F.col("node").alias("x"), F.col("n").alias("m")), F.col("a") == F.col("x")).join(
+        sizes.select(F.col("node").alias("y"), "n"), F.col("b") == F.col("y"))
+    pairs = sized.filter(F.least("m", "n") * 100 >= F.greatest("m", "n") * percent).select("a", "b").distinct()
     one = held.select(F.col("node").alias("x"), F.col("hashes").alias("p"))
     two = held.select(F.col("node").alias("y"), F.col("hashes").alias("q"))
     full = pairs.join(one, F.col("a") == F.col("x")).join(two, F.col("b") == F.col("y"))
