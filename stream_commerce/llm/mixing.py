@@ -231,9 +231,11 @@ def mixed(documents: DataFrame, labelled: DataFrame, targets: dict[str, float] |
     @F.pandas_udf("double")
     def rate(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in parts:
-            counted = [trigrams(x, model.log.shape[1]) for x in part]
-            found = fit.rates(np.stack([model.posterior(c) for c, _ in counted])) if counted else np.empty(0)
-            yield pd.Series(np.where(np.array([w for _, w in counted]) > 0, found, 1.0))
+            words, own = np.zeros(len(part), np.int64), np.zeros((len(part), len(model.domains)))
+            for i, x in enumerate(part):  # counts of one text at a time
+                counts, words[i] = trigrams(x, model.log.shape[1])
+                own[i] = model.posterior(counts)
+            yield pd.Series(np.where(words > 0, fit.rates(own), 1.0))
 
     names = documents.columns
     copies = _copies(rate(text), F.xxhash64(text), F.col(id_col).cast("long"))
