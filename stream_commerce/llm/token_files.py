@@ -37,7 +37,7 @@ BITS = 20
 LANES = 1024
 BLOCK_TOKENS = 1 << 19
 MARK_STEPS = 256
-CACHE_PIECES = 300_000
+CACHE_PIECES = 200_000
 _LOW = np.uint64(1 << 31)
 _PIECE = re.compile(r"\s*\S+|\s+")
 _SIGNS = ".,;:!?"
@@ -106,7 +106,7 @@ def _tokenise(path: str, end_id: int):
         encode = Encoder(path)
         end = np.array([end_id], "<u4").tobytes()
         shard, offset = TaskContext.get().partitionId(), 0
-        for frame in (f[i:i + 1000] for f in frames for i in range(0, len(f), 1000)):
+        for frame in (f[i:i + 500] for f in frames for i in range(0, len(f), 500)):
             ids = [encode(x) + end for x in frame["text"]]
             sizes = np.array([len(x) // 4 for x in ids], np.int64)
             yield pd.DataFrame({
@@ -127,9 +127,11 @@ def _counts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     _caches.clear()
     total = np.zeros(0, np.int64)
     for frame in frames:
-        seen = np.bincount(np.frombuffer(b"".join(frame["ids"]), "<u4"), minlength=len(total))
-        seen[: len(total)] += total
-        total = seen
+        for at in range(0, len(frame), 500):  # counting widens the ids
+            ids = np.frombuffer(b"".join(frame["ids"].iloc[at:at + 500]), "<u4")
+            seen = np.bincount(ids, minlength=len(total))
+            seen[: len(total)] += total
+            total = seen
     token = np.flatnonzero(total)
     yield pd.DataFrame({"token": token, "n": total[token]})
 
