@@ -127,3 +127,29 @@ def test_fuzzy_lines_match_brute_force(spark):
     for i, text in enumerate(texts):
         assert left[i] == "\n".join(x for n, x in enumerate((text or "").split("\n")) if found[i, n]["kept"])
     assert left[len(texts) - 4] == ""
+
+
+def test_lines_close_to_the_bound_and_without_spaces_are_linked(spark):
+    rng = random.Random(9)
+    signs = [chr(c) for c in range(0x4E00, 0x5200)]
+    pairs = []
+    while len(pairs) < 200:
+        spaced = len(pairs) % 2
+        old = " ".join(rng.choice(WORDS) for _ in range(rng.randint(20, 40))) if spaced else "".join(
+            rng.choice(signs) for _ in range(rng.randint(60, 200)))
+        new = list(old)
+        for at in rng.sample(range(len(old)), max(1, len(old) // 50)):
+            new[at] = "z"
+        if not spaced:
+            new[0] = "z"
+        a, b = _runs(old), _runs("".join(new))
+        if 0.8 <= len(a & b) / len(a | b) < 0.85:
+            pairs.append((old, "".join(new)))
+    for s in range(20):  # alike but for their first characters
+        tail = "".join(rng.choice(signs) for _ in range(300))
+        pairs += [(f"a{s:02}{tail}", f"b{s + 50}{tail}")]
+    docs = spark.createDataFrame([(2 * i + k, x) for i, p in enumerate(pairs) for k, x in enumerate(p)], "doc_id long, text string")
+    found = {r["doc_id"]: r["first_doc"] for r in lines.fuzzy_lines(docs).collect()}
+    linked = [found[2 * i + 1] == 2 * i for i in range(len(pairs))]
+    assert all(linked[200:])
+    assert sum(linked[:200]) >= 198
