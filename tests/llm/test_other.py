@@ -53,6 +53,31 @@ def test_neighbours_leave_out_unusable_vectors(spark):
     assert neighbours.nearest(table.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+@pytest.mark.parametrize("longest", [2.0, 10.0])
+def test_neighbours_of_varied_lengths(spark, longest):
+    rng = np.random.default_rng(6)
+    matrix = rng.standard_normal((8192, 64))
+    matrix /= np.linalg.norm(matrix, axis=1, keepdims=True)
+    if longest > 5:
+        matrix *= np.exp(0.3 * rng.standard_normal((8192, 1)))
+    matrix[17] *= longest
+    table = spark.createDataFrame(pd.DataFrame({"vec_id": np.arange(8192), "embedding": matrix.tolist()}))
+    found = neighbours.nearest(table, F.col("vec_id") % 128 == 0).toPandas().groupby("query_id")["vec_id"].agg(set)
+    hits = 0
+    for q in range(0, 8192, 128):
+        score = matrix @ matrix[q]
+        score[q] = -np.inf
+        hits += len(found[q] & {*np.argsort(-score)[:20].tolist()})
+    assert hits >= 0.9 * 20 * 64
+
+
+def test_neighbours_of_extreme_lengths(spark):
+    rows = [(20 * i, [x, x / 2]) for i, x in enumerate((1e-200, 1e-3, 1.0, 1e200))]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = [(r["query_id"], r["vec_id"]) for r in neighbours.nearest(table, F.col("vec_id") == 20, 3).orderBy("rank").collect()]
+    assert found == [(20, 60), (20, 40), (20, 0)]
+
+
 def test_chat_markers():
     assert chat.marker("User: hi") == (2, "hi")
     assert chat.marker("### Assistant") == (3, "")
