@@ -6,11 +6,15 @@ question. `train` counts starts, role changes, turn lengths and line features ov
 (plain grouping and one equi-join on the next turn, no sampling); how far markers are to be trusted is
 a parameter, as labelled turns have none. `recover` finds the most probable states by Viterbi.
 
-Long transcripts are cut into blocks of lines that are decoded apart, each with a margin of its
-neighbours' lines, so no task holds a whole transcript of unbounded length.
+Long transcripts are cut into blocks of `BLOCK_LINES` lines, so no task holds a whole transcript of
+unbounded length. Their lines are numbered by a range sort over all that orders them, which splits a
+conversation. A block's best scores from each state before it to each state at its end are a matrix;
+products of the matrices, `FAN` at a time, give each block the scores before it and after it, with which
+it finds its part of the whole transcript's most probable states. A turn that goes on over a cut has a
+part in either block's row.
 
 Defined cases: null text is one empty line; rows of one conversation with equal turn numbers follow
-each other by role and text; null conv_id is a conversation of its own, null turn comes first; a role
+each other by role and text, equal rows one after the other; null conv_id is a conversation of its own, null turn comes first; a role
 other than the known ones (or null) is not counted in training; an empty table trains a uniform model
 and gives no rows; other columns are not read.
 """
@@ -21,13 +25,15 @@ import re
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stream_commerce.llm.shared import saved
+
 ROLES = ("system", "user", "assistant")
 TRUST = 0.97
-BLOCK_TURNS = 64
-MARGIN_TURNS = 4
+BLOCK_LINES = 64
+FAN = 256
 # Speaker names found before a colon or in a heading or brackets.
 NAMES = {
     "system": "system", "sys": "system", "instruction": "system", "instructions": "system",
@@ -58,11 +64,12 @@ def feature(line: Column) -> Column:
 
 
 def turn_lines(turns: DataFrame) -> DataFrame:
-    """(conv_id, turn, role, text, n, line): the lines of each turn, n from 0."""
+    """(conv_id, turn, role, digest, row, n, line): the lines of each turn, n from 0; digest of the text, row is unique."""
     rows = turns.select(
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
         F.col("role").cast("string").alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return rows.select("*", F.posexplode(F.split("text", "\n")).alias("n", "line"))
+    rows = rows.withColumn("digest", F.xxhash64("text")).withColumn("row", F.monotonically_increasing_id())
+    return rows.select("conv_id", "turn", "role", "digest", "row", F.posexplode(F.split("text", "\n")).alias("n", "line"))
 
 
 class Model:
@@ -88,22 +95,39 @@ class Model:
         self.marks = marks
         self.log = [np.log(x) for x in (self.start, self.step, self.seen, self.marks)]
 
-    def decode(self, marks: np.ndarray, features: np.ndarray, begins: bool = True) -> np.ndarray:
-        """States of the lines; `begins` if the first line opens the transcript."""
+    def decode(self, marks: np.ndarray, features: np.ndarray, begins: bool = True,
+               before: np.ndarray | None = None, after: np.ndarray | float = 0.0) -> np.ndarray:
+        """States of the lines; `begins` if the first line opens the transcript. `before` has the best scores
+        of the states of the line before, `after` those of all lines behind for the states of the last."""
         start, step, seen, mark = self.log
         emit = seen[:, features] + mark[:, marks]
-        score = (start if begins else 0) + emit[:, 0]
+        score = ((start if begins else 0) if before is None else (before[:, None] + step).max(0)) + emit[:, 0]
         back = np.zeros((len(marks), len(score)), np.int8)
         for i in range(1, len(marks)):
             ways = score[:, None] + step
             back[i] = ways.argmax(0)
             score = ways.max(0) + emit[:, i]
         states = np.empty(len(marks), np.int64)
-        states[-1] = score.argmax()
+        states[-1] = (score + after).argmax()
         for i in range(len(marks) - 1, 0, -1):
             states[i - 1] = back[i, states[i]]
         return states
 
+    def matrix(self, marks: np.ndarray, features: np.ndarray, first: bool, begins: bool) -> np.ndarray:
+        """Best score from each state before the lines to each state of the last; all rows alike for the
+        `first` lines of a transcript."""
+        start, step, seen, mark = self.log
+        emit = seen[:, features] + mark[:, marks]
+        ways = np.tile(start if begins else np.zeros(len(start)), (len(start), 1)) if first else step
+        ways = ways + emit[:, 0]
+        for i in range(1, len(marks)):
+            ways = _product(ways, step) + emit[:, i]
+        return ways
+
+
+def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return (a[:, :, None] + b).max(1)
+
 
 def train(turns: DataFrame, trust: float = TRUST) -> Model:
     """Count a model over labelled turns (conv_id, turn, role, text)."""
@@ -132,50 +156,122 @@ def rendered(roles: list[str], texts: list[str]) -> str:
     return "\n".join(f"<|{r}|>\n{t}\n<|end|>" for r, t in zip(roles, texts, strict=True))
 
 
+ORDER = ["turn", "role", "digest", "row", "n"]
+
+
+def _conv(frame: pd.DataFrame):
+    conv = frame["conv_id"].iloc[0]
+    return None if pd.isna(conv) else int(conv)
+
+
+def _opens(frame: pd.DataFrame) -> bool:
+    turn = frame["turn"].iloc[0]
+    return int(frame["block"].iloc[0]) == 0 and bool(pd.isna(turn) or turn == 0)
+
+
 def _decode(model: Model):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["turn", "role", "text", "n"], na_position="first", kind="stable")
+        frame = frame.sort_values(ORDER, na_position="first", kind="stable")
         marked = [marker(x) for x in frame["line"]]
-        block = int(frame["block"].iloc[0])
-        states = model.decode(np.array([m for m, _ in marked]), frame["f"].to_numpy(np.int64), bool(frame["begins"].any()))
-        own = (frame["own"] == block).to_numpy()
+        block, before, after = int(frame["block"].iloc[0]), frame["before"].iloc[0], frame["after"].iloc[0]
+        states = model.decode(
+            np.array([m for m, _ in marked]), frame["f"].to_numpy(np.int64), _opens(frame),
+            None if before is None or block == 0 else np.array(before), 0.0 if after is None else np.array(after))
         roles, texts, matched = [], [], 0
-        for keep, state, (_, line), true in zip(own, states, marked, frame["role"], strict=True):
-            if not keep:
-                continue
+        for state, (_, line), true in zip(states, marked, frame["role"], strict=True):
             role = ROLES[state // 2]
             matched += role == true
             if state % 2 == 0 or not roles or roles[-1] != role:
                 roles.append(role)
-                texts.append(line)
+                texts.append([line])
             else:
-                texts[-1] += "\n" + line
-        conv = frame["conv_id"].iloc[0]
+                texts[-1].append(line)
         return pd.DataFrame([{
-            "conv_id": None if pd.isna(conv) else int(conv), "block": block, "n_lines": int(own.sum()), "n_turns": len(roles),
-            "matched": matched, "roles": ",".join(roles), "rendered": rendered(roles, texts)}]).astype({"conv_id": "Int64"})
+            "conv_id": _conv(frame), "block": block, "n_lines": len(frame), "n_turns": len(roles), "matched": matched,
+            "roles": ",".join(roles), "rendered": rendered(roles, ["\n".join(x) for x in texts])}]).astype({"conv_id": "Int64"})
+
+    return run
+
+
+def _matrix(model: Model):
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values(ORDER, na_position="first", kind="stable")
+        marks = np.array([marker(x)[0] for x in frame["line"]])
+        block = int(frame["block"].iloc[0])
+        ways = model.matrix(marks, frame["f"].to_numpy(np.int64), block == 0, _opens(frame))
+        return pd.DataFrame([{"conv_id": _conv(frame), "block": block, "ways": ways.ravel()}]).astype({"conv_id": "Int64"})
 
     return run
 
 
-def recover(lines: DataFrame, model: Model, block_turns: int = BLOCK_TURNS, margin: int = MARGIN_TURNS) -> DataFrame:
+def _square(flat) -> np.ndarray:
+    return np.array(flat, float).reshape(2 * len(ROLES), -1)
+
+
+def _joined(frame: pd.DataFrame) -> pd.DataFrame:
+    frame = frame.sort_values("block")
+    ways = _square(frame["ways"].iloc[0])
+    for x in frame["ways"].iloc[1:]:
+        ways = _product(ways, _square(x))
+    return pd.DataFrame([{
+        "conv_id": _conv(frame), "block": int(frame["up"].iloc[0]), "ways": ways.ravel()}]).astype({"conv_id": "Int64"})
+
+
+def _handed_down(frame: pd.DataFrame) -> pd.DataFrame:
+    frame = frame.sort_values("block")
+    ways = [_square(x) for x in frame["ways"]]
+    before, after = [np.array(frame["before"].iloc[0])], [np.array(frame["after"].iloc[0])]
+    for x in ways[:-1]:
+        before.append((before[-1][:, None] + x).max(0))
+    for x in ways[:0:-1]:
+        after.append((x + after[-1]).max(1))
+    return pd.DataFrame({"conv_id": frame["conv_id"].astype("Int64"), "block": frame["block"], "before": before, "after": after[::-1]})
+
+
+def _around(matrices: DataFrame, fan: int) -> DataFrame:
+    """(conv_id, block, before, after) of blocks (conv_id, block, ways), `block` counting from 0."""
+    none = F.array_repeat(F.lit(0.0), 2 * len(ROLES))
+    if matrices.filter("block > 0").isEmpty():
+        return matrices.select("conv_id", "block", none.alias("before"), none.alias("after"))
+    rows = matrices.withColumn("up", F.floor(F.col("block") / fan).cast("int"))
+    above = saved(rows.groupBy("conv_id", "up").applyInPandas(_joined, "conv_id long, block int, ways array<double>"), "matrices")
+    outer = _around(above, fan).select(F.col("conv_id").alias("c"), F.col("block").alias("b"), "before", "after")
+    held = rows.join(outer, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("up") == F.col("b"))).drop("c", "b")
+    return saved(held.groupBy("conv_id", "up").applyInPandas(
+        _handed_down, "conv_id long, block int, before array<double>, after array<double>"), "around")
+
+
+def _cut(lines: DataFrame, block_lines: int) -> DataFrame:
+    """The lines with their block: each conversation's lines numbered in order, whatever it holds."""
+    placed = saved(lines.repartitionByRange("conv_id", *ORDER).sortWithinPartitions("conv_id", *ORDER).select(
+        "*", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at")), "chat-lines")
+    one = Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = placed.groupBy("conv_id", "part").agg(F.min("at").alias("low"), F.count("*").alias("held"))
+    firsts = firsts.select(F.col("conv_id").alias("c"), F.col("part").alias("p"),
+                           (F.col("low") - F.coalesce(F.sum("held").over(one), F.lit(0))).alias("low"))
+    numbered = placed.join(firsts, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("part") == F.col("p")))
+    return numbered.withColumn("block", F.floor((F.col("at") - F.col("low")) / block_lines).cast("int")).drop("c", "p", "part", "at", "low")
+
+
+def recover(lines: DataFrame, model: Model, block_lines: int = BLOCK_LINES, fan: int = FAN) -> DataFrame:
     """(conv_id, block, n_lines, n_turns, matched, roles, rendered) from lines as `turn_lines` gives them.
 
-    `turn` only orders the lines and places them in blocks; the roles come from the model. `matched`
-    counts the lines whose role column agrees (0 where roles are unknown).
+    `turn` only orders the lines; the roles come from the model. `matched` counts the lines whose role
+    column agrees (0 where roles are unknown).
     """
-    turn = F.coalesce("turn", F.lit(0))
-    own = F.floor(turn / block_turns).cast("int")
-    inside = F.pmod(turn, F.lit(block_turns))
-    blocks = F.array_compact(F.array(
-        own, F.when((inside < margin) & (own > 0), own - 1), F.when(inside >= block_turns - margin, own + 1)))
-    rows = lines.select(
-        "conv_id", "turn", "role", "text", "n", "line", feature(F.col("line")).alias("f"), own.alias("own"),
-        ((turn == 0) & (F.col("n") == 0)).alias("begins"), F.explode(blocks).alias("block"))
-    held = rows.withColumn("text", F.hex(F.xxhash64("text")))
-    out = held.groupBy("conv_id", "block").applyInPandas(
+    none = F.lit(None).cast("array<double>")
+    held = lines.select("conv_id", *ORDER, "line", feature(F.col("line")).alias("f"))
+    long = saved(lines.groupBy("conv_id").count().filter(F.col("count") > block_lines).select(F.col("conv_id").alias("x")), "long-chats")
+    rows = held.join(long, F.col("conv_id").eqNullSafe(F.col("x")), "left_anti").select(
+        "*", F.lit(0).alias("block"), none.alias("before"), none.alias("after"))
+    if not long.isEmpty():
+        cut = saved(_cut(held.join(long, F.col("conv_id").eqNullSafe(F.col("x")), "left_semi"), block_lines), "chat-blocks")
+        matrices = saved(cut.groupBy("conv_id", "block").applyInPandas(
+            _matrix(model), "conv_id long, block int, ways array<double>"), "matrices")
+        around = _around(matrices, fan).withColumnRenamed("conv_id", "c").withColumnRenamed("block", "b")
+        rows = rows.unionByName(cut.join(around, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("block") == F.col("b"))).drop("c", "b"))
+    return rows.groupBy("conv_id", "block").applyInPandas(
         _decode(model), "conv_id long, block int, n_lines int, n_turns int, matched int, roles string, rendered string")
-    return out.filter("n_lines > 0")
 
 
 def marked(turns: DataFrame) -> DataFrame:

@@ -126,6 +126,30 @@ def test_long_and_odd_transcripts(spark):
     assert chat.recover(chat.turn_lines(empty), chat.train(empty)).count() == 0
 
 
+def test_blocks_are_bounded_and_decode_like_whole_transcripts(spark):
+    rng = random.Random(4)
+    rows = [(1, 7, "user", "\n".join(rng.choice(["User: hi?", "AI: so it is", "x" * 50, "", "what?", "Bob: no"]) for _ in range(900)))]
+    rows += [(None, t % 3, rng.choice(["user", "assistant"]), rng.choice(["User: a", "b", "AI: c\nd", "e?"])) for t in range(300)]
+    rows += [(2, None, "user", "User: same\nagain")] * 150
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    k = len(chat.ROLES)
+    rand = np.random.default_rng(3)
+    model = chat.Model(np.ones(k) / k, rand.dirichlet(np.ones(k), k), rand.random(k), rand.dirichlet(np.ones(chat.FEATURES), 2 * k), 0.4)
+    found = chat.recover(chat.turn_lines(table), model, 16, 4).toPandas()
+    assert found["n_lines"].max() == 16
+    place = ["turn", "role", "digest", "row", "n"]
+    lines = chat.turn_lines(table).withColumn("f", chat.feature(F.col("line"))).toPandas().sort_values(place, na_position="first")
+    for conv in (1, 2, None):
+        own = lines[lines["conv_id"].isna() if conv is None else lines["conv_id"] == conv]
+        mine = found[found["conv_id"].isna() if conv is None else found["conv_id"] == conv].sort_values("block")
+        assert mine["n_lines"].sum() == len(own) and mine["block"].tolist() == list(range(-(-len(own) // 16)))
+        states = model.decode(np.array([chat.marker(x)[0] for x in own["line"]]), own["f"].to_numpy(), conv != 1)
+        for at, roles in zip(range(0, len(own), 16), mine["roles"], strict=True):
+            part = states[at:at + 16].tolist()
+            cut = [i for i, x in enumerate(part) if i == 0 or x % 2 == 0 or x // 2 != part[i - 1] // 2]
+            assert roles == ",".join(chat.ROLES[part[i] // 2] for i in cut)
+
+
 TEXTS = ["Hello world", "", None, "a  b\n\n c\t d 　 e", "x\x1cy \x1f z", "café naïve \U0001f600", "<|endoftext|> it's we'll", " lead", "trail ", "\n",
          "word " * 50_000]
 
