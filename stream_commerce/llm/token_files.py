@@ -57,9 +57,7 @@ class Encoder:
         if path not in _caches:
             from tokenizers import Tokenizer
 
-            tokenizer = Tokenizer.from_file(path)
-            tokenizer.encode_special_tokens = True
-            _caches[path] = tokenizer, {}
+            _caches[path] = Tokenizer.from_file(path), {}
         self.tokenizer, self.known = _caches[path]
         self.signs = dict(zip(_SIGNS, self._code(list(_SIGNS)), strict=True))
 

@@ -164,6 +164,16 @@ def test_pieces_code_like_whole_texts():
         assert np.frombuffer(encode(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_markers_in_texts_are_coded_as_the_tokenizer_does():
+    tokenizer = Tokenizer.from_file(BPE)
+    encode = token_files.Encoder(BPE)
+    rng = random.Random(2)
+    parts = ["<|endoftext|>", "<|endoftext|>", "<|endof", "text|>", "a", "B.", " ", "  ", "\n", "\t", "'s", "é", "\x85", "9!"]
+    odd = ["".join(rng.choice(parts) for _ in range(20)) for _ in range(500)]
+    for text in ["a <|endoftext|> b", *[x or "" for x in TEXTS], *odd]:
+        assert np.frombuffer(encode(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_token_files_round_trip(spark, tmp_path):
     rows = [(len(TEXTS) - i, t, "x") for i, t in enumerate(TEXTS)] + [(None, "null id", "x"), (3, "again", "x"), (3, "again", "x")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, ids string")
