@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stream_commerce.config import new_work_dir
-from stream_commerce.llm import chat, decontaminate, licences, lines, minmax, mixing, neighbours, passages, token_files, toxicity
+from stream_commerce.llm import (
+    alignment, chat, decontaminate, fingerprints, licences, lines, minmax, mixing, neighbours, passages, repair, token_files, toxicity,
+)
 from stream_commerce.llm.shared import read, with_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -152,3 +154,35 @@ def op8_passages(spark: SparkSession, folder: str) -> DataFrame:
 def op9_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Every line of every document with the near-equal line kept for it."""
     return lines.fuzzy_lines(read(spark, folder, "documents"))
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """The turns after faults that follow from crc32(conv_id:turn) % 20: 0 drops a row, 1 empties its text, 2 takes
+    its sentence ends, 3 repeats it, 4 makes it the user's. A null role or text is one space."""
+    space = lambda name: F.coalesce(F.col(name).cast("string"), F.lit(" "))
+    kind = F.crc32(F.concat(space("conv_id"), F.lit(":"), space("turn"))) % 20
+    rows = conversations.select("conv_id", "turn", space("role").alias("role"), space("text").alias("text"), kind.alias("kind")).filter("kind <> 0")
+    text = F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    role = F.when(F.col("kind") == 4, "user").otherwise(F.col("role"))
+    times = F.when(F.col("kind") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), F.explode(times).alias("again")).drop("again")
+
+
+@query()
+def op11_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults of every damaged conversation and its cheapest repair."""
+    conversations = read(spark, folder, "conversations")
+    return repair.report(damaged(conversations), conversations)
+
+
+@query()
+def op12_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate documents by fingerprints that differ in at most two bits."""
+    return fingerprints.near_duplicates(read(spark, folder, "documents"))
+
+
+@query()
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Overlap links and groups of two tokenizers' ids for every document."""
+    return alignment.align(read(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                           public_tokenizers.path("piece_bpe_32k.model"))

@@ -156,7 +156,6 @@ TEXTS = ["Hello world", "", None, "a  b\n\n c\t d 　 e", "x\x1cy \x1f z", "caf
 
 def test_pieces_code_like_whole_texts():
     tokenizer = Tokenizer.from_file(BPE)
-    tokenizer.encode_special_tokens = True
     encode = token_files.Encoder(BPE)
     rng = random.Random(1)
     odd = ["".join(rng.choice(["a", "B", "9", " ", " ", "\n", "\t", " ", "!", "'", "s", "é", "\x85", " "]) for _ in range(40)) for _ in range(300)]
