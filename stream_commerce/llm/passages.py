@@ -6,6 +6,9 @@ occurrence with the smallest (doc_id, unit number) stays and all others are remo
 ids and offsets are shuffled, never texts; the minimum is combined map-side, and the join back is a
 plain equi-join that Spark splits where one unit has very many occurrences.
 
+`shared_runs` looks at finer units, sentences, and from both ends: how many words the longest run of sentences
+has that other documents hold too, whichever of them came first.
+
 Units of fewer than `min_words` words are no passages and stay. Offsets are characters of the original
 text: a removed unit covers [start, end) without its line break.
 
@@ -33,9 +36,7 @@ def units(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     `copy` numbers the rows that share a doc_id; it is 0 where ids are unique.
     """
-    rows = texts(documents, id_col, text_col)
-    rows = rows.withColumn("copy", F.lit(0)) if not _repeats(rows) else rows.withColumn(
-        "copy", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")) - 1)
+    rows = _numbered(texts(documents, id_col, text_col))
     lines = rows.select("doc_id", "copy", F.split("text", "\n").alias("lines"))
     # End of each line in the text: running sum of the lengths and the breaks between them.
     cut = lines.select("doc_id", "copy", F.posexplode("lines").alias("unit", "line"))
@@ -48,6 +49,12 @@ def units(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         "doc_id", "copy", "unit", "chars", words.alias("words"), F.unhex(F.md5("plain")).alias("digest"))
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """The rows with `copy`, which tells rows of one doc_id apart."""
+    return rows.withColumn("copy", F.lit(0)) if not _repeats(rows) else rows.withColumn(
+        "copy", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")) - 1)
+
+
 def _repeats(rows: DataFrame) -> bool:
     return not rows.groupBy("doc_id").count().filter("count > 1").isEmpty()
 
@@ -100,3 +107,34 @@ def deduplicated(documents: DataFrame, min_words: int = MIN_WORDS, id_col: str =
         "doc_id", "copy",
         F.array_join(F.transform("spans", lambda s: F.substring("text", s["start"] + 1, s["end"] - s["start"])), "\n").alias("text"),
         "spans")
+
+
+_SPACE = r"[ \t\x0B\f\r]"
+
+
+def sentences(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, copy, unit, words, hash): the sentences of every text, normalised; a line break ends one too.
+
+    Sentences are known by a 64-bit hash; below 10^9 different ones a collision is unlikely.
+    """
+    rows = _numbered(texts(documents, id_col, text_col))
+    plain = F.regexp_replace("text", rf"^[ \t\x0B\f\r\n]+|[ \t\x0B\f\r\n]+\z", "")
+    plain = F.regexp_replace(plain, rf"{_SPACE}*\n[ \t\x0B\f\r\n]*", "\n")
+    plain = F.regexp_replace(plain, rf"([.!?]){_SPACE}+", "$1\n")
+    plain = F.lower(F.regexp_replace(plain, rf"{_SPACE}+", " "))
+    cut = rows.select("doc_id", "copy", F.posexplode(F.split(plain, "\n")).alias("unit", "plain")).filter("plain <> ''")
+    words = F.char_length("plain") - F.char_length(F.replace("plain", F.lit(" "))) + 1
+    return cut.select("doc_id", "copy", "unit", words.alias("words"), F.xxhash64("plain").alias("hash"))
+
+
+def shared_runs(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, copy, shared_words): the words of the longest run of sentences that all occur in another
+    document too; documents without one have no row."""
+    rows = saved(sentences(documents, id_col, text_col), "sentences")
+    who = F.struct("doc_id", "copy")
+    several = rows.groupBy("hash").agg(F.min(who).alias("low"), F.max(who).alias("high")).filter("low <> high").select(
+        F.col("hash").alias("h"))
+    hits = rows.join(several, F.col("hash") == F.col("h"), "left_semi")
+    place = F.row_number().over(Window.partitionBy("doc_id", "copy").orderBy("unit"))
+    runs = hits.withColumn("run", F.col("unit") - place).groupBy("doc_id", "copy", "run").agg(F.sum("words").alias("words"))
+    return runs.groupBy("doc_id", "copy").agg(F.max("words").alias("shared_words"))

@@ -137,17 +137,43 @@ _UNITS = """
     select *, words >= 8 and row_number() over (partition by plain order by doc_id, unit) > 1 gone from w)"""
 
 
-@query(f"""{_UNITS}
+#: A document that shares so many words in a row with another one holds a repeated passage.
+PASSAGE_WORDS = 30
+
+
+@query(f"""{_UNITS},
+  t as (
+    select doc_id, regexp_replace(coalesce(text, ''), '^[ \\t\\x0B\\f\\r\\n]+|[ \\t\\x0B\\f\\r\\n]+\\z', '', 'g') a from documents),
+  t2 as (
+    select doc_id, regexp_replace(regexp_replace(a, '[ \\t\\x0B\\f\\r]*\\n[ \\t\\x0B\\f\\r\\n]*', chr(10), 'g'),
+      '([.!?])[ \\t\\x0B\\f\\r]+', '\\1' || chr(10), 'g') b from t),
+  s as (
+    select doc_id, unnest(p) s, generate_subscripts(p, 1) unit
+    from (select doc_id, string_split(lower(regexp_replace(b, '[ \\t\\x0B\\f\\r]+', ' ', 'g')), chr(10)) p from t2)),
+  o as (select s from s where s <> '' group by s having min(doc_id) <> max(doc_id)),
+  h as (
+    select doc_id, unit - row_number() over (partition by doc_id order by unit) run,
+           length(s) - length(replace(s, ' ', '')) + 1 words from s join o using (s)),
+  r as (select doc_id, max(words)::bigint shared_words from (
+    select doc_id, run, sum(words) words from h group by 1, 2) group by 1)
   select doc_id, count(*) n_units, count(*) filter (gone) n_removed,
          coalesce(sum(chars) filter (gone), 0)::bigint chars_removed,
-         coalesce(string_agg(unit || ':' || start_at || '-' || (start_at + chars), ',' order by unit) filter (gone), '') removed
-  from f group by 1""")
+         coalesce(string_agg(unit || ':' || start_at || '-' || (start_at + chars), ',' order by unit) filter (gone), '') removed,
+         coalesce(any_value(shared_words), 0) shared_words,
+         (coalesce(any_value(shared_words), 0) >= {PASSAGE_WORDS})::int has_passage
+  from f left join r using (doc_id) group by 1""")
 def op8_passages(spark: SparkSession, folder: str) -> DataFrame:
-    """Units of every document that an earlier document or line already has, with their offsets."""
-    rows = passages.removed(read(spark, folder, "documents"))
+    """Units of every document that an earlier document or line already has, with their offsets, and how
+    many words in a row other documents share with it."""
+    documents = read(spark, folder, "documents")
+    rows = passages.removed(documents)
+    runs = passages.shared_runs(documents).select(F.col("doc_id").alias("d"), F.col("copy").alias("c"), "shared_words")
+    both = rows.join(runs, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("copy") == F.col("c")), "left")
     spans = F.transform("removed", lambda s: F.concat(
         s["unit"].cast("string"), F.lit(":"), s["start"].cast("string"), F.lit("-"), s["end"].cast("string")))
-    return rows.select("doc_id", "n_units", "n_removed", "chars_removed", F.array_join(spans, ",").alias("removed"))
+    shared = F.coalesce("shared_words", F.lit(0))
+    return both.select("doc_id", "n_units", "n_removed", "chars_removed", F.array_join(spans, ",").alias("removed"),
+                       shared.alias("shared_words"), (shared >= PASSAGE_WORDS).cast("int").alias("has_passage"))
 
 
 @query()

@@ -161,3 +161,32 @@ def test_toxicity_without_labels(spark, rude):
     none = toxicity.train(docs, labels.limit(0))
     assert {r["score"] for r in toxicity.score(docs.limit(3), none).collect()} == {0.5}
     assert toxicity.score(docs.limit(0), none).count() == 0
+
+
+def test_shared_runs_match_brute_force(spark):
+    rng = random.Random(12)
+    pool = [" ".join(rng.choice(FILL) for _ in range(rng.randint(2, 12))) + rng.choice(".!?") for _ in range(25)]
+    texts = []
+    for i in range(60):
+        held = [rng.choice(pool) if rng.random() < 0.6 else f"only {i} here {n}." for n in range(rng.randint(0, 9))]
+        texts.append("".join(x + rng.choice([" ", "  ", "\n", " \n\n ", "\t"]) for x in held))
+    texts += [None, "", " \n ", "Same.", "same.  ", "x. " * 20_000]
+    rows = [(i, t, 1) for i, t in enumerate(texts)] + [(3, texts[3], 0), (None, "Same.", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, unit int")
+    found = [(r["doc_id"], r["shared_words"]) for r in passages.shared_runs(docs).collect()]
+    cut = [[y for y in (re.sub(r"[ \t\x0b\f\r]+", " ", x).strip(" ").lower()
+                        for x in re.split(r"\n|(?<=[.!?])[ \t\x0b\f\r]+", t or "")) if y] for _, t, _ in rows]
+    where = {}
+    for k, own in enumerate(cut):
+        for x in own:
+            where.setdefault(x, set()).add(k)
+    expected = []
+    for (i, _, _), own in zip(rows, cut, strict=True):
+        best = run = 0
+        for x in own:
+            run = run + len(x.split(" ")) if len(where[x]) > 1 else 0
+            best = max(best, run)
+        if best:
+            expected.append((i, best))
+    assert sorted(found, key=str) == sorted(expected, key=str)
+    assert passages.shared_runs(docs.limit(0)).count() == 0
