@@ -63,7 +63,7 @@ class Encoder:
 
     def _code(self, pieces: list[str]) -> list[bytes]:
         return [np.array(x.ids, "<u4").tobytes()
-                for x in self.tokenizer.encode_batch(pieces, add_special_tokens=False)]
+                for x in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
     def __call__(self, text: str) -> bytes:
         if _ODD_SPACE.search(text):
@@ -104,13 +104,16 @@ def _tokenise(path: str, end_id: int):
         encode = Encoder(path)
         end = np.array([end_id], "<u4").tobytes()
         shard, offset = TaskContext.get().partitionId(), 0
-        for frame in (f[i:i + 500] for f in frames for i in range(0, len(f), 500)):
-            ids = [encode(x) + end for x in frame["text"]]
-            sizes = np.array([len(x) // 4 for x in ids], np.int64)
-            yield pd.DataFrame({
-                "shard": shard, "doc_id": frame["doc_id"].astype("Int64"),
-                "first": offset + np.cumsum(sizes) - sizes, "n_tokens": sizes, "ids": ids})
-            offset += int(sizes.sum())
+        try:
+            for frame in (f[i:i + 500] for f in frames for i in range(0, len(f), 500)):
+                ids = [encode(x) + end for x in frame["text"]]
+                sizes = np.array([len(x) // 4 for x in ids], np.int64)
+                yield pd.DataFrame({
+                    "shard": shard, "doc_id": frame["doc_id"].astype("Int64"),
+                    "first": offset + np.cumsum(sizes) - sizes, "n_tokens": sizes, "ids": ids})
+                offset += int(sizes.sum())
+        finally:
+            _caches.clear()  # the worker lives on, for other stages
 
     return run
 
@@ -122,7 +125,6 @@ def tokenise(documents: DataFrame, path: str, end_id: int, id_col: str = "doc_id
 
 
 def _counts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    _caches.clear()
     total = np.zeros(0, np.int64)
     for frame in frames:
         for at in range(0, len(frame), 500):  # counting widens the ids
@@ -230,7 +232,6 @@ BLOCK = ("shard int, first long, doc_ids array<long>, lengths array<long>, lanes
 
 def _blocks(token: np.ndarray, freq: np.ndarray):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        _caches.clear()  # a reused worker needs no pieces any more
         table = Table(token, freq)
         held: list[tuple] = []
         size = 0
@@ -276,7 +277,6 @@ def write(documents: DataFrame, folder: str, path: str, end_id: int, id_col: str
 
 def _decoded(token: np.ndarray, freq: np.ndarray, digest: bool):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        _caches.clear()
         table = Table(token, freq)
         for frame in frames:
             for b in frame.itertuples(index=False):
