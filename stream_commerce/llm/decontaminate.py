@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stream_commerce.llm.shared import saved, texts
+from stream_commerce.llm.shared import saved, texts, tidy
 
 Q = 6
 WINDOW = 64
@@ -248,6 +248,7 @@ def aligned(
 
 
 def _scan(items: list[str], ids: list[int | None], q: int, window: int, edits: int):
+    @tidy
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         index = Index(items, q, window, edits)
         for frame in frames:

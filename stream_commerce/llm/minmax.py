@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stream_commerce.llm.components import linked
-from stream_commerce.llm.shared import saved, texts
+from stream_commerce.llm.shared import saved, texts, tidy
 
 PERMUTATIONS = 48
 ROWS = 4
@@ -34,7 +34,7 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_CHUNK = 1 << 20
+_CHUNK = 1 << 18
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -131,6 +131,7 @@ def bands(values: np.ndarray, rows: int = ROWS) -> np.ndarray:
 
 
 def _features(size: int, permutations: int, rows: int):
+    @tidy
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             n, digest, keys = [], [], []
@@ -144,6 +145,7 @@ def _features(size: int, permutations: int, rows: int):
 
 
 def _set_rows(size: int):
+    @tidy
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             yield pd.DataFrame({

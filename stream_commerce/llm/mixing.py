@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stream_commerce.llm.shared import saved, texts
+from stream_commerce.llm.shared import saved, texts, tidy
 
 BUCKETS = 4096
 SHARPNESS = 40.0
@@ -50,6 +50,7 @@ def trigrams(text: str, buckets: int = BUCKETS) -> tuple[np.ndarray, int]:
 
 
 def _domain_counts(buckets: int):
+    @tidy
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total: dict[str, np.ndarray] = {}
         for frame in frames:
@@ -90,6 +91,7 @@ def train(labelled: DataFrame, buckets: int = BUCKETS) -> Classifier:
 
 
 def _classify(model: Classifier):
+    @tidy
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             tokens, posteriors = [], []
@@ -125,6 +127,7 @@ class Fit:
 
 
 def _totals(fit: Fit):
+    @tidy
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(len(fit.weights))
         for frame in frames:
@@ -170,6 +173,7 @@ def fit_rates(rows: DataFrame, domains: list[str], targets: dict[str, float] | f
 
 
 def _rated(fit: Fit | None, domains: list[str]):
+    @tidy
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             out = frame[["doc_id", "mark", "n_tokens"]].copy()

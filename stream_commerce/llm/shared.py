@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
+from collections.abc import Iterator
 from functools import wraps
 from pathlib import Path
 
@@ -13,7 +16,8 @@ from stream_commerce.config import new_work_dir
 
 BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 #: Python workers stay alive between stages; freed arrays of a megabyte go back to the system at once.
-WORKER_ENV = {"MALLOC_MMAP_THRESHOLD_": "1048576", "MALLOC_TRIM_THRESHOLD_": "1048576", "MALLOC_ARENA_MAX": "2"}
+WORKER_ENV = {"MALLOC_MMAP_THRESHOLD_": "1048576", "MALLOC_TRIM_THRESHOLD_": "1048576", "MALLOC_ARENA_MAX": "2",
+              "ARROW_DEFAULT_MEMORY_POOL": "system"}
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -41,6 +45,22 @@ def with_path(run):
     return call
 
 
+def tidy(run):
+    """Let a worker's task give its memory back when it ends: the worker stays, and so would freed memory."""
+
+    @wraps(run)
+    def call(frames: Iterator) -> Iterator:
+        try:
+            yield from run(frames)
+        finally:
+            gc.collect()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only where the C library has it
+            if trim is not None:
+                trim(0)
+
+    return call
+
+
 def saved(df: DataFrame, label: str) -> DataFrame:
     """Write to the cluster's shared folder and read back: short lineage that outlives executors."""
     spark = df.sparkSession

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stream_commerce.config import new_work_dir
-from stream_commerce.llm.shared import saved, texts
+from stream_commerce.llm.shared import saved, texts, tidy
 
 BITS = 20
 LANES = 1024
@@ -100,6 +100,7 @@ class Encoder:
 
 
 def _tokenise(path: str, end_id: int):
+    @tidy
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode = Encoder(path)
         end = np.array([end_id], "<u4").tobytes()
@@ -124,6 +125,7 @@ def tokenise(documents: DataFrame, path: str, end_id: int, id_col: str = "doc_id
     return rows.mapInPandas(_tokenise(path, end_id), "shard int, doc_id long, first long, n_tokens long, ids binary")
 
 
+@tidy
 def _counts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     total = np.zeros(0, np.int64)
     for frame in frames:
@@ -231,6 +233,7 @@ BLOCK = ("shard int, first long, doc_ids array<long>, lengths array<long>, lanes
 
 
 def _blocks(token: np.ndarray, freq: np.ndarray):
+    @tidy
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table = Table(token, freq)
         held: list[tuple] = []
@@ -276,6 +279,7 @@ def write(documents: DataFrame, folder: str, path: str, end_id: int, id_col: str
 
 
 def _decoded(token: np.ndarray, freq: np.ndarray, digest: bool):
+    @tidy
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table = Table(token, freq)
         for frame in frames:

@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stream_commerce.llm.shared import texts
+from stream_commerce.llm.shared import texts, tidy
 
 WINDOW = 64
 GRAM = 5
@@ -197,6 +197,7 @@ def _restored(content, beta, share) -> Model:
 
 
 def _measure(toxic: bytes, ordinary: bytes):
+    @tidy
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = Dictionaries(toxic, ordinary)
         for frame in frames:
@@ -238,6 +239,7 @@ def train(documents: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, m
 
 
 def _score(model: Model):
+    @tidy
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             yield frame.drop(columns="text").assign(score=model.scores(frame["text"]))
