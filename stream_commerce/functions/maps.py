@@ -16,10 +16,28 @@ def merge_maps(*maps: Column) -> Column:
     """Union of the maps; a key in a later map replaces the value of the same key of an earlier one,
     and of a key that one map repeats the last value counts.
 
-    Built from entries, so it is the same under any `spark.sql.mapKeyDedupPolicy`: keys in the order
-    in which they first come, each with the value that comes last.
+    The same under any `spark.sql.mapKeyDedupPolicy`: keys in the order in which they first come, each with
+    the value that comes last. Maps are merged two by two by looking keys up; only where a map repeats a
+    key are all entries gone through for each key.
     """
-    entries = F.flatten(F.array(*[F.coalesce(F.map_entries(m), F.array().cast(_ENTRIES)) for m in maps]))
+    held = [F.coalesce(m, F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<variant>"))) for m in maps]
+    repeats = F.lit(False)
+    for m in held:
+        repeats = repeats | (F.size(F.array_distinct(F.map_keys(m))) < F.size(m))
+    merged = held[0]
+    for later in held[1:]:
+        merged = _over(merged, later)
+    return F.when(repeats, _by_entries(held)).otherwise(merged)
+
+
+def _over(early: Column, later: Column) -> Column:
+    """Two maps without repeated keys."""
+    kept = F.transform_values(early, lambda k, v: F.when(F.map_contains_key(later, k), later[k]).otherwise(v))
+    return F.map_concat(kept, F.map_filter(later, lambda k, _: ~F.map_contains_key(early, k)))
+
+
+def _by_entries(maps: list[Column]) -> Column:
+    entries = F.flatten(F.array(*[F.map_entries(m).cast(_ENTRIES) for m in maps]))
     keys = F.array_distinct(F.transform(entries, lambda e: e["key"]))
     values = F.transform(keys, lambda k: F.element_at(F.filter(entries, lambda e: e["key"] == k), -1)["value"])
     return F.map_from_arrays(keys, values)

@@ -67,20 +67,17 @@ def _pane(rule: AlertRule) -> Column:
 
 
 def _trigger_panes(actions: DataFrame, rule: AlertRule) -> DataFrame:
-    """(mid, uid, pane): panes with a trigger action, once each, dealt by (mid, uid).
-
-    Copies are dropped before the shuffle too; the lag and the stretches need no other one.
-    """
+    """(mid, uid, pane): panes with a trigger action, once each. Copies are dropped before they are
+    shuffled, and by pane, so a user with many triggers is dealt over tasks."""
     triggers = actions.filter(F.col("action_id") == rule.trigger)
-    dealt = triggers.select("mid", "uid", _pane(rule).alias("pane")).repartition("mid", "uid")
-    return dealt.distinct()
+    return triggers.select("mid", "uid", _pane(rule).alias("pane")).distinct()
 
 
 def suspects(actions: DataFrame, rule: AlertRule = DEFAULT_RULE) -> DataFrame:
     """(mid, uid, window_end): users with a trigger action in the window, once each.
 
     A trigger pane opens only the windows that the user's previous one did not, so the spread rows
-    are distinct without another shuffle. A user has at most one row per pane here, however many
+    are distinct. A user has at most one row per pane here, however many
     actions were sent.
     """
     previous = F.lag("pane").over(Window.partitionBy("mid", "uid").orderBy("pane"))

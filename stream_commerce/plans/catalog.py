@@ -602,16 +602,21 @@ SLICES, SLICE_ROWS = 3, 100_000
 def _sliced(rows: DataFrame, order: Column) -> DataFrame:
     """All rows as a stream of files in the given order, one file per batch.
 
-    There are at least three files, and more where that would put over 100,000 rows into one.
+    There are at least three slices, and more where that would put over 100,000 rows into one. The rows are
+    computed once and dealt by slice; files are then written in turn, because a stream takes them by age.
+    Rows without an order value are in the first slice; an empty table gives a stream without rows.
     """
     spark = rows.sparkSession
-    path = new_work_dir(spark, "slices")
-    placed = rows.withColumn("_at", order.cast("bigint"))
+    whole, path = new_work_dir(spark, "dealt"), new_work_dir(spark, "slices")
+    rows.withColumn("_at", order.cast("bigint")).write.parquet(whole)
+    placed = spark.read.parquet(whole)
     n, low, high = placed.agg(F.count("*"), F.min("_at"), F.max("_at")).first()
     count = max(SLICES, -(-n // SLICE_ROWS))
-    size = -(-(high - low + 1) // count)
+    size = -(-((high or 0) - (low or 0) + 1) // count)
     for number in range(count):
-        part = placed.filter(F.floor((F.col("_at") - low) / size) == number).drop("_at")
+        start = (low or 0) + number * size
+        own = (F.col("_at") >= start) & (F.col("_at") < start + size)
+        part = placed.filter(own | F.col("_at").isNull() if number == 0 else own).drop("_at")
         part.coalesce(1).write.mode("append").parquet(path)
     return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
@@ -624,20 +629,106 @@ def _stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 @query(_MINUTE_ROWS)
 def stream_alerts(spark: SparkSession, folder: str) -> DataFrame:
-    """Alerts of all events, decided in the stream; one later trigger closes the last windows."""
+    """Alerts of all events, decided in the stream, with their actions from the action log's table; one later
+    trigger closes the last windows."""
     actions = standins.action_rows(standins.events_of(spark, folder))
     close = actions.agg((F.max("ts") + 3_600_000).alias("ts")).select(
         F.lit("z").alias("mid"), F.lit("z").alias("uid"), F.lit(RULE.trigger).alias("action_id"),
         F.lit(None).cast("string").alias("item"), "ts")
-    messages = actions.unionByName(close).select(F.to_json(F.struct("*")).alias("value"), "ts")
+    messages = _sliced(actions.unionByName(close).select(F.to_json(F.struct("*")).alias("value"), "ts"), F.col("ts"))
+    kept = jobs.action_table(new_work_dir(spark, "actions"))
+    jobs.run_action_log(messages, kept, new_work_dir(spark, "checkpoint"), jobs.UNTIL_DRAINED).awaitTermination()
     alert_table = jobs.alert_table(new_work_dir(spark, "alerts"))
     jobs.run_alerts(
-        _sliced(messages, F.col("ts")), lambda *_: actions, alert_table, new_work_dir(spark, "checkpoint"), RULE,
-        jobs.UNTIL_DRAINED, on_count=lambda *_: None,
+        messages, lambda s, from_ms, to_ms: jobs.actions_between(s, kept, from_ms, to_ms), alert_table,
+        new_work_dir(spark, "checkpoint"), RULE, jobs.UNTIL_DRAINED, on_count=lambda *_: None,
     ).awaitTermination()
     return _alert_output(jobs.alert_view(spark, alert_table), "id")
 
 
+@query(f"{_ALERTS} select mid, window_end, users from windows")
+def stream_alerts_early(spark: SparkSession, folder: str) -> DataFrame:
+    """Alerts as known when all events were read, without waiting for any window to close."""
+    actions = standins.action_rows(standins.events_of(spark, folder))
+    messages = actions.select(F.to_json(F.struct("*")).alias("value"), "ts")
+    found = jobs.suspect_table(new_work_dir(spark, "suspects"))
+    jobs.run_early_alerts(
+        _sliced(messages, F.col("ts")), found, new_work_dir(spark, "checkpoint"), RULE, jobs.UNTIL_DRAINED).awaitTermination()
+    return jobs.early_alert_view(spark, found, RULE).select("mid", "window_end", "users")
+
+
+def _without_partner(kind: str, one: str, other: str) -> str:
+    return f"""
+  select '{kind}' kind, event_id from events a where event_type = '{one}' and not exists (
+    select 1 from events b where b.event_type = '{other}' and a.user_id = b.user_id
+      and b.ts between a.ts - interval 5 minute and a.ts + interval 5 minute)"""
+
+
+@query(f"""{_without_partner("info_only", "signup", "click")} union all {_without_partner("early_detail", "click", "signup")}""")
+def stream_unpaired(spark: SparkSession, folder: str) -> DataFrame:
+    """Sign-ups as headers and clicks as lines of a user's order: those that were never paired."""
+    events = standins.events_of(spark, folder).withColumn("ts", F.col("ts").cast("timestamp"))
+    # A header and a line far behind all others are each other's partner and move the watermark.
+    end = events.agg((F.max("ts") + F.expr("INTERVAL 1 HOUR")).alias("ts")).select("ts", F.lit("z").alias("order_id"), F.lit(-1).cast("bigint").alias("event_id"))
+
+    def side(event_type: str, time: str) -> DataFrame:
+        rows = events.filter(F.col("event_type") == event_type).select("ts", F.col("user_id").cast("string").alias("order_id"), "event_id")
+        return _sliced(rows.unionByName(end).withColumnRenamed("ts", time), F.unix_micros(time))
+
+    lost = jobs.unpaired_table(new_work_dir(spark, "unpaired"))
+    jobs.run_unpaired(
+        side("signup", "order_ts"), side("click", "detail_ts"), lost, new_work_dir(spark, "checkpoint"), jobs.UNTIL_DRAINED,
+        headers_once=False).awaitTermination()
+    return lost.read(spark).select("kind", F.get_json_object("row", "$.event_id").cast("bigint").alias("event_id"))
+
+
+@query(f"""
+  with p as (
+    select event_id, ts, event_id + case when event_id % 50 = 7 then (select max(event_id) // 2 from events) else 0 end place from events),
+  b as (
+    select event_id, ts, floor((place - low) / ceil((high - low + 1) / n)) b
+    from p, (select min(place) low, max(place) high, greatest({SLICES}, ceil(count(*) / {SLICE_ROWS})) n from p)),
+  m as (select b, max(ts) high from b group by 1)
+  select event_id from b where ts < (select max(high) from m where m.b < b.b) - interval 5 minute""")
+def stream_late(spark: SparkSession, folder: str) -> DataFrame:
+    """Events that arrive behind the watermark: every fiftieth comes half the table too late."""
+    events = standins.events_of(spark, folder).withColumn("ts", F.col("ts").cast("timestamp")).select("event_id", "ts")
+    half = events.agg(F.max("event_id")).first()[0] // 2
+    place = F.col("event_id") + F.when(F.col("event_id") % 50 == 7, half).otherwise(0)
+    late = jobs.BatchTable(new_work_dir(spark, "late"), "event_id bigint, ts timestamp")
+    jobs.run_late_rows(
+        _sliced(events, place), "ts", late, jobs.mark_table(new_work_dir(spark, "marks")), new_work_dir(spark, "checkpoint"),
+        jobs.UNTIL_DRAINED).awaitTermination()
+    return late.read(spark).select("event_id")
+
+
+@query(_GMV_HOURS)
+def stream_gmv_resumed(spark: SparkSession, folder: str) -> DataFrame:
+    """Hourly totals of a job that lost its checkpoint half-way and started again from the stored positions."""
+    events = standins.events_of(spark, folder)
+    half = (events.agg(F.max("event_id")).first()[0] or 0) // 2
+    placed = (F.lit("orders").alias("topic"), (F.col("user_id") % 4).cast("int").alias("partition"), F.col("event_id").alias("offset"))
+    messages = standins.purchases(events).select(*placed, "event_id", "ts", "user_id", "event_type", "value", "props")
+    rows = messages.select("topic", "partition", "offset", F.to_json(F.struct(
+        F.col("event_id").cast("string").alias("id"), F.substring(F.col("ts").cast("string"), 1, 19).alias("create_time"),
+        F.col("value").cast(MONEY).cast("string").alias("total_amount"))).alias("value"))
+    root = new_work_dir(spark, "ledger")
+    first, second = (jobs.ledger_table(root, run) for run in ("first", "second"))
+    jobs.run_gmv_ledger(_sliced(rows.filter(F.col("offset") <= half), F.col("offset")), first, new_work_dir(spark, "checkpoint"),
+                        trigger=jobs.UNTIL_DRAINED).awaitTermination()
+    jobs.run_gmv_ledger(_sliced(rows, F.col("offset")), second, new_work_dir(spark, "checkpoint"),
+                        jobs.ledger_positions(spark, first), jobs.UNTIL_DRAINED).awaitTermination()
+    return _gmv_output(jobs.ledger_view(spark, first, second))
+
+
+@query(_GMV_HOURS)
+def stream_gmv_state(spark: SparkSession, folder: str) -> DataFrame:
+    """Hourly totals held as state of the query and read from its checkpoint."""
+    checkpoint = new_work_dir(spark, "checkpoint")
+    jobs.run_gmv_state(standins.order_messages(_stream(spark, folder, "events")), checkpoint, jobs.UNTIL_DRAINED).awaitTermination()
+    return _gmv_output(jobs.gmv_state_view(spark, checkpoint))
+
+
 # Order lines that share an id replace each other; of one batch the larger row stays.
 @query(f"""select * from ({_SALES})
   qualify row_number() over (partition by order_detail_id order by sku_price desc, sku_num desc) = 1""")

@@ -1,38 +1,44 @@
-"""A Parquet table written one micro-batch at a time.
+"""Parquet tables written one micro-batch at a time, with Spark's own partitioned reader and writer.
 
-Each batch owns the folder `batch_id=N` and overwrites it, so a batch that is replayed after a
-failure leaves exactly one copy of its rows. Whatever a job keeps (a running total, the last row
-per key, devices seen) is a view that folds the batches; nothing is updated in place and results
-never pass through the driver.
+A `BatchTable` gives each batch the folder `batch_id=N`, which a replay overwrites, so a batch that is
+replayed after a failure leaves exactly one copy of its rows. What a job keeps (a running total, devices
+seen) is a view that folds the batches.
 
-Old batches can be folded into a snapshot by `compact`. A snapshot counts only once its `_SUCCESS`
-marker exists; readers then take it and skip the batches it covers.
+A `DatedTable` puts the folders of a date together, so the history of a date is pruned to its files.
+
+A `KeyedTable` holds the current row of each key in a fixed number of hash buckets. A batch rewrites only
+the buckets it touches, so readers fold nothing and the number of files does not grow with the batches.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stream_commerce.operators.latest import last_per_key
 
 BATCH_ID = "batch_id"
+VERSION, COPY, BUCKET = "_version", "_copy", "_bucket"
 Fold = Callable[[DataFrame], DataFrame]
 
 
-def _done_ids(spark: SparkSession, root: str, name: str) -> list[int]:
-    """N of every finished `name=N` folder below `root` (one listing of folder names)."""
-    jvm = spark._jvm
-    pattern = jvm.org.apache.hadoop.fs.Path(f"{root}/{name}=*/_SUCCESS")
-    fs = pattern.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    found = fs.globStatus(pattern) or []
-    matches = (re.search(rf"{name}=(\d+)/_SUCCESS$", s.getPath().toString()) for s in found)
-    return sorted(int(m.group(1)) for m in matches if m)
+def _struct(schema: T.StructType | str) -> T.StructType:
+    return schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+
+
+def _below(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Rows below a folder; none if there is no such folder yet."""
+    try:
+        found = spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        found = spark.createDataFrame([], schema)
+    return found.select(*schema.fieldNames())
 
 
 class BatchTable:
@@ -46,103 +52,48 @@ class BatchTable:
         partition_by: Sequence[str] = (),
         run: str = "main",
     ):
-        fields = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
-        self.schema = fields
+        self.schema = _struct(schema)
         self.partition_by = list(partition_by)
         self.root = path.rstrip("/")
         self.run = run
         self.batches = f"{self.root}/batches/run={run}"
-        self.snapshots = f"{self.root}/snapshots/run={run}"
 
     def _columns(self) -> list[str]:
         return self.schema.fieldNames()
 
+    def _full(self) -> T.StructType:
+        return T.StructType([*self.schema.fields, T.StructField(BATCH_ID, T.LongType())])
+
     def write(self, df: DataFrame, batch_id: int) -> None:
         """Replace the rows of `batch_id`."""
-        self._save(df.select(*self._columns()), f"{self.batches}/{BATCH_ID}={batch_id}")
-
-    def rows(self, spark: SparkSession, batch_id: int) -> int:
-        """Number of rows of one batch."""
-        return spark.read.schema(self.schema).parquet(f"{self.batches}/{BATCH_ID}={batch_id}").count()
-
-    def _save(self, df: DataFrame, path: str) -> None:
+        rows = df.select(*self._columns())
         if self.partition_by:
             # Few files per folder: AQE joins small partitions and splits a hot one by size.
-            df = df.hint("rebalance", *self.partition_by)
-        writer = df.write.mode("overwrite")
+            rows = rows.hint("rebalance", *self.partition_by)
+        writer = rows.write.mode("overwrite")
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)
-        writer.parquet(path)
+        writer.parquet(f"{self.batches}/{BATCH_ID}={batch_id}")
+
+    def rows(self, spark: SparkSession, batch_id: int) -> int:
+        """Number of rows of one batch."""
+        return spark.read.schema(self.schema).parquet(f"{self.batches}/{BATCH_ID}={batch_id}").count()
 
     def read(self, spark: SparkSession, before: int | None = None) -> DataFrame:
         """All rows with their `batch_id`; with `before`, only rows of earlier batches.
 
         A batch must read its own history with `before` set to its id, otherwise a replay would
-        see what it wrote the first time.
-        """
-        full = T.StructType([*self.schema.fields, T.StructField(BATCH_ID, T.LongType())])
-        snapshots = _done_ids(spark, self.snapshots, "upto")
-        upto = max((s for s in snapshots if before is None or s < before), default=None)
-        batches = [
-            b for b in _done_ids(spark, self.batches, BATCH_ID)
-            if (upto is None or b > upto) and (before is None or b < before)
-        ]
-        parts = []
-        if upto is not None:
-            parts.append(spark.read.schema(full).parquet(f"{self.snapshots}/upto={upto}"))
-        if batches:
-            parts.append(
-                spark.read.schema(full).option("basePath", self.batches)
-                .parquet(*[f"{self.batches}/{BATCH_ID}={b}" for b in batches])
-            )
-        if not parts:
-            return spark.createDataFrame([], full)
-        columns = full.fieldNames()
-        rows = parts[0].select(*columns)
-        for part in parts[1:]:
-            rows = rows.unionByName(part.select(*columns))
-        return rows
-
-    def compact(self, spark: SparkSession, fold: Fold) -> int | None:
-        """Fold all batches but the newest into a snapshot; returns the last batch it covers.
-
-        `fold` gets and returns the table's columns plus `batch_id`, and folding folded rows with
-        later ones must give what folding all rows gives. The newest batch is left out because it
-        is the only one a restart may replay.
-        """
-        done = _done_ids(spark, self.batches, BATCH_ID)
-        if len(done) < 2:
-            return None
-        upto = done[-2]
-        if upto in _done_ids(spark, self.snapshots, "upto"):
-            return upto
-        folded = fold(self.read(spark, before=upto + 1))
-        self._save(folded.select(*self._columns(), BATCH_ID), f"{self.snapshots}/upto={upto}")
-        return upto
-
-    def vacuum(self, spark: SparkSession) -> None:
-        """Delete the batches and older snapshots that the newest snapshot replaces.
-
-        For a quiet time: a query planned before the last compaction still reads those files.
+        see what it wrote the first time. What a running write has not committed is not read.
         """
-        snapshots = _done_ids(spark, self.snapshots, "upto")
-        if not snapshots:
-            return
-        covered = [b for b in _done_ids(spark, self.batches, BATCH_ID) if b <= snapshots[-1]]
-        old = [f"{self.batches}/{BATCH_ID}={b}" for b in covered]
-        old += [f"{self.snapshots}/upto={s}" for s in snapshots[:-1]]
-        fs_path = spark._jvm.org.apache.hadoop.fs.Path
-        conf = spark._jsparkSession.sessionState().newHadoopConf()
-        for folder in old:
-            path = fs_path(folder)
-            path.getFileSystem(conf).delete(path, True)
+        rows = _below(spark, self.batches, self._full())
+        return rows if before is None else rows.filter(F.col(BATCH_ID) < before)
 
 
 class DatedTable(BatchTable):
     """A table whose batches need the history of the dates they hold, and of no others.
 
-    Folders are DATE/batch_id=N, so a batch lists and reads the folders of its dates only, however
-    many batches there are. A batch counts for readers once its row count stands in `done`.
+    Folders are DATE/batch_id=N. A batch counts for readers once its id stands in `done`, since its
+    folders are committed one after the other.
     """
 
     def __init__(self, path: str, schema: T.StructType | str, date: str, run: str = "main"):
@@ -150,25 +101,11 @@ class DatedTable(BatchTable):
         self.date = date
         self.done = f"{self.root}/done/run={run}"
 
-    def _full(self) -> T.StructType:
-        return T.StructType([*self.schema.fields, T.StructField(BATCH_ID, T.LongType())])
-
-    def _at(self, spark: SparkSession, path: str) -> DataFrame:
-        """Rows below a folder; none if there is no such folder yet."""
-        try:
-            found = spark.read.schema(self._full()).option("basePath", self.batches).parquet(path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            found = spark.createDataFrame([], self._full())
-        return found.select(*self._full().fieldNames())
-
     def history(self, spark: SparkSession, dates: Sequence[str], before: int) -> DataFrame:
-        """Rows of earlier batches on these dates. They are complete: batches follow each other."""
-        rows = spark.createDataFrame([], self._full())
-        for date in dates:
-            rows = rows.unionByName(self._at(spark, f"{self.batches}/{self.date}={date}"))
-        return rows.filter(F.col(BATCH_ID) < before)
+        """Rows of earlier batches on these dates: one scan, pruned to their folders. They are complete,
+        since batches follow each other."""
+        rows = _below(spark, self.batches, self._full())
+        return rows.filter(F.col(self.date).isin(list(dates)) & (F.col(BATCH_ID) < before))
 
     def write(self, df: DataFrame, batch_id: int) -> None:
         """Replace the rows of `batch_id`: a replay writes the same folders again."""
@@ -180,26 +117,79 @@ class DatedTable(BatchTable):
             "overwrite").parquet(f"{self.done}/{batch_id}")
 
     def rows(self, spark: SparkSession, batch_id: int, dates: Sequence[str] | None = None) -> int:
-        found = self._at(spark, self.batches) if dates is None else self.history(spark, dates, batch_id + 1)
+        found = _below(spark, self.batches, self._full()) if dates is None else self.history(spark, dates, batch_id + 1)
         return found.filter(F.col(BATCH_ID) == batch_id).count()
 
     def read(self, spark: SparkSession, before: int | None = None) -> DataFrame:
-        try:
-            done = spark.read.schema(f"{BATCH_ID} bigint").parquet(f"{self.done}/*").distinct()
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return spark.createDataFrame([], self._full())
-        rows = self._at(spark, self.batches).join(done, BATCH_ID, "left_semi").select(*self._full().fieldNames())
+        done = _below(spark, f"{self.done}/*", T.StructType.fromDDL(f"{BATCH_ID} bigint")).distinct()
+        rows = _below(spark, self.batches, self._full()).join(done, BATCH_ID, "left_semi").select(*self._full().fieldNames())
         return rows if before is None else rows.filter(F.col(BATCH_ID) < before)
 
-    def compact(self, spark: SparkSession, fold: Fold) -> int | None:
-        raise NotImplementedError("folders of closed dates can be merged by any job that rewrites a date")
 
+class KeyedTable:
+    """The last row of each key by `order`, in `buckets` hash buckets.
+
+    A bucket lies in one of two copies. A batch merges its rows with the current copy of every bucket it
+    touches and overwrites the other copy, which then is the newer one. So the state before the newest batch
+    is still there for its replay, and there are never more than two folders per bucket. Readers take the
+    newer copy; one that outlasts two batches may find its files replaced and has to read again.
+    """
 
-def keep_all(rows: DataFrame) -> DataFrame:
-    """Fold that changes nothing: compaction then only merges small files."""
-    return rows
+    def __init__(
+        self, path: str, schema: T.StructType | str, keys: Sequence[str], order: Sequence[str],
+        buckets: int = 16, run: str = "main",
+    ):
+        self.schema = _struct(schema)
+        self.keys, self.order, self.buckets = list(keys), list(order), buckets
+        self.path = f"{path.rstrip('/')}/current/run={run}"
+
+    def _stored(self, spark: SparkSession) -> DataFrame:
+        own = [T.StructField(VERSION, T.LongType()), T.StructField(COPY, T.IntegerType()), T.StructField(BUCKET, T.IntegerType())]
+        return _below(spark, self.path, T.StructType([*self.schema.fields, *own]))
+
+    def _newest(self, spark: SparkSession, before: int | None) -> dict[int, tuple[int, int]]:
+        """Version and copy of each bucket: at most one row per bucket reaches the driver."""
+        rows = self._stored(spark)
+        if before is not None:
+            rows = rows.filter(F.col(VERSION) < before)
+        newest = rows.groupBy(BUCKET).agg(F.max(F.struct(VERSION, COPY)).alias("at")).collect()
+        return {r[BUCKET]: (r["at"][VERSION], r["at"][COPY]) for r in newest}
+
+    @staticmethod
+    def _in(newest: dict[int, tuple[int, int]], buckets: set[int]) -> Column:
+        """Rows of the newest copies of these buckets; both columns are folders, so others are not read."""
+        found = F.lit(False)
+        for copy in (0, 1):
+            own = sorted(b for b in buckets if b in newest and newest[b][1] == copy)
+            if own:
+                found = found | ((F.col(COPY) == copy) & F.col(BUCKET).isin(own))
+        return found
+
+    def write(self, df: DataFrame, batch_id: int) -> None:
+        """Merge a batch into the table; a replay of the newest batch leaves the same rows."""
+        spark = df.sparkSession
+        columns = self.schema.fieldNames()
+        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+        fresh = last_per_key(df.select(*columns), self.keys, self.order).withColumn(BUCKET, bucket).persist()
+        try:
+            touched = {r[0] for r in fresh.select(BUCKET).distinct().collect()}
+            if not touched:
+                return
+            newest = self._newest(spark, batch_id)
+            old = self._stored(spark).filter(self._in(newest, touched)).select(*columns, BUCKET)
+            merged = last_per_key(fresh.unionByName(old), [*self.keys, BUCKET], self.order)
+            first = [b for b in touched if b in newest and newest[b][1] == 0]
+            copy = F.when(F.col(BUCKET).isin(first), 1).otherwise(0) if first else F.lit(0)
+            rows = merged.withColumns({VERSION: F.lit(batch_id).cast("bigint"), COPY: copy})
+            rows.hint("rebalance", BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+                COPY, BUCKET).parquet(self.path)
+        finally:
+            fresh.unpersist()
+
+    def read(self, spark: SparkSession, before: int | None = None) -> DataFrame:
+        """The current row of each key; with `before`, as it was before that (the newest) batch."""
+        newest = self._newest(spark, before)
+        return self._stored(spark).filter(self._in(newest, set(newest))).select(*self.schema.fieldNames())
 
 
 def add_up(keys: Sequence[str], *sums: str) -> Fold:

@@ -9,6 +9,7 @@ the positions.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,6 @@ from stream_commerce.functions.records import CORRUPT, parse_json
 from stream_commerce.functions.times import SHANGHAI
 from stream_commerce.operators import alerts, changes, diversion, first_start, gmv, pairing, sales
 from stream_commerce.operators.joins import null_safe_join
-from stream_commerce.operators.latest import last_per_key
 from stream_commerce.operators.words import side_by_side, word_counts
 from stream_commerce.schemas import (
     ORDER_DETAIL,
@@ -30,8 +30,8 @@ from stream_commerce.streaming.batch_table import (
     BATCH_ID,
     BatchTable,
     DatedTable,
+    KeyedTable,
     add_up,
-    keep_all,
     keep_last,
 )
 from stream_commerce.streaming.sinks import CountListener, counted
@@ -107,7 +107,7 @@ def run_first_starts(
         try:
             if on_unreadable is not None:
                 on_unreadable(first_start.unreadable_texts(batch.select("value")), batch_id)
-            # Only the folders of this batch's dates are listed and read. A batch has few dates; a
+            # Only the files of this batch's dates are read, in one scan. A batch has few dates; a
             # clock that is wrong adds one, not a span.
             dates = [r[0] for r in found.select("start_date").distinct().collect()]
             history = table.history(spark, dates, before=batch_id).select(*first_start.KEYS)
@@ -179,23 +179,88 @@ def gmv_view(spark: SparkSession, table: BatchTable) -> DataFrame:
     return gmv.fold_totals(table.read(spark))
 
 
+POSITION = ("topic", "partition")
+
+
+def ledger_table(path: str, run: str = "main") -> BatchTable:
+    """Sums and positions in one table: kind `sum` has (create_date, create_hour, gmv), kind `position` has the
+    offset that follows the last one counted of each topic partition. Both are one write of a batch."""
+    return BatchTable(path, "kind string, create_date string, create_hour string, gmv decimal(26,2), "
+                      "topic string, partition int, next bigint", ["kind"], run)
+
+
+def run_gmv_ledger(
+    orders: DataFrame, table: BatchTable, checkpoint: str, since: DataFrame | None = None, trigger: dict | None = None,
+) -> StreamingQuery:
+    """Per-batch sums with the positions (topic, partition, offset) of the messages they hold.
+
+    A job that lost its checkpoint starts over with a new one and a new run of the table, and gives as `since`
+    the `ledger_positions` of the earlier runs: what they counted is left out, and nothing else. On Kafka
+    `sources.topics` makes starting offsets of them, so what was counted is not even read.
+    """
+    columns = [*POSITION, "offset", "value"]
+    if since is not None:  # one row per topic partition
+        done = F.broadcast(since.select(*[F.col(c).alias(f"_{c}") for c in (*POSITION, "next")]))
+        same = (F.col("topic") == F.col("_topic")) & (F.col("partition") == F.col("_partition"))
+        orders = orders.join(done, same, "left").filter(F.col("_next").isNull() | (F.col("offset") >= F.col("_next")))
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            sums = gmv.partial_totals(gmv.readable(gmv.parse_orders(batch.select("value"), fields=["id"])))
+            ends = batch.groupBy(*POSITION).agg((F.max("offset") + 1).alias("next"))
+            rows = sums.withColumn("kind", F.lit("sum")).unionByName(ends.withColumn("kind", F.lit("position")), allowMissingColumns=True)
+            table.write(rows, batch_id)
+        finally:
+            batch.unpersist()
+
+    return _each_batch(orders.select(*columns), handle, "gmv_ledger", checkpoint, trigger)
+
+
+def ledger_positions(spark: SparkSession, *tables: BatchTable) -> DataFrame:
+    """(topic, partition, next) over all runs given."""
+    rows = [t.read(spark).filter("kind = 'position'").select(*POSITION, "next") for t in tables]
+    return reduce(DataFrame.unionByName, rows).groupBy(*POSITION).agg(F.max("next").alias("next"))
+
+
+def ledger_view(spark: SparkSession, *tables: BatchTable) -> DataFrame:
+    """Totals over all runs given."""
+    rows = [t.read(spark).filter("kind = 'sum'").select(*gmv.KEYS, "gmv") for t in tables]
+    return gmv.fold_totals(reduce(DataFrame.unionByName, rows))
+
+
+def run_gmv_state(orders: DataFrame, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Total amount per date and hour kept as the query's own state, over all batches and restarts.
+
+    Nothing is written but the checkpoint; `gmv_state_view` reads the totals from it.
+    """
+    parsed = gmv.parse_orders(orders.select("value"), fields=["id"])
+    return _each_batch(gmv.partial_totals(gmv.readable(parsed)), lambda batch, batch_id: batch.write.format("noop").mode("overwrite").save(),
+                       "gmv_state", checkpoint, trigger, "update")
+
+
+def gmv_state_view(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """(create_date, create_hour, gmv) as of the last finished batch."""
+    state = spark.read.format("statestore").load(checkpoint)
+    return state.select(*[F.col(f"key.{k}") for k in gmv.KEYS], F.col("value.sum").alias("gmv"))
+
+
 # Actions by event time ---------------------------------------------------------------------
 
 
 def action_table(path: str, run: str = "main") -> BatchTable:
     return BatchTable(
-        path, "mid string, uid string, action_id string, item string, ts bigint, date string, hour string", ["date", "hour"], run)
+        path, "mid string, uid string, action_id string, item string, ts bigint, date string", ["date"], run)
 
 
 def run_action_log(
     actions: DataFrame, table: BatchTable, checkpoint: str, trigger: dict | None = None, on_unreadable: Aside | None = None,
 ) -> StreamingQuery:
-    """Keep the parsed actions by the date and hour of their own time, however late they arrive."""
+    """Keep the parsed actions by the date of their own time, however late they arrive."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        at = F.timestamp_millis("ts")
-        rows = alerts.parse_actions(batch.select("value")).withColumns({
-            "date": F.date_format(at, "yyyy-MM-dd"), "hour": F.date_format(at, "HH")})
+        date = F.date_format(F.timestamp_millis("ts"), "yyyy-MM-dd")
+        rows = alerts.parse_actions(batch.select("value")).withColumn("date", date)
         table.write(rows, batch_id)
         if on_unreadable is not None:
             on_unreadable(alerts.unreadable_actions(batch.select("value")), batch_id)
@@ -248,6 +313,42 @@ def stream_alert_windows(
     )
 
 
+def suspect_table(path: str, run: str = "main") -> BatchTable:
+    return BatchTable(path, "mid string, uid string, window_end bigint, date string", ["date"], run)
+
+
+def run_early_alerts(
+    actions: DataFrame, table: BatchTable, checkpoint: str, rule: alerts.AlertRule = alerts.DEFAULT_RULE,
+    trigger: dict | None = None, lateness: str = "5 minutes",
+) -> StreamingQuery:
+    """Keep the suspects of every window as soon as they are seen, while the window is open.
+
+    One aggregate in update mode: a batch gets the (window, device, user) rows that changed. They are a set, so
+    rows that come again change nothing; `early_alert_view` counts them. State has a small row per window,
+    device and user until the watermark passes the window.
+    """
+    at = F.timestamp_millis("ts").alias("at")
+    triggers = alerts.parse_actions(actions.select("value")).filter(F.col("action_id") == rule.trigger).select(
+        "mid", "uid", at).withWatermark("at", lateness)
+    window = F.window("at", f"{rule.window_ms} milliseconds", f"{rule.slide_ms} milliseconds").alias("window")
+    seen = triggers.groupBy(window, "mid", "uid").agg(F.count(F.lit(1)).alias("times"))
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        end = F.unix_millis("window.end").alias("window_end")
+        date = F.date_format(F.col("window.end"), "yyyy-MM-dd").alias("date")
+        table.write(batch.select("mid", "uid", end, date), batch_id)
+
+    return _each_batch(seen, handle, "early_alerts", checkpoint, trigger, "update")
+
+
+def early_alert_view(
+    spark: SparkSession, table: BatchTable, rule: alerts.AlertRule = alerts.DEFAULT_RULE, before: int | None = None,
+) -> DataFrame:
+    """(mid, window_end, users) as known so far; a window's later count replaces its earlier one."""
+    users = table.read(spark, before).select("mid", "uid", "window_end").distinct()
+    return alerts.alert_windows(users, rule, users)
+
+
 def run_alerts(
     actions: DataFrame,
     action_log: Callable[[SparkSession, int, int], DataFrame],
@@ -286,9 +387,6 @@ def run_alerts(
     return _each_batch(stream, handle, "coupon_alerts", checkpoint, trigger)
 
 
-ALERT_FOLD = keep_all
-
-
 def alert_view(spark: SparkSession, table: BatchTable) -> DataFrame:
     """Last alert per id: a later window of the same minute replaces the earlier one."""
     rows = table.read(spark)
@@ -319,13 +417,81 @@ def stream_pairs(
     A header that was sent twice is used once. An amount that cannot be read loses no sale: no sale
     column uses it; without a readable create_time the sale has no date (dt null).
     """
+    headers, lines = order_streams(orders, details)
+    return pairing.pair_orders(headers, lines, allowance, salts, headers_once=True)
+
+
+def order_streams(orders: DataFrame, details: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Header messages with order_id and order_ts, line messages with order_id and detail_ts."""
     headers = sales.order_part(
         gmv.parse_orders(orders.select("value", "arrived")), "arrived"
     ).withColumnRenamed("arrived", "order_ts")
     lines = sales.detail_part(parse_details(details), "arrived").withColumnRenamed(
         "arrived", "detail_ts"
     )
-    return pairing.pair_orders(headers, lines, allowance, salts, headers_once=True)
+    return headers, lines
+
+
+INFO_ONLY, EARLY_DETAIL = "info_only", "early_detail"
+
+
+def unpaired_table(path: str, run: str = "main") -> BatchTable:
+    """Headers and lines that found no partner; `row` is the whole row as JSON."""
+    return BatchTable(path, "kind string, order_id string, arrived timestamp, row string", ["kind"], run)
+
+
+def run_unpaired(
+    headers: DataFrame, lines: DataFrame, table: BatchTable, checkpoint: str, trigger: dict | None = None,
+    allowance: str = pairing.ALLOWANCE, headers_once: bool = True,
+) -> StreamingQuery:
+    """Keep the headers and lines (of `order_streams`) that have no partner within `allowance`.
+
+    A full outer join of the streams: what the watermark evicts unpaired is kept as it came. Rows that come
+    after the watermark are in neither result; see `run_late_rows`.
+    """
+    def tagged(rows: DataFrame, name: str, time: str) -> DataFrame:
+        return rows.select("order_id", time, F.to_json(F.struct("*")).alias(name))
+
+    both = pairing.pair_orders(
+        tagged(headers, "header", "order_ts"), tagged(lines, "line", "detail_ts"), allowance, how="fullOuter", headers_once=headers_once)
+    lost = F.col("header").isNull() | F.col("line").isNull()
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        table.write(batch.filter(lost).select(
+            F.when(F.col("line").isNull(), INFO_ONLY).otherwise(EARLY_DETAIL).alias("kind"), "order_id",
+            F.coalesce("order_ts", "detail_ts").alias("arrived"), F.coalesce("header", "line").alias("row")), batch_id)
+
+    return _each_batch(both, handle, "unpaired", checkpoint, trigger)
+
+
+def mark_table(path: str, run: str = "main") -> KeyedTable:
+    """The latest event time that a job has seen: one row."""
+    return KeyedTable(path, "name string, high timestamp", ["name"], ["high"], buckets=1, run=run)
+
+
+def run_late_rows(
+    rows: DataFrame, time: str, table: BatchTable, marks: KeyedTable, checkpoint: str,
+    trigger: dict | None = None, allowance: str = pairing.ALLOWANCE,
+) -> StreamingQuery:
+    """Keep the rows that a job with a watermark of `allowance` on `time` finds too late.
+
+    As Spark does, a batch is held against the latest time of the batches before it, less the allowance. That
+    time is a row of `marks`, read as it was before the batch, so a replay splits the batch the same way. Rows
+    without a time are never late.
+    """
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        seen = marks.read(spark, before=batch_id).first()
+        bound = F.lit(seen["high"] if seen else None).cast("timestamp") - F.expr(f"INTERVAL {allowance}")
+        batch = batch.persist()
+        try:
+            table.write(batch.filter(F.col(time) < bound), batch_id)
+            high = batch.agg(F.max(time).alias("high")).filter("high is not null")
+            marks.write(high.select(F.lit("high").alias("name"), "high"), batch_id)
+        finally:
+            batch.unpersist()
+
+    return _each_batch(rows, handle, "late_rows", checkpoint, trigger)
 
 
 def parse_details(details: DataFrame) -> DataFrame:
@@ -373,14 +539,10 @@ def sale_view(spark: SparkSession, table: BatchTable, status: str = sales.OK) ->
 # Row changes -------------------------------------------------------------------------------
 
 
-def user_table(path: str, run: str = "main") -> BatchTable:
+def user_table(path: str, run: str = "main", buckets: int = 16) -> KeyedTable:
+    """The last row of each user by its position in the change log."""
     fields = [f"{c} string" for c in USER_INFO.fieldNames()]
-    return BatchTable(path, ", ".join([*fields, "seq bigint", "pos int", "ts bigint"]), (), run)
-
-
-def user_fold(rows: DataFrame) -> DataFrame:
-    """Last row per user by its position in the change log."""
-    return last_per_key(rows, ["id"], ["seq", "pos", BATCH_ID])
+    return KeyedTable(path, ", ".join([*fields, "seq bigint", "pos int", "ts bigint"]), ["id"], ["seq", "pos"], buckets, run)
 
 
 def run_change_topics(
@@ -392,9 +554,9 @@ def run_change_topics(
 
 
 def run_user_state(
-    stream: DataFrame, table: BatchTable, checkpoint: str, trigger: dict | None = None
+    stream: DataFrame, table: KeyedTable, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Inserted and updated users to the user table, one row per user and batch.
+    """Inserted and updated users to the user table, which holds one row per user.
 
     The columns come from the after-images; no JSON is made or parsed.
     """
@@ -405,10 +567,9 @@ def run_user_state(
     return _each_batch(stream, handle, "user_state", checkpoint, trigger)
 
 
-def user_view(spark: SparkSession, table: BatchTable, now_ms: Column | int) -> DataFrame:
+def user_view(spark: SparkSession, table: KeyedTable, now_ms: Column | int) -> DataFrame:
     """Current users (id, login_name, user_level, birthday, gender) written within a week."""
-    latest = user_fold(table.read(spark))
-    return changes.unexpired(latest, now_ms).select(*USER_INFO.fieldNames())
+    return changes.unexpired(table.read(spark), now_ms).select(*USER_INFO.fieldNames())
 
 
 # Word counts -------------------------------------------------------------------------------

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import pytest
 
-from stream_commerce.streaming.batch_table import BatchTable, add_up, keep_all, keep_last
+from stream_commerce.streaming.batch_table import BatchTable, DatedTable, KeyedTable, add_up, keep_last
 
 SCHEMA = "k string, v bigint, day string"
 
@@ -33,10 +33,14 @@ def test_a_batch_overwrites_itself_only(spark, table):
     assert content(table.read(spark, before=1)) == [("a", 1, "d1", 0)]
 
 
-def test_unfinished_batch_is_not_read(spark, table, tmp_path):
+def test_uncommitted_files_are_not_read(spark, table, tmp_path):
     put(spark, table, 0, ("a", 1, "d1"))
     put(spark, table, 1, ("a", 2, "d1"))
-    (tmp_path / "t" / "batches" / "run=main" / "batch_id=1" / "_SUCCESS").unlink()
+    batch = tmp_path / "t" / "batches" / "run=main" / "batch_id=1"
+    staged = batch / "_temporary" / "0" / "day=d1"
+    staged.mkdir(parents=True)
+    for part in (batch / "day=d1").iterdir():
+        part.rename(staged / part.name)
     assert content(table.read(spark)) == [("a", 1, "d1", 0)]
 
 
@@ -51,32 +55,57 @@ def test_runs_are_separate(spark, tmp_path):
     (add_up(["k", "day"], "v"), [("a", 7, "d1"), ("b", 8, "d2")]),
     (keep_last(["k"]), [("a", 4, "d1"), ("b", 8, "d2")]),
 ])
-def test_compaction_changes_no_result(spark, table, fold, expected):
-    def view():
-        return sorted((r.k, r.v, r.day) for r in fold(table.read(spark)).collect())
-
+def test_folds(spark, table, fold, expected):
     for batch, value in enumerate((1, 2, 4)):
         put(spark, table, batch, ("a", value, "d1"))
     put(spark, table, 3, ("b", 8, "d2"))
-    assert view() == expected
-    assert table.compact(spark, fold) == 2
-    assert view() == expected
-    # The newest batch may be replayed after a compaction, later ones follow, and compact again.
-    put(spark, table, 3, ("b", 8, "d2"))
-    assert view() == expected
-    put(spark, table, 4, ("c", 1, "d2"))
-    assert table.compact(spark, fold) == 3
-    assert view() == [*expected, ("c", 1, "d2")]
-    assert table.read(spark, before=4).filter("k = 'c'").count() == 0
-    table.vacuum(spark)
-    assert view() == [*expected, ("c", 1, "d2")]
-
-
-def test_vacuum_without_a_snapshot_deletes_nothing(spark, table):
-    put(spark, table, 0, ("a", 1, "d1"))
-    table.vacuum(spark)
-    assert table.compact(spark, keep_all) is None
-    assert content(table.read(spark)) == [("a", 1, "d1", 0)]
+    assert sorted((r.k, r.v, r.day) for r in fold(table.read(spark)).collect()) == expected
+
+
+def keyed(spark, table, batch_id, *rows):
+    table.write(spark.createDataFrame(list(rows), "k string, seq bigint, v string"), batch_id)
+
+
+def current(spark, table, before=None):
+    return sorted(((r.k, r.seq, r.v) for r in table.read(spark, before).collect()), key=str)
+
+
+def test_keyed_table_holds_the_last_row_of_each_key(spark, tmp_path):
+    table = KeyedTable(str(tmp_path / "k"), "k string, seq bigint, v string", ["k"], ["seq"], buckets=4)
+    assert current(spark, table) == []
+    keyed(spark, table, 0, ("a", 1, "x"), ("b", 5, "x"), (None, 1, "n"), ("a", 2, "y"))
+    keyed(spark, table, 1, ("b", 3, "older"), ("c", 1, "x"))
+    assert current(spark, table) == sorted([("a", 2, "y"), ("b", 5, "x"), ("c", 1, "x"), (None, 1, "n")], key=str)
+    assert current(spark, table, before=1) == sorted([("a", 2, "y"), ("b", 5, "x"), (None, 1, "n")], key=str)
+    for _ in range(2):  # a replay, with other rows than the attempt that failed
+        keyed(spark, table, 2, ("a", 9, "z"), ("d", 1, "gone"))
+    keyed(spark, table, 2, ("a", 9, "z"))
+    assert [r for r in current(spark, table) if r[0] in ("a", "c")] == [("a", 9, "z"), ("c", 1, "x")]
+    keyed(spark, table, 3)
+    assert [r for r in current(spark, table) if r[0] == "a"] == [("a", 9, "z")]
+
+
+def test_keyed_table_does_not_grow_with_batches(spark, tmp_path):
+    table = KeyedTable(str(tmp_path / "k"), "k string, seq bigint, v string", ["k"], ["seq"], buckets=2)
+    sizes = []
+    for batch in range(50):
+        keyed(spark, table, batch, *[(f"k{n}", batch, "v") for n in range(6)])
+        sizes.append(len(spark.read.parquet(table.path).inputFiles()))
+    assert max(sizes[10:]) <= max(sizes[:10]) <= 4
+    assert len(table.read(spark).inputFiles()) <= 4 and table.read(spark).count() == 6
+    plan = table.read(spark)._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    assert "_copy" in filters and "_bucket" in filters
+
+
+def test_history_of_many_dates_is_one_pruned_scan(spark, tmp_path):
+    table = DatedTable(str(tmp_path / "d"), SCHEMA, "day")
+    put(spark, table, 0, *[("a", n, f"d{n:03}") for n in range(30)])
+    dates = [f"d{n:03}" for n in range(0, 800, 2)]
+    history = table.history(spark, dates, 1)
+    assert history.count() == 15
+    plan = history._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Union" not in plan and "PartitionFilters" in plan
 
 
 def test_partition_filter_reaches_the_scan(spark, table):
