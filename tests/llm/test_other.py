@@ -293,3 +293,13 @@ def test_windows_cover_the_text():
         for s, size in place.tolist():
             covered[s:s + size] = 1
         assert covered.all() and (n == 0) == (len(place) == 0)
+
+
+def test_neighbours_with_equal_vectors_are_ranked_by_id(spark):
+    rng = np.random.default_rng(3)
+    same, query = rng.standard_normal(64), rng.standard_normal(64)
+    same *= np.sign(same @ query)
+    rows = [(i, (same if i else query).tolist()) for i in rng.permutation(301).tolist()]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = neighbours.nearest(table, F.col("vec_id") == 0, k=20, part_rows=60).orderBy("rank").collect()
+    assert [r["vec_id"] for r in found] == list(range(1, 21)) and len({r["score"] for r in found}) == 1
