@@ -16,7 +16,7 @@ are answered row by row; a null doc_id is kept; other columns are not read.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stream_commerce.llm.shared import ascii_lower, texts
@@ -49,21 +49,27 @@ NOTICES = [
 ]
 
 
+#: The places of a template that a span holds are bits of one long.
+MOST_WORDS = 64
+
+
 def _templates(spark, phrases: dict[str, str], notices: list[tuple[str, str]]) -> DataFrame:
-    """(template, label, phrase, pairs, words): one row per template."""
+    """(template, label, phrase, pairs, words): one row per template of at most 64 words."""
+    if any(len(text.split()) > MOST_WORDS for text in [*phrases, *(text for _, text in notices)]):
+        raise ValueError(f"a template has more than {MOST_WORDS} words")
     rows = [(i, label, i < len(phrases), text.split()) for i, (text, label) in enumerate(
         [*phrases.items(), *((text, label) for label, text in notices)])]
     return spark.createDataFrame(rows, "template int, label string, phrase boolean, words array<string>").withColumn(
         "pairs", F.size("words") - 1)
 
 
-def _pairs(words: str, hashes: str = "hashes") -> DataFrame:
+def _pairs(hashes: str = "hashes") -> Column:
     return F.transform(hashes, lambda h, i: F.xxhash64(h, F.get(hashes, i + 1)))
 
 
 def votes(documents: DataFrame, templates: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(row, doc_id, n_words, template, diagonal, votes, low, high), votes of one diagonal each; low and
-    high are the first and last template position. Every text has one more row without template."""
+    """(row, doc_id, n_words, template, diagonal, votes, places, low, high), votes of one diagonal each; places
+    has a bit for every template position, low and high are the first and last one. Every text has one more row without template."""
     words = texts(documents, id_col, text_col).select(
         F.monotonically_increasing_id().alias("row"), "doc_id",
         F.regexp_extract_all(ascii_lower(F.col("text")), F.lit(WORD), F.lit(0)).alias("words"))
@@ -72,9 +78,9 @@ def votes(documents: DataFrame, templates: DataFrame, id_col: str = "doc_id", te
     # Position 0 is a mark that every text has, so texts without any match are not lost.
     mark = F.lit(0).cast("long")
     spots = hashed.select("row", "doc_id", "n_words", F.posexplode(
-        F.concat(F.array(mark), _pairs("words"))).alias("spot", "pair"))
+        F.concat(F.array(mark), _pairs())).alias("spot", "pair"))
     known = templates.select("template", F.transform("words", lambda x: F.xxhash64(x)).alias("hashes"), "pairs").select(
-        "template", "pairs", F.posexplode(_pairs("words")).alias("place", "known")).filter("place < pairs").select(
+        "template", "pairs", F.posexplode(_pairs()).alias("place", "known")).filter("place < pairs").select(
         "template", "place", "known")
     known = known.unionByName(known.sparkSession.range(1).select(
         F.lit(None).cast("int").alias("template"), F.lit(0).alias("place"), mark.alias("known")))
@@ -82,7 +88,8 @@ def votes(documents: DataFrame, templates: DataFrame, id_col: str = "doc_id", te
                       & ((F.col("spot") == 0) == F.col("template").isNull()))
     return hits.groupBy(
         "row", "doc_id", "n_words", "template", (F.col("spot") - 1 - F.col("place")).alias("diagonal")
-    ).agg(F.count("*").alias("votes"), F.min("place").alias("low"), F.max("place").alias("high"))
+    ).agg(F.count("*").alias("votes"), F.bit_or(F.expr("shiftleft(1L, place)")).alias("places"),
+          F.min("place").alias("low"), F.max("place").alias("high"))
 
 
 def spans(found: DataFrame, templates: DataFrame, merge: int = MERGE, covered: float = COVERED) -> DataFrame:
@@ -96,9 +103,10 @@ def spans(found: DataFrame, templates: DataFrame, merge: int = MERGE, covered: f
         (F.coalesce(F.col("diagonal") - F.lag("diagonal").over(along), F.lit(merge + 1)) > merge).cast("int"))
     grouped = known.withColumn("apart", apart).withColumn("group", F.sum("apart").over(along)).groupBy(
         "row", "doc_id", "n_words", "template", "label", "phrase", "pairs", "group").agg(
-        F.sum("votes").alias("votes"), F.min("low").alias("low"), F.max("high").alias("high"),
+        F.sum("votes").alias("votes"), F.bit_or("places").alias("places"), F.min("low").alias("low"), F.max("high").alias("high"),
         F.min(F.col("diagonal") + F.col("low")).alias("from"), F.min("diagonal").alias("start"))
-    cover = F.least(F.col("votes") / F.col("pairs"), F.lit(1.0))
+    # Verified by the different places that stand there: a place that is repeated counts once.
+    cover = F.bit_count("places") / F.col("pairs")
     whole = F.when(F.col("phrase"), F.col("votes") == F.col("pairs")).otherwise(
         (cover >= covered) & ((F.col("high") - F.col("low") + 1) / F.col("pairs") >= covered))
     return grouped.filter(F.col("template").isNull() | whole).select(
