@@ -12,11 +12,16 @@ item position) that lie at most `edits` apart. So, per document:
    stretches with T hits within a window are regions;
 3. a region is verified by banded alignment of the item window to the document.
 
-All three steps only leave out what cannot be a passage. The benchmark goes to the tasks in blocks of
+Steps 1 and 2 only leave out windows that share fewer q-grams than the bound. In step 3, once a window of an
+item was found, those that begin in its first half are not aligned unless they end a run: they lie within the
+found stretch. So a span's `edits` is that of a window in it, and not always the fewest.
+
+Items of fewer than `MIN_CHARS` characters have too few q-grams; they are found exactly (without case, runs of
+white space as one space), where no letter or digit goes on at either end. The benchmark goes to the tasks in blocks of
 at most `block_chars` characters, one pass over the documents for each.
 
-Defined cases: items under `MIN_CHARS` characters are ordinary words and not looked for; null or
-shorter documents hold nothing; items that occur twice are both reported; rows without item_id or doc_id keep a null there; other columns are
+Defined cases: null, empty and blank items are in no document, null or empty documents hold nothing; an
+empty table of either gives an empty result; texts of any length are read whole; items that occur twice are both reported; rows without item_id or doc_id keep a null there; other columns are
 not read.
 """
 
@@ -24,6 +29,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -56,6 +62,10 @@ def codes(text: str) -> tuple[np.ndarray, np.ndarray]:
     return out, at
 
 
+def _text(chars: np.ndarray) -> str:
+    return chars.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+
+
 def grams(chars: np.ndarray, q: int = Q) -> np.ndarray:
     """64-bit hashes of all q-grams."""
     n = len(chars) - q + 1
@@ -80,6 +90,15 @@ class Index:
     def __init__(self, items: list[str], q: int = Q, window: int = WINDOW, edits: int = EDITS):
         self.q, self.window, self.edits = q, window, edits
         self.items = [codes(x)[0] for x in items]
+        self.short = None
+        for i, own in enumerate(self.items):
+            word = _text(own).strip(" ")
+            if len(own) < MIN_CHARS and word:
+                if self.short is None:
+                    self.short = ahocorasick.Automaton()
+                self.short.add_word(word, [*self.short.get(word, []), i])
+        if self.short is not None:
+            self.short.make_automaton()
         hashed = [grams(x, q) if len(x) >= MIN_CHARS else grams(x[:0], q) for x in self.items]
         gram = np.concatenate(hashed) if hashed else np.empty(0, np.uint64)
         item = np.repeat(np.arange(len(hashed)), [len(x) for x in hashed])
@@ -134,11 +153,23 @@ class Index:
     def spans(self, text: str) -> list[tuple[int, int, int, int]]:
         """(item, start, end, edits): verified places in the text, overlapping ones merged."""
         chars, at = codes(text)
+        short = [] if self.short is None else self._short(chars, at)
         if len(chars) < self.q:
-            return []
+            return short
         p, item, j = self.hits(chars)
-        if not len(p):
-            return []
+        return short + (self._long(chars, at, p, item, j) if len(p) else [])
+
+    def _short(self, chars: np.ndarray, at: np.ndarray) -> list[tuple[int, int, int, int]]:
+        """Every place of a short item between signs that are no letters or digits."""
+        text, out = _text(chars), []
+        for last, items in self.short.iter(text):
+            size = len(_text(self.items[items[0]]).strip(" "))
+            first = last + 1 - size
+            if not (first and text[first - 1].isalnum()) and not text[last + 1:last + 2].isalnum():
+                out += [(i, int(at[first]), int(at[last]) + 1, 0) for i in items]
+        return sorted(out)
+
+    def _long(self, chars: np.ndarray, at: np.ndarray, p: np.ndarray, item: np.ndarray, j: np.ndarray) -> list[tuple[int, int, int, int]]:
         # Bands of diagonals as wide as the budget; neighbours together are the overlapping bands.
         width = max(1, self.edits)
         thin = (p - j + (1 << 38)) // width
@@ -191,8 +222,8 @@ class Index:
         near = int(np.median(diagonals))
         last = -1
         for w in dense:
-            # Neighbouring windows differ little: every second one and the last of a run suffice
-            # for the extent, but a run is given up only after all of its windows failed.
+            # Windows that begin in the first half of a found one lie within its stretch; a run is given up
+            # only after all of its windows failed.
             if last >= 0 and w - last < size // 2 and w + 1 in dense:
                 continue
             hit = exact(target[w:w + size], chars, w + near) or aligned(
@@ -266,9 +297,9 @@ def find(
     item_col: str = "item_id", item_text_col: str = "text",
 ) -> DataFrame:
     """(doc_id, item_id, start, end, edits): every place of a benchmark passage, start and end in
-    characters of the document's own text, edits the fewest of any window in it."""
+    characters of the document's own text, edits those of the best window aligned in it."""
     items = texts(benchmark, item_col, item_text_col).withColumnRenamed("doc_id", "item_id")
-    sized = saved(items.select("item_id", "text", F.length("text").alias("n")).filter(F.col("n") >= MIN_CHARS), "items")
+    sized = saved(items.select("item_id", "text", F.length("text").alias("n")).filter("n > 0"), "items")
     chars = sized.agg(F.sum("n")).first()[0] or 0
     blocks = -(-chars // block_chars) or 1
     docs = texts(documents, id_col, text_col)
@@ -281,9 +312,14 @@ def find(
     return out
 
 
-def clean(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The documents without a benchmark passage, with all their columns; a row without id stays."""
-    bad = find(documents, benchmark, id_col=id_col, text_col=text_col, **options).select(
+def clean(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+          min_chars: int = MIN_CHARS, item_text_col: str = "text", **options) -> DataFrame:
+    """The documents without a benchmark passage, with all their columns; a row without id stays.
+
+    Items of fewer than `min_chars` characters condemn no document: a word or a number is in very many.
+    """
+    items = benchmark.filter(F.length(item_text_col) >= min_chars)
+    bad = find(documents, items, id_col=id_col, text_col=text_col, item_text_col=item_text_col, **options).select(
         F.col("doc_id").alias("bad_id")).distinct()
     bad = saved(bad, "contaminated")
     return documents.join(bad, F.col(id_col) == F.col("bad_id"), "left_anti")

@@ -190,3 +190,25 @@ def test_shared_runs_match_brute_force(spark):
             expected.append((i, best))
     assert sorted(found, key=str) == sorted(expected, key=str)
     assert passages.shared_runs(docs.limit(0)).count() == 0
+
+
+def test_short_items_are_found_exactly_at_word_ends(spark):
+    items = [(1, "Blue  whale"), (2, "42"), (3, "blue whale"), (4, " "), (5, None), (6, "é!")]
+    texts = ["The blue\nwhale, 42 of them.", "bluewhale 142 42nd", "BLUE WHALE", "", None, "42", "x é! y é!z", "whale " * 50_000 + "42"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = sorted((r["doc_id"], r["item_id"], r["start"], r["end"], r["edits"]) for r in decontaminate.find(docs, bench).collect())
+    assert found == [(0, 1, 4, 14, 0), (0, 2, 16, 18, 0), (0, 3, 4, 14, 0), (2, 1, 0, 10, 0), (2, 3, 0, 10, 0), (5, 2, 0, 2, 0),
+                     (6, 6, 2, 4, 0), (7, 2, 300_000, 300_002, 0)]
+    assert decontaminate.clean(docs, bench).count() == len(texts)
+    assert decontaminate.clean(docs, bench, min_chars=5).count() == len(texts) - 2
+    assert decontaminate.find(docs.limit(0), bench).count() == decontaminate.find(docs, bench.limit(0)).count() == 0
+
+
+def test_repeated_words_do_not_fill_a_notice(spark):
+    whole = "this source code form is subject to the terms of the mozilla public license"
+    texts = ["this source " * 6 + "public license " * 6, whole, whole.replace("form ", "form here "), None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: (r["labels"], r["score"]) for r in licences.scan(docs).collect()}
+    assert found[0] == ("", 0.0) and found[1] == ("mpl", 1.0) and found[2][0] == "mpl"
+    assert licences.scan(docs.limit(0)).count() == 0
