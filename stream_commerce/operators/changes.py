@@ -60,8 +60,14 @@ def route_changes(changes: DataFrame) -> DataFrame:
 
 def topic_rows(changes: DataFrame) -> DataFrame:
     """(topic, value) of the rows that go to topics."""
+    return messages(changes).select("topic", "value")
+
+
+def messages(changes: DataFrame) -> DataFrame:
+    """(topic, id, value) of the rows that go to topics. `id` is the row's place in the change log, so a row
+    that is sent again has the same one."""
     routed = route_changes(changes).filter(F.col("target") != USER_STATE)
-    return routed.select(F.col("target").alias("topic"), "value")
+    return routed.select(F.col("target").alias("topic"), F.concat_ws(":", "seq", "pos").alias("id"), "value")
 
 
 def order_inserts(changes: DataFrame) -> DataFrame:

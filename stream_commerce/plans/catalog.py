@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from stream_commerce.config import new_work_dir
 from stream_commerce.functions import times
@@ -16,7 +17,7 @@ from stream_commerce.operators.latest import last_per_key
 from stream_commerce.plans import standins
 from stream_commerce.schemas import ACTION_LOG, MONEY, SALE_DETAIL_COLUMNS
 from stream_commerce.sources.tables import table
-from stream_commerce.sources.topics import saved_offsets
+from stream_commerce.sources.topics import once, saved_offsets
 from stream_commerce.streaming import jobs, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -121,6 +122,54 @@ def stream_log_diversion(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema("value string, topic string").text(out)
 
 
+SLICES, SLICE_ROWS = 3, 100_000
+
+
+def _slice_of(name: str, key: str) -> str:
+    """SQL of the batch that `_sliced` puts a row of a table into."""
+    return f"""(
+      select *, floor(({key} - low) / ceil((high - low + 1) / n))::bigint batch
+      from {name}, (select min({key}) low, max({key}) high, greatest({SLICES}, ceil(count(*) / {SLICE_ROWS})) n from {name}))"""
+
+
+@query(f"""
+  select batch, count(*) logs, count(*) filter (event_type = 'signup') starts,
+    2 * count(*) filter (event_type not in ('signup', 'error')) actions
+  from {_slice_of("events", "event_id")} group by 1""")
+def stream_log_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Logs read and records written by each batch of the diversion, observed while it runs."""
+    raw = standins.raw_logs(_stream(spark, folder, "events"))
+    out = new_work_dir(spark, "topics")
+    return _observed(spark, lambda: jobs.run_diversion(
+        raw, lambda rows: sinks.folder_writer(rows, out), new_work_dir(spark, "checkpoint"), jobs.UNTIL_DRAINED),
+        "logs", "starts", "actions")
+
+
+@query(f"""
+  select batch, count(*) logs, count(*) filter (event_id % 10 = 3) unreadable
+  from {_slice_of("events", "event_id")} group by 1""")
+def stream_unreadable_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Logs read and unreadable ones kept by each batch; every tenth log is cut short."""
+    events = _stream(spark, folder, "events")
+    raw = standins.cut_logs(events, F.col("event_id") % 10 == 3)
+    aside = jobs.unreadable_table(new_work_dir(spark, "unreadable"))
+    return _observed(spark, lambda: jobs.run_unreadable_logs(
+        raw, aside, new_work_dir(spark, "checkpoint"), jobs.UNTIL_DRAINED), "logs", "unreadable")
+
+
+def _observed(spark: SparkSession, run: Callable[[], StreamingQuery], *names: str) -> DataFrame:
+    """(batch, names): the observed counts of a query that `run` starts; one row per batch."""
+    counts = sinks.BatchCounts()
+    spark.streams.addListener(counts)
+    try:
+        started = run()
+        started.awaitTermination()
+        found = counts.of(started, *names)
+    finally:
+        spark.streams.removeListener(counts)
+    return spark.createDataFrame(found, ", ".join(f"{n} bigint" for n in ("batch", *names)))
+
+
 # Daily active devices ----------------------------------------------------------------------
 
 
@@ -596,9 +645,6 @@ _register_word_joins()
 
 # Streams over the test tables --------------------------------------------------------------
 
-SLICES, SLICE_ROWS = 3, 100_000
-
-
 def _sliced(rows: DataFrame, order: Column) -> DataFrame:
     """All rows as a stream of files in the given order, one file per batch.
 
@@ -721,6 +767,31 @@ def stream_gmv_resumed(spark: SparkSession, folder: str) -> DataFrame:
     return _gmv_output(jobs.ledger_view(spark, first, second))
 
 
+def _repeated_orders(spark: SparkSession, folder: str) -> DataFrame:
+    sent = standins.repeated_order_messages(standins.events_of(spark, folder), "10 minutes")
+    return _sliced(sent, F.unix_micros("arrived"))
+
+
+@query(_GMV_HOURS)
+def stream_gmv_once(spark: SparkSession, folder: str) -> DataFrame:
+    """Hourly totals where a third of the messages is sent twice, with the ids they had."""
+    ledger = jobs.gmv_table(new_work_dir(spark, "gmv"))
+    jobs.run_gmv(
+        once(_repeated_orders(spark, folder), "1 hour"), ledger, new_work_dir(spark, "checkpoint"), jobs.UNTIL_DRAINED,
+    ).awaitTermination()
+    return _gmv_output(jobs.gmv_view(spark, ledger))
+
+
+@query(_GMV_HOURS)
+def stream_gmv_orders_once(spark: SparkSession, folder: str) -> DataFrame:
+    """The same where only the order ids tell."""
+    ledger = jobs.gmv_table(new_work_dir(spark, "gmv"))
+    jobs.run_gmv(
+        _repeated_orders(spark, folder), ledger, new_work_dir(spark, "checkpoint"), jobs.UNTIL_DRAINED, once_within="1 hour",
+    ).awaitTermination()
+    return _gmv_output(jobs.gmv_view(spark, ledger))
+
+
 @query(_GMV_HOURS)
 def stream_gmv_state(spark: SparkSession, folder: str) -> DataFrame:
     """Hourly totals held as state of the query and read from its checkpoint."""

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stream_commerce.functions.times import epoch_ms, epoch_us
-from stream_commerce.schemas import MONEY
+from stream_commerce.schemas import MONEY, ORDER_INFO_TOPIC
 from stream_commerce.sources.tables import table
 
 
@@ -22,9 +22,16 @@ def _k() -> Column:
     return F.get_json_object("props", "$.k")
 
 
-def raw_logs(events: DataFrame) -> DataFrame:
+def cut_logs(events: DataFrame, cut: Column) -> DataFrame:
+    """The raw logs of the events; where `cut` holds, without their last character."""
+    logs = raw_logs(events.withColumn("_cut", cut), "_cut")
+    whole = F.col("value")
+    return logs.select(F.when(F.col("_cut"), whole.substr(F.lit(1), F.length(whole) - 1)).otherwise(whole).alias("value"))
+
+
+def raw_logs(events: DataFrame, *keep: str) -> DataFrame:
     """JSON logs: sign-ups are starts, errors carry both `err` and `start`, the rest are pages with
-    two actions of which the second overrides `os` and has no item."""
+    two actions of which the second overrides `os` and has no item. Columns to `keep` come along."""
     common = F.struct(
         F.concat(F.lit("mid_"), F.col("user_id") % 40).alias("mid"),
         F.col("user_id").cast("string").alias("uid"),
@@ -48,7 +55,7 @@ def raw_logs(events: DataFrame) -> DataFrame:
         F.when(~is_start, F.array(first, second)).alias("actions"),
         F.when(F.col("event_type") == "error", F.struct(F.lit(1).alias("code"))).alias("err"),
         epoch_ms("ts").alias("ts"),
-    )).alias("value"))
+    )).alias("value"), *keep)
 
 
 def start_rows(events: DataFrame) -> DataFrame:
@@ -93,6 +100,16 @@ def order_messages(events: DataFrame) -> DataFrame:
     return purchase_orders(events).select(F.to_json(F.struct(*columns)).alias("value"))
 
 
+def repeated_order_messages(events: DataFrame, after: str) -> DataFrame:
+    """Order messages (topic, id, value, arrived); every third is sent again, with its id, `after` the first."""
+    columns = ["id", "create_time", "total_amount", "user_id"]
+    orders = purchase_orders(events).select(
+        F.lit(ORDER_INFO_TOPIC).alias("topic"), "id", F.to_json(F.struct(*columns)).alias("value"),
+        F.to_timestamp("create_time").alias("arrived"))
+    again = orders.filter(F.col("id").cast("bigint") % 3 == 0)
+    return orders.unionByName(again.withColumn("arrived", F.col("arrived") + F.expr(f"INTERVAL {after}")))
+
+
 def spoiled_order_messages(events: DataFrame) -> DataFrame:
     """Order messages whose create_time or amount is unreadable for some values of k."""
     k = _k().cast("int")

@@ -1,6 +1,6 @@
 """Topic streams: Kafka on a cluster, folders of text files where there is no broker.
 
-Both give `value` (the message text), `topic` and `arrived` (a timestamp). Positions are kept by the
+Both give `value` (the message text), `topic` and `arrived` (a timestamp); message streams also `id`. Positions are kept by the
 query's checkpoint; the starting position applies to its first run only.
 """
 
@@ -54,6 +54,49 @@ def kafka_stream(
     )
 
 
+def kafka_message_stream(
+    spark: SparkSession,
+    servers: str,
+    topic: str,
+    start: str | Offsets = LATEST,
+    max_rows_per_batch: int | None = None,
+) -> DataFrame:
+    """`kafka_stream` with the `id` that the writer gave a message; without one, its own position."""
+    options = kafka_options(servers, topic, start, max_rows_per_batch) | {"includeHeaders": "true"}
+    return with_message_ids(spark.readStream.format("kafka").options(**options).load())
+
+
+def with_message_ids(loaded: DataFrame) -> DataFrame:
+    """(value, topic, arrived, id) of Kafka rows that were read with their headers."""
+    given = F.filter("headers", lambda h: h["key"] == "id")
+    own = F.concat_ws(":", F.lit("@"), "partition", "offset")
+    return loaded.select(
+        F.col("value").cast("string").alias("value"), "topic", F.col("timestamp").alias("arrived"),
+        F.coalesce(F.try_element_at(given, F.lit(-1))["value"].cast("string"), own).alias("id"),
+    )
+
+
+def message_stream(
+    spark: SparkSession, path: str, topic: str, max_files_per_batch: int | None = None
+) -> DataFrame:
+    """The messages (value, topic, arrived, id) in the Parquet files of a topic's folder. A message that has no
+    id is known by its file and row."""
+    reader = spark.readStream.schema("id string, value string")
+    if max_files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
+    own = F.concat_ws(":", F.lit("@"), F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+    return reader.parquet(path).select(
+        "value", F.lit(topic).alias("topic"), F.col("_metadata.file_modification_time").alias("arrived"),
+        F.coalesce("id", own).alias("id"),
+    )
+
+
+def once(messages: DataFrame, within: str) -> DataFrame:
+    """Messages without those that were sent again within that time: an at-least-once writer repeats the
+    messages of a batch that it replays, with the ids they had. The ids of that span are kept as state."""
+    return messages.withWatermark("arrived", within).dropDuplicatesWithinWatermark(["topic", "id"])
+
+
 def kafka_range_options(servers: str, topic: str, from_ms: int, to_ms: int) -> dict[str, str]:
     return {
         "kafka.bootstrap.servers": servers,

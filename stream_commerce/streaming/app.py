@@ -116,8 +116,9 @@ class App:
         )
 
     def changes(self) -> StreamingQuery:
+        # Files are committed once per batch; on Kafka a replayed batch is sent again and readers need the ids.
         return jobs.run_change_topics(
-            self._changes(), self._writer, self._checkpoint("changes"), self.trigger
+            self._changes(), self._writer, self._checkpoint("changes"), self.trigger, ids=bool(self.args.servers)
         )
 
     def users(self) -> StreamingQuery:

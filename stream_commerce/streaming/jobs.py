@@ -2,12 +2,13 @@
 
 Jobs that keep a table write it through a `BatchTable`, so a batch that is replayed after a failure
 does not change it. Topic writers are at least once: Kafka may get the rows of a replayed batch
-twice, so readers that add up must drop repeats (`run_gmv(once_within=...)`). The checkpoint keeps
-the positions.
+twice, so readers that add up must drop repeats: by order id (`run_gmv(once_within=...)`), or by the
+message ids of `run_change_topics(ids=True)` (`topics.once`). The checkpoint keeps the positions.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -21,9 +22,11 @@ from stream_commerce.operators import alerts, changes, diversion, first_start, g
 from stream_commerce.operators.joins import null_safe_join
 from stream_commerce.operators.words import side_by_side, word_counts
 from stream_commerce.schemas import (
+    ACTION_TOPIC,
     ORDER_DETAIL,
     SALE_DETAIL_COLUMNS,
     START_LOG_COLUMNS,
+    START_TOPIC,
     USER_INFO,
 )
 from stream_commerce.streaming.batch_table import (
@@ -69,14 +72,23 @@ def run_diversion(
     raw: DataFrame, writer_of: Callable[[DataFrame], DataStreamWriter], checkpoint: str,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Raw logs to start and action topics: one stateless query, no shuffle."""
-    rows = diversion.divert(raw.select("value"))
+    """Raw logs to start and action topics: one stateless query, no shuffle.
+
+    Observed per batch (`sinks.BatchCounts`): `logs` read, `starts` and `actions` written.
+    """
+    rows = diversion.divert(raw.select("value").observe("read", F.count(F.lit(1)).alias("logs")))
+    rows = rows.observe(
+        "written", F.count_if(F.col("topic") == START_TOPIC).alias("starts"), F.count_if(F.col("topic") == ACTION_TOPIC).alias("actions"))
     return start(writer_of(rows), "log_diversion", checkpoint, trigger)
 
 
 def run_unreadable_logs(raw: DataFrame, table: BatchTable, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Keep the raw logs that are no log at all, which the diversion cannot route."""
-    rows = diversion.unreadable_logs(raw.select("value"))
+    """Keep the raw logs that are no log at all, which the diversion cannot route.
+
+    Observed per batch: `logs` read, `unreadable` ones kept.
+    """
+    rows = diversion.unreadable_logs(raw.select("value").observe("read", F.count(F.lit(1)).alias("logs")))
+    rows = rows.observe("kept", F.count(F.lit(1)).alias("unreadable"))
     return _each_batch(rows, table.write, "unreadable_logs", checkpoint, trigger)
 
 
@@ -94,7 +106,8 @@ def run_first_starts(
 ) -> StreamingQuery:
     """Keep each device's first start of the day.
 
-    `on_unreadable` gets the messages without a readable `ts`.
+    `on_unreadable` gets the messages without a readable `ts`. `on_count` gets the number of devices a
+    batch adds, 0 where all were seen before.
 
     The table is its own history: a batch drops the devices earlier batches hold for the same date
     and writes the rest. Only the two key columns of the dates present in the batch are read.
@@ -153,7 +166,8 @@ def run_gmv(
     """Per-batch sums per date and hour; the total is the sum over batches.
 
     Two feeders may send the same order. With `once_within`, an order id that arrives again within
-    that time is not counted again; the ids of that span are kept as state.
+    that time is not counted again; the ids of that span are kept as state. Where only the writer's
+    replays are to be left out, give it `topics.once(messages, within)` instead.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -295,7 +309,9 @@ def stream_alert_windows(
 ) -> DataFrame:
     """`alerts.alert_windows` over a stream: (mid, window_end, users) once a window is closed.
 
-    State holds one small row per window, device and suspect; no action is kept in it.
+    Three aggregates in a chain. The first keeps one row per pane (the step of the windows), device and
+    suspect while late actions may still come; only a closed pane is copied into the windows that hold it, so
+    the state of open panes does not grow with the number of windows an action is in. No action is kept.
     """
     event_time = F.timestamp_millis("ts").alias("at")
     triggers = (
@@ -303,10 +319,14 @@ def stream_alert_windows(
         .select("mid", "uid", event_time)
         .withWatermark("at", lateness)
     )
+    # Windows begin at multiples of their step and end a window's length later: panes of the common
+    # divisor lie in a window wholly or not at all.
+    pane = F.window("at", f"{math.gcd(rule.window_ms, rule.slide_ms)} milliseconds").alias("pane")
+    panes = triggers.groupBy(pane, "mid", "uid").agg(F.count(F.lit(1)).alias("times"))
     window = F.window(
-        "at", f"{rule.window_ms} milliseconds", f"{rule.slide_ms} milliseconds"
+        F.window_time("pane"), f"{rule.window_ms} milliseconds", f"{rule.slide_ms} milliseconds"
     ).alias("window")
-    users = triggers.groupBy(window, "mid", "uid").agg(F.count(F.lit(1)).alias("times"))
+    users = panes.groupBy(window, "mid", "uid").agg(F.sum("times").alias("times"))
     counted_users = users.groupBy("window", "mid").agg(F.count(F.lit(1)).alias("users"))
     return counted_users.filter(F.col("users") >= rule.min_users).select(
         "mid", F.unix_millis("window.end").alias("window_end"), "users"
@@ -547,10 +567,12 @@ def user_table(path: str, run: str = "main", buckets: int = 16) -> KeyedTable:
 
 def run_change_topics(
     stream: DataFrame, writer_of: Callable[[DataFrame], DataStreamWriter], checkpoint: str,
-    trigger: dict | None = None,
+    trigger: dict | None = None, ids: bool = False,
 ) -> StreamingQuery:
-    """Inserted orders and order lines to their topics."""
-    return start(writer_of(changes.topic_rows(stream)), "change_topics", checkpoint, trigger)
+    """Inserted orders and order lines to their topics; with `ids`, messages also say their place in the change
+    log, so that readers can drop what a replayed batch sends again (`topics.once`)."""
+    rows = changes.messages(stream) if ids else changes.topic_rows(stream)
+    return start(writer_of(rows), "change_topics", checkpoint, trigger)
 
 
 def run_user_state(

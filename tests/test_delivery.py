@@ -1,0 +1,119 @@
+"""Messages that are sent again, and counts observed while a batch runs."""
+
+from __future__ import annotations
+
+import json
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from stream_commerce.operators import alerts, changes
+from stream_commerce.operators.alerts import DEFAULT_RULE as RULE
+from stream_commerce.schemas import ORDER_INFO_TOPIC, ROW_CHANGE
+from stream_commerce.sources import topics
+from stream_commerce.streaming import jobs, sinks
+from tests.test_stream_results import BASE, action, forget_batch
+
+
+def change(seq, *orders):
+    rows = [[{"name": n, "value": v} for n, v in o.items()] for o in orders]
+    return {"kind": changes.ROW_KIND, "table": "order_info", "op": "INSERT", "seq": seq, "ts": 0, "rows": rows}
+
+
+def order(id, amount):
+    return {"id": id, "create_time": "2022-04-27 03:18:39", "total_amount": amount}
+
+
+def test_a_replayed_batch_of_changes_is_counted_once(spark, tmp_path):
+    feed, sent, checkpoint = str(tmp_path / "feed"), str(tmp_path / "sent"), tmp_path / "c"
+
+    def arrive(*found):
+        spark.createDataFrame([json.dumps(c) for c in found], "string").select(
+            F.from_json("value", ROW_CHANGE).alias("c")).select("c.*").coalesce(1).write.mode("append").parquet(feed)
+
+    def at_least_once(rows):
+        return rows.writeStream.foreachBatch(lambda b, i: b.write.mode("append").partitionBy("topic").parquet(sent))
+
+    def send():
+        stream = spark.readStream.schema(ROW_CHANGE).option("maxFilesPerTrigger", 1).parquet(feed)
+        jobs.run_change_topics(stream, at_least_once, str(checkpoint), jobs.UNTIL_DRAINED, ids=True).awaitTermination()
+
+    def total(name):
+        messages = topics.message_stream(spark, f"{sent}/topic={ORDER_INFO_TOPIC}", ORDER_INFO_TOPIC)
+        table = jobs.gmv_table(str(tmp_path / name))
+        jobs.run_gmv(topics.once(messages, "1 day"), table, str(tmp_path / f"c-{name}"), jobs.UNTIL_DRAINED).awaitTermination()
+        return [float(r["gmv"]) for r in jobs.gmv_view(spark, table).collect()]
+
+    # Two rows of one statement, and one of a later statement that equals the first: three orders.
+    arrive(change(1, order("a", "1.00"), order("b", "2.00")))
+    arrive(change(2, order("a", "1.00")))
+    send()
+    assert total("gmv") == [4.0]
+    forget_batch(checkpoint, 1)
+    send()
+    rows = spark.read.parquet(sent)
+    assert rows.count() == 4 and {r["id"] for r in rows.collect()} == {"1:0", "1:1", "2:0"}
+    assert total("gmv") == [4.0]  # goes on with the repeat
+    assert total("anew") == [4.0]  # reads it together with the first
+
+
+def test_messages_without_an_id_are_never_repeats(spark, tmp_path):
+    path = str(tmp_path / "m")
+    spark.createDataFrame([(None, "x"), (None, "x"), ("1", "y"), ("1", "y")], "id string, value string").write.parquet(path)
+    kept = jobs.unreadable_table(str(tmp_path / "t"))
+    stream = topics.once(topics.message_stream(spark, path, "t"), "1 day").select("value")
+    jobs._each_batch(stream, kept.write, "kept", str(tmp_path / "c"), jobs.UNTIL_DRAINED).awaitTermination()
+    assert Counter(r["value"] for r in kept.read(spark).collect()) == {"x": 2, "y": 1}
+
+
+def test_ids_travel_as_a_kafka_header(spark):
+    rows = spark.createDataFrame([("t", "7:1", "v")], "topic string, id string, value string")
+    header = F.array(F.struct(F.lit("id").alias("key"), F.col("id").cast("binary").alias("value")))
+    loaded = rows.select(
+        F.col("value").cast("binary").alias("value"), "topic", F.lit(0).alias("partition"), F.lit(5).alias("offset"),
+        F.current_timestamp().alias("timestamp"), F.explode(F.array(header, F.lit(None))).alias("headers"))
+    assert {(r["value"], r["id"]) for r in topics.with_message_ids(loaded).collect()} == {("v", "7:1"), ("v", "@:0:5")}
+
+
+def test_message_writer_is_read_by_message_stream(spark, tmp_path):
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.createDataFrame([("t", "1", "v"), ("u", "2", "w")], "topic string, id string, value string").write.parquet(path)
+    rows = spark.readStream.schema("topic string, id string, value string").parquet(path)
+    jobs.start(sinks.message_writer(rows, out), "m", str(tmp_path / "c"), jobs.UNTIL_DRAINED).awaitTermination()
+    stream = topics.message_stream(spark, f"{out}/topic=u", "u")
+    assert stream.columns == ["value", "topic", "arrived", "id"]
+    kept = jobs.unreadable_table(str(tmp_path / "t"))
+    jobs._each_batch(stream, kept.write, "kept", str(tmp_path / "c2"), jobs.UNTIL_DRAINED).awaitTermination()
+    assert [r["value"] for r in kept.read(spark).collect()] == ["w"]
+
+
+def test_batches_without_rows_are_counted(spark, feed, tmp_path):
+    start = json.dumps({"common": {"mid": "m"}, "start": {"x": 1}, "ts": 1})
+    path = feed(start, "no log", start)
+    feed("no log", "{")
+    feed(start)
+    counts = sinks.BatchCounts()
+    spark.streams.addListener(counts)
+    try:
+        raw = topics.folder_stream(spark, path, "raw", max_files_per_batch=1)
+        routed = jobs.run_diversion(
+            raw, lambda rows: sinks.folder_writer(rows, str(tmp_path / "out")), str(tmp_path / "c"), jobs.UNTIL_DRAINED)
+        routed.awaitTermination()
+        aside = jobs.run_unreadable_logs(
+            raw, jobs.unreadable_table(str(tmp_path / "t")), str(tmp_path / "d"), jobs.UNTIL_DRAINED)
+        aside.awaitTermination()
+        assert counts.of(routed, "logs", "starts", "actions") == [(0, 3, 2, 0), (1, 2, 0, 0), (2, 1, 1, 0)]
+        assert counts.of(aside, "logs", "unreadable") == [(0, 3, 1), (1, 2, 2), (2, 1, 0)]
+    finally:
+        spark.streams.removeListener(counts)
+
+
+def test_open_panes_hold_one_row_per_suspect(spark, feed, tmp_path):
+    path = feed(*[action("m", f"u{k % 5}", BASE + k * 100) for k in range(250)])
+    stream = topics.folder_stream(spark, path, "actions")
+    windows = jobs.stream_alert_windows(alerts.parse_actions(stream.select("value")), RULE)
+    done = jobs._each_batch(windows, lambda b, i: b.write.format("noop").mode("overwrite").save(), "panes",
+                            str(tmp_path / "c"), jobs.UNTIL_DRAINED)
+    done.awaitTermination()
+    # 25 seconds of actions of five users lie in one pane, and in ten windows: 5 rows, where a state of windows holds 50.
+    assert sum(s.numRowsTotal for p in done.recentProgress[:1] for s in p.stateOperators) == 5
