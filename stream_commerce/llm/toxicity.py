@@ -1,15 +1,15 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are made from labelled text. The ordinary one is trained on pieces of
-ordinary text. The toxic one holds, by frequency, the pieces of words that many toxic texts have and
-no ordinary text of the sample has, and the ordinary content behind them. A text is cut into
+Two zstandard dictionaries are trained on labelled text: the ordinary one on pieces of ordinary text, the
+toxic one on the windows of toxic text that many toxic texts and no ordinary text of the sample has; it is
+used with the ordinary content behind it. A text is cut into
 overlapping windows, each compressed with both: a window is shorter under the toxic dictionary exactly
 where it has toxic pieces, as both know ordinary text alike and search it alike. What windows save (the
 largest saving, the mean of the three largest, the mean, the root of the sum) is calibrated to a
 probability by logistic regression, so 0.5 is the threshold.
 
 Labels come from a bounded sample: at most `MAX_TOXIC` and `MAX_ORDINARY` labelled texts, those with
-the smallest hash of their id. Scoring reads whole texts and nothing else of a row.
+the smallest hash of their id. Two thirds make the dictionaries, the others the calibration. Scoring reads whole texts and nothing else of a row.
 
 Defined cases: a null or empty text has no windows and gets the score of savings 0; labels that are
 null, or ids that are, teach nothing; a document labelled both ways counts for both; without labels of
@@ -36,7 +36,11 @@ SHARE = 0.006
 MAX_TOXIC = 2000
 MAX_ORDINARY = 6000
 ORDINARY_BYTES = 32_768
-TOXIC_BYTES = 8_192
+TOXIC_BYTES = 2_048
+#: COVER's segments of the toxic dictionary: about a word, told apart by runs of six bytes.
+TOXIC_SEGMENTS = {"k": 12, "d": 6}
+#: The trainer takes no shorter samples.
+LEAST = 8
 _BATCH = 1 << 20
 _SPACES = bytes.maketrans(b"\t\n\x0b\x0c\r", b"     ")
 
@@ -53,47 +57,49 @@ def _grams(words: list[bytes]) -> set[bytes]:
     return {w[i:i + GRAM] for w in words for i in range(len(w) - GRAM + 1)}
 
 
-def toxic_content(toxic: list[str], ordinary: list[str]) -> bytes:
-    """Word pieces that many toxic texts have and no ordinary one, the commonest last (nearest)."""
+def toxic_windows(toxic: list[str], ordinary: list[str]) -> list[bytes]:
+    """What the toxic dictionary is trained on: the parts of toxic texts' words, with repeats, whose runs of
+    `GRAM` bytes many toxic texts have and no ordinary one; short parts with what is around them in the word."""
     cut = [_words(x) for x in toxic]
     spread = Counter(g for words in cut for g in _grams(words))
     least = max(3, int(np.ceil(SHARE * len(toxic))))
     only = {g for g, n in spread.items() if n >= least}
     for text in ordinary:
         only -= _grams(_words(text))
-    pieces: Counter[bytes] = Counter()
-    for words in cut:
-        for w in words:
-            i = 0
-            while i <= len(w) - GRAM:
-                if w[i:i + GRAM] not in only:
-                    i += 1
-                    continue
-                end = i + 1
-                while w[end:end + GRAM] in only:
-                    end += 1
-                pieces[w[i:end + GRAM - 1]] += 1
-                i = end + GRAM - 1
-    held: list[bytes] = []
-    room = TOXIC_BYTES
-    for piece, _ in sorted(pieces.items(), key=lambda x: (-x[1], x[0])):
-        if len(piece) > room:
-            break
-        held.append(piece)
-        room -= len(piece)
-    return b"".join(held[::-1])
-
-
-def ordinary_content(ordinary: list[str]) -> bytes:
-    """A trained dictionary's content, or the texts themselves where they are too few to train on."""
+    found = []
+    for w in (w for words in cut for w in words):
+        i = 0
+        while i <= len(w) - GRAM:
+            if w[i:i + GRAM] not in only:
+                i += 1
+                continue
+            end = i + 1
+            while w[end:end + GRAM] in only:
+                end += 1
+            end += GRAM - 1
+            first = max(0, min(i, end - LEAST))
+            found.append(w[first:max(end, first + LEAST)].ljust(LEAST))
+            i = end
+    return found
+
+
+def ordinary_windows(ordinary: list[str]) -> list[bytes]:
+    """What the ordinary dictionary is trained on: every fourth run of twelve words."""
     pieces = []
     for text in ordinary:
         words = _plain(text).split()
         pieces += [b" ".join(words[i:i + 12]) + b" " for i in range(0, len(words), 48)]
+    return pieces
+
+
+def trained(pieces: list[bytes], size: int, **choice: int) -> bytes:
+    """A dictionary trained on the pieces, or the pieces themselves, the commonest last (nearest), where they
+    are too few or too alike to train on."""
     try:
-        return zstandard.train_dictionary(ORDINARY_BYTES, pieces).as_bytes()
+        return zstandard.train_dictionary(size, pieces, **choice).as_bytes()
     except zstandard.ZstdError:
-        return b"".join(pieces)[-ORDINARY_BYTES:]
+        common = sorted(Counter(pieces).items(), key=lambda x: (x[1], x[0]))
+        return b"".join(x for x, _ in common)[-size:]
 
 
 class Dictionaries:
@@ -224,14 +230,20 @@ def train(documents: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, m
     ids = usable.filter("toxic = 1").orderBy(*order).limit(max_toxic).unionByName(
         usable.filter("toxic = 0").orderBy(*order).limit(max_ordinary))
     # At most max_toxic + max_ordinary ids.
-    sample = texts(documents).join(F.broadcast(ids), F.col("doc_id") == F.col("label_id"))
-    rows = sample.select("toxic", "text").toPandas()
-    toxic = rows.loc[rows["toxic"] == 1, "text"].tolist()
-    ordinary = rows.loc[rows["toxic"] == 0, "text"].tolist()
+    sample = texts(documents).join(F.broadcast(ids), F.col("doc_id") == F.col("label_id")).select(
+        "toxic", "text", (F.pmod(F.xxhash64("label_id", F.lit(1)), F.lit(3)) == 0).alias("fitted"))
+    # In a fixed order, since the trainer's choice depends on it.
+    rows = sample.toPandas().sort_values(["toxic", "text"], kind="stable")
+    apart = rows["fitted"] if set(rows.loc[rows["fitted"], "toxic"]) == set(rows.loc[~rows["fitted"], "toxic"]) == {0, 1} else None
+    learnt = rows if apart is None else rows[~apart]
+    toxic = learnt.loc[learnt["toxic"] == 1, "text"].tolist()
+    ordinary = learnt.loc[learnt["toxic"] == 0, "text"].tolist()
     if not toxic or not ordinary:
         return Model(None, np.zeros(5), share)
-    contents = toxic_content(toxic, ordinary), ordinary_content(ordinary)
-    measured = sample.select("toxic", "text").repartition(16).mapInPandas(_measure(*contents), "toxic int, x array<double>").toPandas()
+    contents = (trained(toxic_windows(toxic, ordinary), TOXIC_BYTES, **TOXIC_SEGMENTS),
+                trained(ordinary_windows(ordinary), ORDINARY_BYTES))
+    measured = sample if apart is None else sample.filter("fitted")
+    measured = measured.select("toxic", "text").repartition(16).mapInPandas(_measure(*contents), "toxic int, x array<double>").toPandas()
     y = measured["toxic"].to_numpy(np.float64)
     # Weighted back to the shares the labels have.
     weight = np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean()))

@@ -212,3 +212,25 @@ def test_repeated_words_do_not_fill_a_notice(spark):
     found = {r["doc_id"]: (r["labels"], r["score"]) for r in licences.scan(docs).collect()}
     assert found[0] == ("", 0.0) and found[1] == ("mpl", 1.0) and found[2][0] == "mpl"
     assert licences.scan(docs.limit(0)).count() == 0
+
+
+def test_both_dictionaries_are_trained(monkeypatch):
+    made = []
+    train = toxicity.zstandard.train_dictionary
+
+    def noted(size, samples, **choice):
+        made.append(train(size, samples, **choice).as_bytes())
+        return train(size, samples, **choice)
+
+    monkeypatch.setattr(toxicity.zstandard, "train_dictionary", noted)
+    toxic = [f"you {a}headed {b}brain number {i}" for i in range(60) for a, b in [("dunder", "mosquito"), ("blockish", "porridge")]]
+    ordinary = [f"the number {i} of {w} is you and a day {i * i} later" for i in range(400) for w in ("apples", "bridges", "rivers")]
+    pieces = toxicity.toxic_windows(toxic, ordinary)
+    assert pieces and all(len(x) >= toxicity.LEAST for x in pieces) and not any(b" number" in x for x in pieces)
+    contents = (toxicity.trained(pieces, toxicity.TOXIC_BYTES, **toxicity.TOXIC_SEGMENTS),
+                toxicity.trained(toxicity.ordinary_windows(ordinary), toxicity.ORDINARY_BYTES))
+    assert list(contents) == made
+    assert toxicity.trained([b"a piece that is alone"], 100) == b"a piece that is alone"
+    known = toxicity.Dictionaries(*contents)
+    insult, plain = "you dunderheaded mosquitobrain of apples", "the number of apples is you and a day"
+    assert toxicity.text_features([insult], known)[0, 0] > 5 > toxicity.text_features([plain], known)[0, 0]
