@@ -244,10 +244,12 @@ def train(documents: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, m
                 trained(ordinary_windows(ordinary), ORDINARY_BYTES))
     measured = sample if apart is None else sample.filter("fitted")
     measured = measured.select("toxic", "text").repartition(16).mapInPandas(_measure(*contents), "toxic int, x array<double>").toPandas()
-    y = measured["toxic"].to_numpy(np.float64)
+    y, x = measured["toxic"].to_numpy(np.float64), np.stack(measured["x"].to_numpy())
+    order = np.lexsort((*x.T, y))  # sums in one order give one model, however the rows were dealt
+    y, x = y[order], x[order]
     # Weighted back to the shares the labels have.
     weight = np.where(y == 1, share / y.mean(), (1 - share) / (1 - y.mean()))
-    return Model(Dictionaries(*contents), logistic(np.stack(measured["x"].to_numpy()), y, weight), share)
+    return Model(Dictionaries(*contents), logistic(x, y, weight), share)
 
 
 def _score(model: Model):
