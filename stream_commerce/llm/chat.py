@@ -13,8 +13,14 @@ products of the matrices, `FAN` at a time, give each block the scores before it
 it finds its part of the whole transcript's most probable states. A turn that goes on over a cut has a
 part in either block's row.
 
+A speaker marker is taken off only where it opens a turn of its own role; a heading that holds nothing else
+goes as a line. All other lines stay as they are, so without the marks the rendering has every character of
+the transcript. A line that looks like a mark of the rendering itself gets a backslash before it, which
+`parsed` takes off again.
+
 Defined cases: null text is one empty line; rows of one conversation with equal turn numbers follow
-each other by role and text, equal rows one after the other; null conv_id is a conversation of its own, null turn comes first; a role
+each other by role and text, equal rows one after the other, and in training each counts as followed by
+every row of the next number; null conv_id is a conversation of its own, null turn comes first; a role
 other than the known ones (or null) is not counted in training; an empty table trains a uniform model
 and gives no rows; other columns are not read.
 """
@@ -42,8 +48,9 @@ NAMES = {
     "a": "assistant", "answer": "assistant", "response": "assistant",
 }
 _MARKER = re.compile(
-    r"^\s*(?:#{1,6}\s*|\*\*|<\|(?:im_start\|>)?|\[|\()?\s*([A-Za-z]{1,14})\s*(?:\*\*\s*:|:\s*\*\*|\|>|\]\s*:?|\)\s*:?|:|>)\s*|"
+    r"^\s*(?:#{1,6}\s*|\*\*|<\|(?:im_start\|>)?|\[|\()?\s*([A-Za-z]{1,14})\s*(?:\*\*\s*:|:\s*\*\*|\|>|\]\s*:?|\)\s*:?|:|>)[ \t]?|"
     r"^\s*#{1,6}\s*([A-Za-z]{1,14})\s*$")
+_MARK = re.compile(r"\\*<\|(?:system|user|assistant|end)\|>$")
 LENGTHS = (1, 40, 120, 400)
 FEATURES = 2 * (len(LENGTHS) + 1)
 
@@ -57,6 +64,12 @@ def marker(line: str) -> tuple[int, str]:
     return (1 + ROLES.index(role), line[hit.end():]) if role else (4, line)
 
 
+def heading(line: str) -> bool:
+    """Whether the line is a marker in a heading and nothing else."""
+    hit = _MARKER.match(line)
+    return hit is not None and hit[2] is not None
+
+
 def feature(line: Column) -> Column:
     """Length class and question mark as one number below FEATURES."""
     size = sum((F.char_length(line) >= n).cast("int") for n in LENGTHS)
@@ -139,10 +152,13 @@ def train(turns: DataFrame, trust: float = TRUST) -> Model:
     for x in rows.groupBy("r", (F.col("n") > 0).cast("int").alias("later"), feature(F.col("line")).alias("f")).count().collect():
         seen[2 * x["r"] + x["later"], x["f"]] += x["count"]
         lines[x["r"], x["later"]] += x["count"]
-    whole = turns.select("conv_id", "turn", place.alias("r")).filter("r >= 0")
-    after = whole.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("r").alias("next"))
+    # Rows that repeat a turn are counted before they meet the next turn's, so copies are not paired.
+    whole = turns.select("conv_id", F.col("turn").cast("long").alias("turn"), place.alias("r")).filter("r >= 0")
+    counted = whole.groupBy("conv_id", "turn", "r").agg(F.count("*").alias("n"))
+    after = counted.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("r").alias("next"), F.col("n").alias("m"))
     change = np.ones((k, k))
-    for x in whole.join(after, ["conv_id", "turn"]).groupBy("r", "next").count().collect():
+    pairs = F.sum(F.col("n").cast("double") * F.col("m"))
+    for x in counted.join(after, ["conv_id", "turn"]).groupBy("r", "next").agg(pairs.alias("count")).collect():
         change[x["r"], x["next"]] += x["count"]
     start = np.ones(k)
     for x in whole.filter("turn = 0").groupBy("r").count().collect():
@@ -151,9 +167,25 @@ def train(turns: DataFrame, trust: float = TRUST) -> Model:
                  seen / seen.sum(1, keepdims=True), trust)
 
 
-def rendered(roles: list[str], texts: list[str]) -> str:
-    """Canonical turns: <|role|>, the text, <|end|>, each on lines of its own."""
-    return "\n".join(f"<|{r}|>\n{t}\n<|end|>" for r, t in zip(roles, texts, strict=True))
+def rendered(roles: list[str], turns: list[list[str]]) -> str:
+    """Canonical turns: <|role|>, the lines, <|end|>, each on lines of its own."""
+    rows = []
+    for role, lines in zip(roles, turns, strict=True):
+        rows += [f"<|{role}|>", *["\\" + x if _MARK.match(x) else x for x in lines], "<|end|>"]
+    return "\n".join(rows)
+
+
+def parsed(text: str) -> list[tuple[str, list[str]]]:
+    """(role, lines) of each turn of a rendering."""
+    turns = []
+    for line in text.split("\n"):
+        hit = _MARK.match(line)
+        if hit and line[0] == "<":
+            if line != "<|end|>":
+                turns.append((line[2:-2], []))
+        elif turns:
+            turns[-1][1].append(line[1:] if hit else line)
+    return turns
 
 
 ORDER = ["turn", "role", "digest", "row", "n"]
@@ -177,18 +209,20 @@ def _decode(model: Model):
         states = model.decode(
             np.array([m for m, _ in marked]), frame["f"].to_numpy(np.int64), _opens(frame),
             None if before is None or block == 0 else np.array(before), 0.0 if after is None else np.array(after))
-        roles, texts, matched = [], [], 0
-        for state, (_, line), true in zip(states, marked, frame["role"], strict=True):
+        roles, turns, matched = [], [], 0
+        for state, (mark, rest), line, true in zip(states, marked, frame["line"], frame["role"], strict=True):
             role = ROLES[state // 2]
             matched += role == true
             if state % 2 == 0 or not roles or roles[-1] != role:
                 roles.append(role)
-                texts.append([line])
-            else:
-                texts[-1].append(line)
+                turns.append([])
+            if state % 2 or mark != 1 + state // 2:
+                turns[-1].append(line)
+            elif not heading(line):
+                turns[-1].append(rest)
         return pd.DataFrame([{
             "conv_id": _conv(frame), "block": block, "n_lines": len(frame), "n_turns": len(roles), "matched": matched,
-            "roles": ",".join(roles), "rendered": rendered(roles, ["\n".join(x) for x in texts])}]).astype({"conv_id": "Int64"})
+            "roles": ",".join(roles), "rendered": rendered(roles, turns)}]).astype({"conv_id": "Int64"})
 
     return run
 

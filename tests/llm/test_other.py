@@ -87,6 +87,44 @@ def test_chat_markers():
     assert chat.marker("no marker here: at all")[0] == 0
 
 
+def _told(text):
+    return [(role, "\n".join(lines)) for role, lines in chat.parsed(text)]
+
+
+def test_rendering_loses_no_text(spark):
+    """A marker goes only where it opens a turn of its role; all else comes back as it was."""
+    texts = [
+        "Here it is.\nAnswer: forty two\nmodel: T5 is used", "what?\nA) first option\nB) second", "<|end|>\n\\<|user|>\nso",
+        "  two blanks before", "", "a\n\nb", "user: said twice",
+    ]
+    rows = [(c, 2 * t + k, r, f"{r.title()}: {x}") for c in range(3) for t, x in enumerate(texts) for k, r in ((0, "user"), (1, "assistant"))]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    for trust in (chat.TRUST, 0.2):  # with 0.2 a marker says nothing, and all lines are later ones
+        found = chat.recover(chat.turn_lines(turns), chat.train(turns, trust)).toPandas().set_index("conv_id")
+        for conv in range(3):
+            source = [line for c, _, _, x in rows if c == conv for line in x.split("\n")]
+            told = [(role, n, line) for role, lines in chat.parsed(found["rendered"][conv]) for n, line in enumerate(lines)]
+            assert len(told) == len(source) == found["n_lines"][conv]
+            for (role, n, line), whole in zip(told, source, strict=True):
+                mark, rest = chat.marker(whole)
+                opens = n == 0 and mark == 1 + chat.ROLES.index(role)
+                assert line == (rest if opens else whole)
+            assert trust == chat.TRUST or {"Answer: forty two", "model: T5 is used", "B) second"} <= {x for _, _, x in told}
+    bare = spark.createDataFrame([(1, 0, "user", "### User\n\nhello\nBob: hi"), (1, 1, "assistant", "[assistant] yes")], turns.schema)
+    assert _told(chat.recover(chat.turn_lines(bare), chat.train(turns)).first()["rendered"]) == [
+        ("user", "\nhello\nBob: hi"), ("assistant", "yes")]
+
+
+def test_copies_of_a_turn_are_counted_not_paired(spark):
+    """A third of all rows is one turn; the plan joins counts, and the probabilities are those of all pairs."""
+    rows = [(1, 0, "user", "a")] * 300 + [(1, 1, "assistant", "b")] * 200 + [(1, 1, "user", "c")] * 100
+    found = chat.train(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    change = np.ones(3)
+    change[1:] += 300 * 100, 300 * 200
+    later = (1 / (300 + 100 + 2))
+    assert np.allclose(found.step[2, ::2], change / change.sum() * (1 - later))
+
+
 def test_viterbi_matches_enumeration():
     rng = np.random.default_rng(1)
     k = len(chat.ROLES)
