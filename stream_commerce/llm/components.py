@@ -70,6 +70,14 @@ def components(edges: DataFrame) -> DataFrame:
     return leaves.unionByName(roots)
 
 
+def _shared(rows: DataFrame) -> DataFrame:
+    """The rows (key, node) of buckets with several nodes. Buckets are counted map-side first and joined back, so
+    that of a bucket that holds much of the table no task has all rows: Spark splits a join, not a window."""
+    ends = rows.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+    open_keys = ends.filter("low <> high").select(F.col("key").alias("k"))
+    return rows.join(open_keys, F.col("key") == F.col("k"), "left_semi").select("key", "node")
+
+
 def _hub_pairs(rows: DataFrame, salts: tuple[int, ...]) -> DataFrame:
     """Every member of a bucket with the bucket's hubs, the smallest nodes after a bit flip each."""
     least = [F.min(F.col("node").bitwiseXOR(F.lit(x))).bitwiseXOR(F.lit(x)) for x in salts]
@@ -109,9 +117,7 @@ def linked(
     links known beforehand. A pair of one bucket goes unverified only if its ends are already in one
     component or `prefix_pairs` rules it out.
     """
-    one = Window.partitionBy("key")
-    spread = rows.select("key", "node", F.min("node").over(one).alias("low"), F.max("node").over(one).alias("high"))
-    rows = saved(spread.filter("low <> high").select("key", "node"), "buckets")
+    rows = saved(_shared(rows), "buckets")
     held = saved(sets(rows.select("node").distinct()), "sets")
     tried = saved(_hub_pairs(rows, SALTS), "pairs")
     edges = _verified(tried, held, percent).select(F.col("a").alias("u"), F.col("b").alias("v"))
@@ -161,7 +167,7 @@ def prefix_pairs(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     Elements of one set only are rarest, so a set with many of its own meets nobody. `nodes` has
     (node, own): its component.
     """
-    items = sets.select("node", F.size("hashes").alias("n"), F.explode("hashes").alias("h")).repartition("h")
+    items = sets.select("node", F.size("hashes").alias("n"), F.explode("hashes").alias("h"))
     often = items.groupBy("h").agg(F.count("*").alias("df"), F.max("n"), F.max("node")).filter("df > 1").select(
         F.col("h").alias("g"), "df")
     met = items.join(often, F.col("h") == F.col("g"))
