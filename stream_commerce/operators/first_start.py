@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stream_commerce.functions.records import CORRUPT, joined_key, parse_json
+from stream_commerce.functions.records import joined_key, parse_json
 from stream_commerce.functions.times import SHANGHAI, date_of, local_time, second_of
 from stream_commerce.operators.joins import null_safe_join
 from stream_commerce.operators.latest import first_per_key
@@ -18,18 +18,12 @@ KEYS = ["start_date", "mid"]
 def parse_starts(values: DataFrame, value: str = "value", zone: str = SHANGHAI) -> DataFrame:
     """Start records with `ts` as a number and the derived id, start_date and start_time.
 
-    Rows without a readable `ts` have no date and are not returned; see `unreadable_starts`.
+    Rows without a readable `ts` have no date and are not returned; see `unreadable_texts`.
     """
     parsed = parse_json(values, START_LOG_SOURCE, value)
     return with_start_fields(parsed, zone).filter(F.col("ts").isNotNull())
 
 
-def unreadable_starts(values: DataFrame, value: str = "value") -> DataFrame:
-    """Start records that `parse_starts` leaves out."""
-    parsed = parse_json(values, START_LOG_SOURCE, value)
-    return parsed.filter(F.col("ts").try_cast("bigint").isNull()).select("mid", "ts", CORRUPT)
-
-
 def unreadable_texts(values: DataFrame, value: str = "value") -> DataFrame:
     """(value): the messages that `parse_starts` leaves out, as they came."""
     kept = values.select(F.col(value).alias("value"), F.col(value).alias("_text"))
@@ -53,6 +47,17 @@ def first_starts(starts: DataFrame) -> DataFrame:
     return first_per_key(starts, KEYS, ["ts"])
 
 
+def with_day(starts: DataFrame) -> DataFrame:
+    """`day`: the start_date as a timestamp, the same in any session zone; null beyond the year 9999."""
+    days = F.unix_date(F.col("start_date").try_cast("date"))
+    return starts.withColumn("day", F.timestamp_seconds(days.cast("bigint") * 86_400))
+
+
+def ahead(now: Column) -> Column:
+    """Whether `day` is after tomorrow: such a clock is wrong and must not move a watermark."""
+    return F.coalesce(F.col("day") > now + F.expr("INTERVAL 2 days"), F.lit(True))
+
+
 def drop_seen(starts: DataFrame, history: DataFrame) -> DataFrame:
     """Rows whose device is not in `history` on that date.
 

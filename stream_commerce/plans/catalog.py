@@ -226,6 +226,75 @@ def stream_first_starts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(_FIRST_STARTS)
+def stream_first_starts_state(spark: SparkSession, folder: str) -> DataFrame:
+    """First starts with the seen devices as state that expires."""
+    starts = jobs.first_start_table(new_work_dir(spark, "starts"))
+    raw = standins.raw_logs(_stream(spark, folder, "events"))
+    jobs.run_first_starts_state(
+        diversion.divert(raw, only=diversion.START), starts, new_work_dir(spark, "checkpoint"), trigger=jobs.UNTIL_DRAINED,
+    ).awaitTermination()
+    return jobs.first_start_view(spark, starts).select("id", "mid", "uid", "ts", "start_date", "start_time")
+
+
+@query(f"""
+  with b as (
+    select 'mid_' || (user_id % 40) mid, {_MS} ms, strftime({_LOCAL}, '%Y-%m-%d') start_date,
+      floor((place - low) / ceil((high - low + 1) / n)) b
+    from (select *, min(place) over () low, max(place) over () high, greatest({SLICES}, ceil(count(*) over () / {SLICE_ROWS})) n
+      from (select *, event_id + case when event_id % 50 = 7 then (select max(event_id) // 2 from events) else 0 end place
+        from events where event_type = 'signup'))),
+  m as (select b, max(start_date::date) high from b group by 1)
+  select mid, ms ts, start_date, false ahead
+  from b where start_date::date < (select max(high) from m where m.b < b.b) - 1""")
+def stream_outside_starts(spark: SparkSession, folder: str) -> DataFrame:
+    """Starts of dates that are closed: every fiftieth comes half the table too late."""
+    events = standins.events_of(spark, folder)
+    half = (events.agg(F.max("event_id")).first()[0] or 0) // 2
+    place = F.col("event_id") + F.when(F.col("event_id") % 50 == 7, half).otherwise(0)
+    rows = standins.start_rows(events.withColumn("place", place), "place")
+    messages = _sliced(rows.select(F.to_json(F.struct("mid", "uid", "ts")).alias("value"), "place"), F.col("place"))
+    outside = jobs.outside_start_table(new_work_dir(spark, "outside"))
+    jobs.run_outside_starts(
+        messages, outside, jobs.mark_table(new_work_dir(spark, "marks")), new_work_dir(spark, "checkpoint"),
+        trigger=jobs.UNTIL_DRAINED).awaitTermination()
+    return outside.read(spark).select("mid", "ts", "start_date", "ahead")
+
+
+def _spoiled_sql(where: str, devices: int, action: str) -> str:
+    return f"""
+  select 'mid_' || (user_id % {devices}) mid, user_id::varchar uid, {_K} k, {action} action_id,
+    case when {_K}::int >= 90 then 'soon' end ts
+  from events where {where} and ({_K}::int >= 90 or {_K}::int < 10)"""
+
+
+def _kept_texts(aside: DataFrame, k: str) -> DataFrame:
+    names = {"mid": "mid", "uid": "uid", "k": k, "action_id": "action_id", "ts": "ts"}
+    return aside.select(*[F.get_json_object("value", f"$.{field}").alias(name) for name, field in names.items()])
+
+
+@query(_spoiled_sql("event_type = 'signup'", 40, "null::varchar"))
+def stream_starts_unreadable(spark: SparkSession, folder: str) -> DataFrame:
+    """Start messages without a readable time, as the job of first starts keeps them aside."""
+    messages = standins.spoiled_messages(standins.start_rows(_stream(spark, folder, "events")))
+    aside = jobs.unreadable_table(new_work_dir(spark, "unreadable"))
+    jobs.run_first_starts(
+        messages, jobs.start_table(new_work_dir(spark, "starts")), new_work_dir(spark, "checkpoint"), jobs.UNTIL_DRAINED,
+        on_unreadable=aside.write).awaitTermination()
+    return _kept_texts(aside.read(spark), "loading_time")
+
+
+@query(_spoiled_sql("true", 5, "event_type"))
+def stream_actions_unreadable(spark: SparkSession, folder: str) -> DataFrame:
+    """Actions without a readable time, as the action log keeps them aside."""
+    messages = standins.spoiled_messages(standins.action_rows(_stream(spark, folder, "events")))
+    aside = jobs.unreadable_table(new_work_dir(spark, "unreadable"))
+    jobs.run_action_log(
+        messages, jobs.action_table(new_work_dir(spark, "actions")), new_work_dir(spark, "checkpoint"), jobs.UNTIL_DRAINED,
+        on_unreadable=aside.write).awaitTermination()
+    return _kept_texts(aside.read(spark), "item")
+
+
 # Sales totals ------------------------------------------------------------------------------
 
 

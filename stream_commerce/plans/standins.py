@@ -58,13 +58,14 @@ def raw_logs(events: DataFrame, *keep: str) -> DataFrame:
     )).alias("value"), *keep)
 
 
-def start_rows(events: DataFrame) -> DataFrame:
-    """Sign-ups as typed start records."""
+def start_rows(events: DataFrame, *keep: str) -> DataFrame:
+    """Sign-ups as typed start records. Columns to `keep` come along."""
     return events.filter(F.col("event_type") == "signup").select(
         F.concat(F.lit("mid_"), F.col("user_id") % 40).alias("mid"),
         F.col("user_id").cast("string").alias("uid"),
         _k().alias("loading_time"),
         epoch_ms("ts").alias("ts"),
+        *keep,
     )
 
 
@@ -79,6 +80,13 @@ def action_rows(events: DataFrame) -> DataFrame:
     )
 
 
+def spoiled_messages(rows: DataFrame) -> DataFrame:
+    """Rows as JSON texts; where `item` or `loading_time` is 90 or more the time is a word, under 10 it is missing."""
+    k = F.coalesce(*[F.col(c).cast("int") for c in ("item", "loading_time") if c in rows.columns])
+    ts = F.when(k >= 90, "soon").when(k >= 10, F.col("ts").cast("string"))
+    return rows.select(F.to_json(F.struct(*[c for c in rows.columns if c != "ts"], ts.alias("ts"))).alias("value"))
+
+
 def purchases(events: DataFrame) -> DataFrame:
     """Purchases are orders with a time of day."""
     return events.filter(F.col("event_type") == "purchase")

@@ -57,10 +57,25 @@ class App:
         return jobs.run_diversion(raw, self._writer, self._checkpoint("diversion"), self.trigger)
 
     def starts(self) -> StreamingQuery:
-        stream = self._stream(schemas.START_TOPIC, topics.EARLIEST)
         table = jobs.start_table(self._path("starts"), self.args.run)
         return jobs.run_first_starts(
-            stream, table, self._checkpoint("starts"), self.trigger, on_unreadable=self._aside("starts"))
+            self._starts(), table, self._checkpoint("starts"), self.trigger, on_unreadable=self._aside("starts"))
+
+    def _starts(self) -> DataFrame:
+        return self._stream(schemas.START_TOPIC, topics.EARLIEST)
+
+    def openstarts(self) -> StreamingQuery:
+        """As `starts`, with the devices of the last days only, kept as state."""
+        table = jobs.first_start_table(self._path("openstarts"), self.args.run)
+        return jobs.run_first_starts_state(
+            self._starts(), table, self._checkpoint("openstarts"), self.args.days_open, self.trigger)
+
+    def outsidestarts(self) -> StreamingQuery:
+        """The starts that `openstarts` leaves out."""
+        table = jobs.outside_start_table(self._path("outsidestarts"), self.args.run)
+        marks = jobs.mark_table(self._path("outsidestarts-marks"), self.args.run)
+        return jobs.run_outside_starts(
+            self._starts(), table, marks, self._checkpoint("outsidestarts"), self.args.days_open, self.trigger)
 
     def _aside(self, name: str):
         return jobs.unreadable_table(self._path(f"unreadable/{name}"), self.args.run).write
@@ -128,7 +143,7 @@ class App:
         )
 
 
-JOBS = ["diversion", "badlogs", "starts", "gmv", "actions", "alerts", "sales", "changes", "users"]
+JOBS = ["diversion", "badlogs", "starts", "openstarts", "outsidestarts", "gmv", "actions", "alerts", "sales", "changes", "users"]
 
 
 def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
@@ -142,6 +157,7 @@ def parse_args(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--users-run", default="main", help="run of the user table, for users and sales")
     parser.add_argument("--actions-run", default="main", help="run of the action table, for actions and alerts")
     parser.add_argument("--once-within", default="1 day", help="an order id counts once within this time")
+    parser.add_argument("--days-open", type=int, default=1, help="days before the newest whose devices openstarts still knows")
     parser.add_argument("--lateness", default="5 minutes", help="how late actions may come for alerts")
     parser.add_argument("--partitions", type=int, help="shuffle partitions; a query with state keeps its first value, "
                         "so size it for the state that all its keys will need, not for one batch")

@@ -20,6 +20,7 @@ from stream_commerce.functions.records import CORRUPT, parse_json
 from stream_commerce.functions.times import SHANGHAI
 from stream_commerce.operators import alerts, changes, diversion, first_start, gmv, pairing, sales
 from stream_commerce.operators.joins import null_safe_join
+from stream_commerce.operators.latest import first_per_key
 from stream_commerce.operators.words import side_by_side, word_counts
 from stream_commerce.schemas import (
     ACTION_TOPIC,
@@ -133,6 +134,52 @@ def run_first_starts(
     return _each_batch(starts, handle, "first_starts", checkpoint, trigger)
 
 
+def _days_open(days: int) -> str:
+    return f"{days} days 1 second"
+
+
+def first_start_table(path: str, run: str = "main") -> BatchTable:
+    """For `run_first_starts_state`: dates are folders for readers; the job reads none of them."""
+    return BatchTable(path, start_table(path).schema, ["start_date"], run)
+
+
+def run_first_starts_state(
+    starts: DataFrame, table: BatchTable, checkpoint: str, days: int = 1, trigger: dict | None = None,
+    on_count: CountListener | None = None,
+) -> StreamingQuery:
+    """Keep each device's first start of the day, with the devices seen as the query's own state.
+
+    State of a date is dropped once a start comes that is more than `days` days younger, so it holds
+    the devices of the open dates and does not grow with history; later starts of that date count no device
+    again (`run_outside_starts` keeps them). No history is read.
+
+    A state row is the first start itself, marked with the time of the batch that brought it: batches have a
+    time that a replay repeats, and a device is new in a batch if its row has that time. It must not step back.
+    """
+    now = F.current_timestamp()
+    parsed = first_start.with_day(first_start.parse_starts(starts.select("value")))
+    timely = parsed.filter(~first_start.ahead(now)).withColumn("seen", now)
+    firsts = first_per_key(timely.withWatermark("day", _days_open(days)), ["day", "mid"], ["seen", "ts"])
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        counted(table, batch, batch_id, on_count)
+
+    return _each_batch(firsts.filter(F.col("seen") == now), handle, "first_starts_state", checkpoint, trigger, "update")
+
+
+def outside_start_table(path: str, run: str = "main") -> BatchTable:
+    return BatchTable(path, "start_date string, mid string, ts bigint, ahead boolean", (), run)
+
+
+def run_outside_starts(
+    starts: DataFrame, table: BatchTable, marks: KeyedTable, checkpoint: str, days: int = 1, trigger: dict | None = None,
+) -> StreamingQuery:
+    """Keep the starts that `run_first_starts_state` leaves out: of dates that are closed, or after tomorrow (`ahead`)."""
+    parsed = first_start.with_day(first_start.parse_starts(starts.select("value")))
+    marked = parsed.withColumn("ahead", first_start.ahead(F.current_timestamp()))
+    return run_late_rows(marked, "day", table, marks, checkpoint, trigger, _days_open(days), aside=F.col("ahead"))
+
+
 def first_start_view(spark: SparkSession, table: BatchTable) -> DataFrame:
     """(start_date, mid) is unique here: no batch writes a device an earlier one holds."""
     return table.read(spark).drop(BATCH_ID)
@@ -491,9 +538,10 @@ def mark_table(path: str, run: str = "main") -> KeyedTable:
 
 def run_late_rows(
     rows: DataFrame, time: str, table: BatchTable, marks: KeyedTable, checkpoint: str,
-    trigger: dict | None = None, allowance: str = pairing.ALLOWANCE,
+    trigger: dict | None = None, allowance: str = pairing.ALLOWANCE, aside: Column | None = None,
 ) -> StreamingQuery:
-    """Keep the rows that a job with a watermark of `allowance` on `time` finds too late.
+    """Keep the rows that a job with a watermark of `allowance` on `time` finds too late. Rows that hold `aside`
+    are kept as well, and their time is not looked at.
 
     As Spark does, a batch is held against the latest time of the batches before it, less the allowance. That
     time is a row of `marks`, read as it was before the batch, so a replay splits the batch the same way. Rows
@@ -505,8 +553,9 @@ def run_late_rows(
         bound = F.lit(seen["high"] if seen else None).cast("timestamp") - F.expr(f"INTERVAL {allowance}")
         batch = batch.persist()
         try:
-            table.write(batch.filter(F.col(time) < bound), batch_id)
-            high = batch.agg(F.max(time).alias("high")).filter("high is not null")
+            odd = F.lit(False) if aside is None else aside
+            table.write(batch.filter((F.col(time) < bound) | odd), batch_id)
+            high = batch.filter(~odd).agg(F.max(time).alias("high")).filter("high is not null")
             marks.write(high.select(F.lit("high").alias("name"), "high"), batch_id)
         finally:
             batch.unpersist()

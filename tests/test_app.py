@@ -72,7 +72,7 @@ def test_chain(spark, tmp_path):
         ])
         app.start(spark, args).awaitTermination()
 
-    for job in ("diversion", "badlogs", "changes", "users", "starts", "gmv", "actions", "alerts", "sales"):
+    for job in ("diversion", "badlogs", "changes", "users", "starts", "openstarts", "outsidestarts", "gmv", "actions", "alerts", "sales"):
         run(job)
 
     def aside(name, make=jobs.unreadable_table):
@@ -86,6 +86,9 @@ def test_chain(spark, tmp_path):
 
     starts = jobs.first_start_view(spark, jobs.start_table(f"{store}/starts")).collect()
     assert [(r.mid, r.entry, r.ts) for r in starts] == [("m1", "push", BASE)]
+    opened = jobs.first_start_view(spark, jobs.first_start_table(f"{store}/openstarts")).collect()
+    assert [(r.mid, r.entry, r.ts) for r in opened] == [("m1", "push", BASE)]
+    assert jobs.outside_start_table(f"{store}/outsidestarts").read(spark).count() == 0
     totals = jobs.gmv_view(spark, jobs.gmv_table(f"{store}/gmv")).collect()
     assert [(r.create_date, r.create_hour, float(r.gmv)) for r in totals] == [("2024-01-01", "10", 12.5)]
     found = jobs.alert_view(spark, jobs.alert_table(f"{store}/alerts")).collect()

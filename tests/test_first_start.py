@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import time
 
 from pyspark.sql import functions as F
 
@@ -44,7 +45,7 @@ def test_ids_dates_and_unreadable_rows(spark):
     )
     rows = {(r.id, r.start_date) for r in first_start.parse_starts(df).collect()}
     assert rows == {("2024-01-01T08:00:00_a", "2024-01-01"), ("2024-01-01T08:00:00_null", "2024-01-01")}
-    assert first_start.unreadable_starts(df).count() == 2
+    assert {r.value for r in first_start.unreadable_texts(df).collect()} == {start_message("b", "soon"), "{"}
 
 
 def test_drop_seen_matches_missing_devices(spark):
@@ -125,3 +126,53 @@ def test_a_batch_reads_the_folders_of_its_dates_only(spark, tmp_path):
     for part in (tmp_path / "t" / "done" / "run=main" / "12").iterdir():
         part.unlink()
     assert table.read(spark).count() == 12
+
+
+def open_starts(spark, path, table, checkpoint, counts=None):
+    stream = folder_stream(spark, path, "start", max_files_per_batch=1)
+    jobs.run_first_starts_state(
+        stream, table, str(checkpoint), 1, jobs.UNTIL_DRAINED, None if counts is None else lambda b, n: counts.append((b, n))
+    ).awaitTermination()
+
+
+def test_seen_devices_expire_with_their_date(spark, feed, tmp_path):
+    far = int(time.time() * 1000) + 5 * DAY  # a clock that is wrong closes no date
+    path = feed(start_message("a", MORNING + 50), start_message("a", MORNING + 10), start_message("b", MORNING), start_message(None, 5 + MORNING))
+    feed(start_message("a", MORNING + 5), start_message("c", MORNING), start_message("b", MORNING + DAY), start_message("f", far))
+    feed(start_message("a", MORNING + 1), start_message("d", MORNING + 3 * DAY))
+    feed(start_message("a", MORNING + 2), start_message("e", MORNING + 2 * DAY), start_message("d", MORNING + 3 * DAY))
+    table, checkpoint, counts = jobs.first_start_table(str(tmp_path / "t")), tmp_path / "c", []
+    open_starts(spark, path, table, checkpoint, counts)
+    rows = sorted(((r.start_date, r.mid, r.ts) for r in jobs.first_start_view(spark, table).collect()), key=str)
+    assert rows == sorted([
+        ("2024-01-01", "a", MORNING + 10), ("2024-01-01", "b", MORNING), ("2024-01-01", None, MORNING + 5),
+        ("2024-01-01", "c", MORNING), ("2024-01-02", "b", MORNING + DAY), ("2024-01-04", "d", MORNING + 3 * DAY),
+        ("2024-01-03", "e", MORNING + 2 * DAY)], key=str)
+    assert sum(n for _, n in counts) == 7
+    state = spark.read.format("statestore").load(str(checkpoint)).select("key.mid", F.unix_seconds("key.day").alias("day"))
+    assert {(r.mid, r.day * 1000) for r in state.collect()} == {
+        ("d", MORNING - MORNING % DAY + 3 * DAY), ("e", MORNING - MORNING % DAY + 2 * DAY)}
+    outside = jobs.outside_start_table(str(tmp_path / "o"))
+    jobs.run_outside_starts(
+        folder_stream(spark, path, "start", max_files_per_batch=1), outside, jobs.mark_table(str(tmp_path / "m")),
+        str(tmp_path / "oc"), 1, jobs.UNTIL_DRAINED).awaitTermination()
+    assert {(r.mid, r.ts, r.ahead) for r in outside.read(spark).collect()} == {("a", MORNING + 2, False), ("f", far, True)}
+
+
+def test_a_replayed_batch_finds_the_same_new_devices(spark, feed, tmp_path):
+    path = feed(start_message("a", MORNING), start_message("b", MORNING))
+    feed(start_message("a", MORNING + 1), start_message("c", MORNING))
+    table, checkpoint = jobs.first_start_table(str(tmp_path / "t")), tmp_path / "c"
+    open_starts(spark, path, table, checkpoint)
+    before = sorted(map(str, jobs.first_start_view(spark, table).collect()))
+    last = max(int(x.name) for x in (checkpoint / "commits").iterdir() if x.name.isdigit())
+    for batch in range(1, last + 1):
+        (checkpoint / "commits" / str(batch)).unlink()
+        (checkpoint / "commits" / f".{batch}.crc").unlink(missing_ok=True)
+    for batch in range(2, last + 1):
+        (checkpoint / "offsets" / str(batch)).unlink()
+        (checkpoint / "offsets" / f".{batch}.crc").unlink(missing_ok=True)
+    counts = []
+    open_starts(spark, path, table, checkpoint, counts)
+    assert counts[0] == (1, 1) and sum(n for _, n in counts) == 1
+    assert sorted(map(str, jobs.first_start_view(spark, table).collect())) == before
