@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from stream_commerce.operators.latest import last_per_key
 
 BATCH_ID = "batch_id"
+FOLDER_FILES = 16
 VERSION, COPY, BUCKET = "_version", "_copy", "_bucket"
 Fold = Callable[[DataFrame], DataFrame]
 
@@ -51,9 +52,12 @@ class BatchTable:
         schema: T.StructType | str,
         partition_by: Sequence[str] = (),
         run: str = "main",
+        files: int | None = None,
     ):
+        """`files` is the most files that a batch of a query with state puts into a folder."""
         self.schema = _struct(schema)
         self.partition_by = list(partition_by)
+        self.files = files
         self.root = path.rstrip("/")
         self.run = run
         self.batches = f"{self.root}/batches/run={run}"
@@ -64,12 +68,18 @@ class BatchTable:
     def _full(self) -> T.StructType:
         return T.StructType([*self.schema.fields, T.StructField(BATCH_ID, T.LongType())])
 
+    def _dealt(self, rows: DataFrame) -> DataFrame:
+        """Few files per folder: AQE joins small partitions and splits a hot one by size. The batches of a query
+        with state run without AQE, which drops the hint, and each of their tasks would write to every folder."""
+        if self.files is None or rows.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+            return rows.hint("rebalance", *self.partition_by)
+        return rows.repartition(*self.partition_by, F.pmod(F.xxhash64(*rows.columns), F.lit(self.files)))
+
     def write(self, df: DataFrame, batch_id: int) -> None:
         """Replace the rows of `batch_id`."""
         rows = df.select(*self._columns())
         if self.partition_by:
-            # Few files per folder: AQE joins small partitions and splits a hot one by size.
-            rows = rows.hint("rebalance", *self.partition_by)
+            rows = self._dealt(rows)
         writer = rows.write.mode("overwrite")
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)

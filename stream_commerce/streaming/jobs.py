@@ -32,6 +32,7 @@ from stream_commerce.schemas import (
 )
 from stream_commerce.streaming.batch_table import (
     BATCH_ID,
+    FOLDER_FILES,
     BatchTable,
     DatedTable,
     KeyedTable,
@@ -140,7 +141,7 @@ def _days_open(days: int) -> str:
 
 def first_start_table(path: str, run: str = "main") -> BatchTable:
     """For `run_first_starts_state`: dates are folders for readers; the job reads none of them."""
-    return BatchTable(path, start_table(path).schema, ["start_date"], run)
+    return BatchTable(path, start_table(path).schema, ["start_date"], run, FOLDER_FILES)
 
 
 def run_first_starts_state(
@@ -347,7 +348,7 @@ ALERT_SCHEMA = (
 
 
 def alert_table(path: str, run: str = "main") -> BatchTable:
-    return BatchTable(path, ALERT_SCHEMA, ["date"], run)
+    return BatchTable(path, ALERT_SCHEMA, ["date"], run, FOLDER_FILES)
 
 
 def stream_alert_windows(
@@ -381,7 +382,7 @@ def stream_alert_windows(
 
 
 def suspect_table(path: str, run: str = "main") -> BatchTable:
-    return BatchTable(path, "mid string, uid string, window_end bigint, date string", ["date"], run)
+    return BatchTable(path, "mid string, uid string, window_end bigint, date string", ["date"], run, FOLDER_FILES)
 
 
 def run_early_alerts(

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import pytest
 
+from stream_commerce.streaming import jobs
 from stream_commerce.streaming.batch_table import BatchTable, DatedTable, KeyedTable, add_up, keep_last
 
 SCHEMA = "k string, v bigint, day string"
@@ -33,6 +34,18 @@ def test_a_batch_overwrites_itself_only(spark, table):
     assert content(table.read(spark, before=1)) == [("a", 1, "d1", 0)]
 
 
+def test_tasks_of_a_batch_without_aqe_share_the_files_of_a_folder(spark, tmp_path):
+    other = spark.newSession()  # as the session of a query with state
+    other.conf.set("spark.sql.adaptive.enabled", "false")
+    other.conf.set("spark.sql.shuffle.partitions", "20")
+    rows = other.range(4000).repartition(20).selectExpr("'k' k", "id v", "concat('d', id % 5) day")
+    assert [t(str(tmp_path)).files for t in (jobs.alert_table, jobs.suspect_table, jobs.first_start_table)] == [16] * 3
+    table = BatchTable(str(tmp_path / "few"), SCHEMA, ["day"], files=2)
+    table.write(rows, 0)
+    found = table.read(spark)
+    assert len(found.inputFiles()) <= 10 and found.distinct().count() == found.count() == 4000
+
+
 def test_uncommitted_files_are_not_read(spark, table, tmp_path):
     put(spark, table, 0, ("a", 1, "d1"))
     put(spark, table, 1, ("a", 2, "d1"))
