@@ -49,3 +49,12 @@ def test_two_sides_come_in_step(spark, small_slices):
     mine, theirs = batches(spark, left), batches(spark, right)
     assert [b[0] for b in mine] == [b[0] for b in theirs] == [0, 1, 2]
     assert all(a[2] == b[2] and a[3] <= b[3] < c[2] for a, b, c in zip(mine, theirs, [*mine[1:], (3, 0, 6000, 0)]))
+
+
+def test_a_dealt_batch_lies_in_files_of_a_slice(spark, small_slices, monkeypatch):
+    made = {}
+    monkeypatch.setattr(catalog, "new_work_dir", lambda s, label, own=catalog.new_work_dir: made.setdefault(label, own(s, label)))
+    catalog._sliced(spark.range(12_000).toDF("n"), F.col("n"))
+    dealt = spark.read.parquet(made["dealt"])
+    rows = [r["count"] for r in dealt.groupBy(F.input_file_name()).count().collect()]
+    assert max(rows) <= 100 and sum(rows) == 12_000
