@@ -73,7 +73,8 @@ class BatchTable:
         with state run without AQE, which drops the hint, and each of their tasks would write to every folder."""
         if self.files is None or rows.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
             return rows.hint("rebalance", *self.partition_by)
-        return rows.repartition(*self.partition_by, F.pmod(F.xxhash64(*rows.columns), F.lit(self.files)))
+        tasks = min(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), 4 * self.files)
+        return rows.repartition(tasks, *self.partition_by, F.pmod(F.xxhash64(*rows.columns), F.lit(self.files)))
 
     def write(self, df: DataFrame, batch_id: int) -> None:
         """Replace the rows of `batch_id`."""
