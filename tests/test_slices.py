@@ -58,3 +58,24 @@ def test_a_dealt_batch_lies_in_files_of_a_slice(spark, small_slices, monkeypatch
     dealt = spark.read.parquet(made["dealt"])
     rows = [r["count"] for r in dealt.groupBy(F.input_file_name()).count().collect()]
     assert max(rows) <= 100 and sum(rows) == 12_000
+
+
+@pytest.mark.parametrize("name", ["stream_first_starts_state", "stream_unpaired", "stream_gmv_state"])
+def test_state_partitions_stay_few_whatever_is_asked(spark, tmp_path, monkeypatch, name):
+    spark.sql("""
+      select id event_id, timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id) ts, id % 9 user_id,
+        case id % 3 when 0 then 'signup' when 1 then 'click' else 'purchase' end event_type, 1.5D value, '{"k": 1}' props
+      from range(90)""").write.parquet(str(tmp_path / "events.parquet"))
+    made = []
+    monkeypatch.setattr(catalog, "new_work_dir", lambda s, label, own=catalog.new_work_dir: made.append((label, own(s, label))) or made[-1][1])
+    monkeypatch.setattr(catalog, "STATE_TASKS", 3, raising=False)
+    asked = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    try:
+        catalog.QUERIES[name](spark, str(tmp_path)).collect()
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "7"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", asked)
+    checkpoint = dict(made)["checkpoint"]
+    state = spark.read.format("state-metadata").load(checkpoint)
+    assert {r["numPartitions"] for r in state.select("numPartitions").collect()} == {3}
