@@ -29,6 +29,21 @@ def test_many_slices_make_few_batches(spark, small_slices):
                      (4, 2000, 8000, 9999), (5, 2000, 10_000, 11_999)]
 
 
+def test_thirds_stay_thirds(spark, small_slices):
+    found = batches(spark, catalog._sliced(spark.range(12_000).toDF("n"), F.col("n"), thirds=True))
+    assert found == [(0, 4000, 0, 3999), (1, 4000, 4000, 7999), (2, 4000, 8000, 11_999)]
+
+
+def test_user_state_rewrites_its_table_three_times(spark, small_slices, tmp_path, monkeypatch):
+    spark.sql("""
+      select id * 4 o_orderkey, id o_custkey, 'F' o_orderstatus, timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(cast(id div 10 as int)) o_orderdate,
+        '1-URGENT' o_orderpriority from range(9000)""").write.parquet(str(tmp_path / "orders.parquet"))
+    written = []
+    monkeypatch.setattr(jobs.KeyedTable, "write", lambda self, df, batch, own=jobs.KeyedTable.write: written.append(batch) or own(self, df, batch))
+    catalog.stream_user_state(spark, str(tmp_path))
+    assert written == [0, 1, 2]
+
+
 def test_a_batch_named_by_its_slice_stays_one_slice(spark, monkeypatch):
     monkeypatch.setattr(catalog, "SLICE_ROWS", 6000)
     monkeypatch.setattr(catalog, "FILE_ROWS", 2000, raising=False)
