@@ -20,6 +20,7 @@ Ids must be below 2^32 and at most 2^20 of them distinct.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -41,6 +42,8 @@ CACHE_PIECES = 200_000
 _LOW = np.uint64(1 << 31)
 _PIECE = re.compile(r"\s*\S+|\s+")
 _SIGNS = ".,;:!?"
+# A line break that comes before such a piece stays a token of its own.
+_WORD = re.compile(r" ?\S+")
 # Python counts these as white space, the tokenizer's pattern does not.
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 _caches: dict[str, tuple[object, dict[str, bytes]]] = {}
@@ -54,16 +57,36 @@ class Encoder:
     """
 
     def __init__(self, path: str):
+        # Spark gives each core a task; the library's own threads would contend for the same cores.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         if path not in _caches:
             from tokenizers import Tokenizer
 
             _caches[path] = Tokenizer.from_file(path), {}
         self.tokenizer, self.known = _caches[path]
         self.signs = dict(zip(_SIGNS, self._code(list(_SIGNS)), strict=True))
+        self.line_break = self._ids(["\n"])[0]
+
+    def _ids(self, pieces: list[str]) -> list[np.ndarray]:
+        return [np.array(x.ids, "<u4") for x in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
 
     def _code(self, pieces: list[str]) -> list[bytes]:
-        return [np.array(x.ids, "<u4").tobytes()
-                for x in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        return [x.tobytes() for x in self._ids(pieces)]
+
+    def _code_words(self, words: list[str]) -> list[bytes]:
+        """The same for pieces without white space but one space in front, as lines of one text: the library
+        takes longer to begin a text than to code a word."""
+        if len(words) < 2 or len(self.line_break) != 1:
+            return self._code(words)
+        ids = self._ids(["\n".join(words) + "\n"])[0]
+        ends = np.flatnonzero(ids == self.line_break[0])
+        if len(ends) != len(words):
+            return self._code(words)
+        data, begin, found = ids.tobytes(), 0, []
+        for end in ends.tolist():
+            found.append(data[4 * begin:4 * end])
+            begin = end + 1
+        return found
 
     def __call__(self, text: str) -> bytes:
         if _ODD_SPACE.search(text):
@@ -92,7 +115,11 @@ class Encoder:
         new = list({piece for _, piece, _ in gaps})
         if not new:
             return
-        own = dict(zip(new, self._code(new), strict=True))
+        words = [x for x in new if _WORD.fullmatch(x)]
+        own = dict(zip(words, self._code_words(words), strict=True))
+        rest = [x for x in new if x not in own]
+        if rest:
+            own.update(zip(rest, self._code(rest), strict=True))
         for i, piece, sign in gaps:
             found[i] = own[piece] + sign
         if len(known) < CACHE_PIECES:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import os
 import random
 import zlib
 
@@ -341,3 +342,21 @@ def test_neighbours_with_equal_vectors_are_ranked_by_id(spark):
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     found = neighbours.nearest(table, F.col("vec_id") == 0, k=20, part_rows=60).orderBy("rank").collect()
     assert [r["vec_id"] for r in found] == list(range(1, 21)) and len({r["score"] for r in found}) == 1
+
+
+def test_new_words_are_coded_as_one_text_in_one_thread(monkeypatch):
+    monkeypatch.delenv("TOKENIZERS_PARALLELISM", raising=False)
+    encode = token_files.Encoder(BPE)
+    assert os.environ["TOKENIZERS_PARALLELISM"] == "false"
+    given = []
+    monkeypatch.setattr(encode, "_ids", lambda pieces, own=encode._ids: given.append(len(pieces)) or own(pieces))
+    rng = random.Random(11)
+    for ends in (" ", "\n", "  ", "\t", " <|endoftext|> ", " ", "\n\n ", "\r\n", "' ", "'s ", ""):
+        words = ["".join(rng.choices("abéß中7_-'<|>", k=rng.randint(1, 9))) for _ in range(300)]
+        text = ends.join(words) + ends
+        given.clear()
+        encode.known.clear()
+        found = encode(text)
+        assert found == np.array(encode.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        if ends == " ":
+            assert sum(given) <= 3
