@@ -72,7 +72,7 @@ def _each_batch(
 
 def run_diversion(
     raw: DataFrame, writer_of: Callable[[DataFrame], DataStreamWriter], checkpoint: str,
-    trigger: dict | None = None,
+    trigger: dict | None = None, name: str = "log_diversion",
 ) -> StreamingQuery:
     """Raw logs to start and action topics: one stateless query, no shuffle.
 
@@ -81,17 +81,19 @@ def run_diversion(
     rows = diversion.divert(raw.select("value").observe("read", F.count(F.lit(1)).alias("logs")))
     rows = rows.observe(
         "written", F.count_if(F.col("topic") == START_TOPIC).alias("starts"), F.count_if(F.col("topic") == ACTION_TOPIC).alias("actions"))
-    return start(writer_of(rows), "log_diversion", checkpoint, trigger)
+    return start(writer_of(rows), name, checkpoint, trigger)
 
 
-def run_unreadable_logs(raw: DataFrame, table: BatchTable, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+def run_unreadable_logs(
+    raw: DataFrame, table: BatchTable, checkpoint: str, trigger: dict | None = None, name: str = "unreadable_logs",
+) -> StreamingQuery:
     """Keep the raw logs that are no log at all, which the diversion cannot route.
 
     Observed per batch: `logs` read, `unreadable` ones kept.
     """
     rows = diversion.unreadable_logs(raw.select("value").observe("read", F.count(F.lit(1)).alias("logs")))
     rows = rows.observe("kept", F.count(F.lit(1)).alias("unreadable"))
-    return _each_batch(rows, table.write, "unreadable_logs", checkpoint, trigger)
+    return _each_batch(rows, table.write, name, checkpoint, trigger)
 
 
 # Daily active devices ----------------------------------------------------------------------

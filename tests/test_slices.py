@@ -51,6 +51,23 @@ def test_a_batch_named_by_its_slice_stays_one_slice(spark, monkeypatch):
     assert batches(spark, stream) == [(i, 6000, i * 6000, i * 6000 + 5999) for i in range(4)]
 
 
+@pytest.mark.parametrize("name", ["stream_log_counts", "stream_unreadable_counts"])
+def test_batches_of_one_slice_run_side_by_side(spark, small_slices, tmp_path, monkeypatch, name):
+    spark.sql("""
+      select id event_id, timestamp_ntz'2024-01-01 00:00:00' ts, id % 9 user_id, case id % 4 when 0 then 'signup' when 1 then 'error'
+        else 'click' end event_type, 1.5D value, '{"k": 1}' props from range(1330)""").write.parquet(str(tmp_path / "events.parquet"))
+    active = []
+    monkeypatch.setattr(jobs, "start", lambda *a, own=jobs.start: [own(*a), active.append(len(spark.streams.active))][0])
+    found = {r["batch"]: tuple(r)[1:] for r in catalog.QUERIES[name](spark, str(tmp_path)).collect()}
+    slices = {i: [k for k in range(1330) if k // 95 == i] for i in range(14)}  # 1,330 ids in 14 slices of 95
+    if name == "stream_log_counts":
+        wanted = {i: (len(x), sum(k % 4 == 0 for k in x), 2 * sum(k % 4 > 1 for k in x)) for i, x in slices.items()}
+    else:
+        wanted = {i: (len(x), sum(k % 10 == 3 for k in x)) for i, x in slices.items()}
+    assert found == wanted
+    assert len(active) == 3
+
+
 def test_uneven_slices_keep_their_order(spark, small_slices):
     rows = spark.range(900).toDF("n").unionByName(spark.range(1_000_000, 1_000_300).toDF("n"))
     found = batches(spark, catalog._sliced(rows, F.col("n")))
