@@ -149,7 +149,7 @@ def _set_rows(size: int):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             yield pd.DataFrame({
-                "node": frame["doc_id"], "hashes": [x.view(np.int64) for x in _sets(frame["text"], size)]})
+                "node": frame["doc_id"], "held": [x.view(np.int64) for x in _sets(frame["text"], size)]})
 
     return run
 
@@ -178,7 +178,7 @@ def near_duplicates(
     def sets(nodes: DataFrame) -> DataFrame:
         own = nodes.select(F.col("node").alias("doc_id"))
         return docs.join(own, "doc_id", "left_semi").mapInPandas(
-            _set_rows(size), "node long, hashes array<long>")
+            _set_rows(size), "node long, held array<long>")
 
     found = linked(keys, sets, percent, copies)
     result = features.join(found.withColumnRenamed("node", "x"), F.col("doc_id") == F.col("x"), "left")

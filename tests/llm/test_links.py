@@ -6,8 +6,9 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql.readwriter import DataFrameWriter
 
-from stream_commerce.llm import lines, minmax
+from stream_commerce.llm import lines, minmax, shared
 from stream_commerce.llm.components import components, prefix_pairs
 from tests.llm import brute
 
@@ -153,3 +154,22 @@ def test_lines_close_to_the_bound_and_without_spaces_are_linked(spark):
     linked = [found[2 * i + 1] == 2 * i for i in range(len(pairs))]
     assert all(linked[200:])
     assert sum(linked[:200]) >= 198
+
+
+def test_pairs_of_lines_carry_texts_and_writes_leave_no_shuffle_files(spark, monkeypatch):
+    seen, asked = {}, spark.conf.get(shared.SHUFFLE_CLEANUP)
+
+    def kept(df, label, own=shared.saved):
+        seen[label] = dict(df.dtypes)
+        return own(df, label)
+
+    monkeypatch.setattr("stream_commerce.llm.components.saved", kept)
+    docs = spark.createDataFrame([(i, f"{' '.join(WORDS[i // 2:i // 2 + 30])} {i % 2}") for i in range(20)], "doc_id long, text string")
+    assert lines.fuzzy_lines(docs).count() == 20
+    assert seen["sets"] == {"node": "bigint", "held": "string", "n": "int"}
+    assert spark.conf.get(shared.SHUFFLE_CLEANUP) == asked
+    during = []
+    monkeypatch.setattr(DataFrameWriter, "parquet",
+                        lambda self, path, own=DataFrameWriter.parquet: during.append(spark.conf.get(shared.SHUFFLE_CLEANUP)) or own(self, path))
+    shared.saved(spark.range(9), "x")
+    assert during == ["true"]
