@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql.readwriter import DataFrameWriter
 
 from stream_commerce.llm import lines, minmax, shared
-from stream_commerce.llm.components import components, prefix_pairs
+from stream_commerce.llm.components import _verified, components, prefix_pairs
 from tests.llm import brute
 
 WORDS = [f"w{i}" for i in range(400)]
@@ -173,3 +173,13 @@ def test_pairs_of_lines_carry_texts_and_writes_leave_no_shuffle_files(spark, mon
                         lambda self, path, own=DataFrameWriter.parquet: during.append(spark.conf.get(shared.SHUFFLE_CLEANUP)) or own(self, path))
     shared.saved(spark.range(9), "x")
     assert during == ["true"]
+
+
+def test_many_pairs_are_confirmed_part_by_part(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr("stream_commerce.llm.components.saved", lambda df, label, own=shared.saved: written.append(label) or own(df, label))
+    held = spark.createDataFrame([(i, list(range(i % 3, i % 3 + 20)), 20) for i in range(12)], "node long, held array<long>, n int")
+    pairs = spark.createDataFrame([(i, k) for i in range(12) for k in range(i + 1, 12)], "a long, b long")
+    found = {tuple(r) for r in _verified(pairs, held, 95, lambda x: x).collect()}
+    assert found == {(i, k) for i in range(12) for k in range(i + 1, 12) if i % 3 == k % 3}
+    assert written == ["sized", "confirmed", "confirmed", "confirmed"]
