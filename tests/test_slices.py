@@ -111,3 +111,30 @@ def test_state_partitions_stay_few_whatever_is_asked(spark, tmp_path, monkeypatc
     checkpoint = dict(made)["checkpoint"]
     state = spark.read.format("state-metadata").load(checkpoint)
     assert {r["numPartitions"] for r in state.select("numPartitions").collect()} == {3}
+
+
+def test_sales_leave_no_copies_behind(spark, small_slices, tmp_path, monkeypatch):
+    for name, rows in {
+        "orders": "select id o_orderkey, id % 50 o_custkey, 'F' o_orderstatus, 1.5D o_totalprice, timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, cast(id as int)) o_orderdate from range(300)",
+        "lineitem": "select id div 3 l_orderkey, cast(id % 3 as int) l_linenumber, id % 7 l_partkey, 2.5D l_extendedprice, 4D l_quantity from range(900)",
+        "part": "select id p_partkey, concat('p', id) p_name from range(7)",
+        "customer": "select id c_custkey, concat('c', id) c_name, 'BUILDING' c_mktsegment, 1D c_acctbal, 3 c_nationkey from range(50)",
+        "nation": "select id n_nationkey, concat('n', id) n_name, 1L n_regionkey from range(25)",
+    }.items():
+        spark.sql(rows).write.parquet(str(tmp_path / f"{name}.parquet"))
+    made, asked = [], {}
+    monkeypatch.setattr(catalog, "BATCH_SLICES", 1)
+    monkeypatch.setattr(catalog, "new_work_dir", lambda s, label, own=catalog.new_work_dir: made.append((label, own(s, label))) or made[-1][1])
+    names = ["spark.sql.streaming.minBatchesToRetain", "spark.sql.streaming.stateStore.minDeltasForSnapshot",
+             "spark.sql.classic.shuffleDependency.fileCleanup.enabled"]
+    before = {x: spark.conf.get(x) for x in names}
+    monkeypatch.setattr(jobs, "run_sales", lambda *a, own=jobs.run_sales: asked.update({x: spark.conf.get(x) for x in names}) or own(*a))
+    found = catalog.stream_sales(spark, str(tmp_path))
+    assert found.count() == 900 and found.select("order_detail_id").distinct().count() == 900
+    # Both copies of the messages go while the query runs; the newest files may outlast it.
+    assert [spark.read.schema("value string").parquet(path).count() for label, path in made if label == "dealt"] == [0, 0]
+    for path in (path for label, path in made if label == "slices"):
+        assert spark.read.schema("value string").parquet(path).count() <= 200
+    # As older states do, and shuffle files.
+    assert asked == dict(zip(names, ["2", "2", "true"]))
+    assert {x: spark.conf.get(x) for x in names} == before
